@@ -92,7 +92,7 @@ def top_rounds(df: DataFrame, keys: list[str], k: int = 5, name: str = "top_win_
     ``row_number() <= k`` lets Spark trim every group to k rows before the
     shuffle, so a hot group moves k rows per input task.
     """
-    order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("win"), F.asc("serial"), F.asc("game_seq_id"))
+    order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("win"), F.asc("serial"), F.asc("game_seq_id"), F.asc("game_time"))
     kept = (
         df.select(*keys, "win", "serial", "game_seq_id", "game_time")
         .withColumn("_rank", F.row_number().over(order))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _EVENT_TIME = (
     "timestampadd(SECOND, minute(ts), "
@@ -114,11 +115,24 @@ CATALOG_VALUES = (
 
 
 def catalog(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        list(CATALOG_VALUES), "game_id string, play_type int, rtp double, max_multiplier double"
+    return local_rows(
+        spark, CATALOG_VALUES, "game_id string, play_type int, rtp double, max_multiplier double"
     )
 
 
+def local_rows(spark: SparkSession, rows, ddl: str) -> DataFrame:
+    """A small literal table whose size the optimizer knows."""
+    fields = StructType.fromDDL(ddl).fields
+
+    def lit(v, f) -> str:
+        text = "NULL" if v is None else ("'" + str(v) + "'" if isinstance(v, str) else repr(v))
+        return f"CAST({text} AS {f.dataType.simpleString()})"
+
+    values = ", ".join("(" + ", ".join(lit(v, f) for v, f in zip(r, fields)) + ")" for r in rows)
+    names = ", ".join(f.name for f in fields)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+
+
 def logs_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log entries with JSON payloads; sub-second times are kept."""
     ev = table(spark, sf_dir, "events").select(
