@@ -17,6 +17,7 @@ from tallyscope.functions.normal import normal_sf_sql
 _BINS = 64
 _ONE = "_one"
 _MAX_Q = 0.1
+_FEW_VALUES = 500_000
 
 
 def value_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:
@@ -95,14 +96,17 @@ def quantile_values(df: DataFrame, value: str, probs: list[float]) -> tuple[int,
 
 
 def robust_bounds(
-    df: DataFrame, groups: list[str], value: str, n_mad: float, min_members: int
+    df: DataFrame, groups: list[str], value: str, n_mad: float, min_members: int,
+    quantile: float | None = None,
 ) -> DataFrame:
     """Per group: (n, bound, branch) of the median + N*MAD rule.
 
     MAD = 0 falls back to the values above the median, then to their population
-    standard deviation, then to no bound. Runs four small jobs over distinct
-    values with counts; only one row per group (a metric or a currency) reaches
-    the driver, the values never do.
+    standard deviation, then to no bound. ``quantile`` adds that quantile of the
+    values. Runs a few jobs over distinct values with counts; only one row per
+    group (a metric or a currency) reaches the driver, the values never do. The
+    built-in percentile is used only when the distinct values were counted and
+    are few enough for one task.
     """
     keys = list(groups) or [_ONE]
     if not groups:
@@ -110,11 +114,19 @@ def robust_bounds(
     spark = df.sparkSession
     key_types = {f.name: f.dataType.simpleString() for f in df.select(*keys).schema}
     vc = value_counts(df, keys, value).persist()
+    few = vc.count() <= _FEW_VALUES
+
+    def at(counted: DataFrame, p: float) -> dict[tuple, tuple[int, float]]:
+        if few:
+            stats = counted.groupBy(*keys).agg(
+                F.sum("_c").alias("n"), F.expr(f"percentile(_v, {p!r}D, _c)").alias("med"))
+        else:
+            merged = counted.groupBy(*keys, "_v").agg(F.sum("_c").alias("_c"))
+            stats = _counted_stats(merged, keys, {"med": p})
+        return {tuple(r[k] for k in keys): (r["n"], r["med"]) for r in stats.collect()}
 
     def medians(counted: DataFrame) -> dict[tuple, tuple[int, float]]:
-        merged = counted.groupBy(*keys, "_v").agg(F.sum("_c").alias("_c"))
-        rows = _counted_stats(merged, keys, {"med": 0.5}).collect()
-        return {tuple(r[k] for k in keys): (r["n"], r["med"]) for r in rows}
+        return at(counted, 0.5)
 
     def centred(counted: DataFrame, centre: dict[tuple, tuple[int, float]]) -> DataFrame:
         ddl = ", ".join(f"`{k}` {key_types[k]}" for k in keys) + ", _m double"
@@ -126,6 +138,7 @@ def robust_bounds(
 
     try:
         med = medians(vc)
+        extra = at(vc, quantile) if quantile is not None else {}
         mad = medians(spread(centred(vc, med)))
         flat = {k: med[k] for k, (_, m) in mad.items() if m == 0 and med[k][0] >= min_members}
         nz_med, nz_mad, nz_sd = {}, {}, {}
@@ -159,9 +172,11 @@ def robust_bounds(
                 bound, branch = nz_med[k][1] + n_mad * nz_mad[k][1], "MAD=0->nonzero median+N*MAD"
             elif nz_sd[k] > 0:
                 bound, branch = nz_med[k][1] + n_mad * nz_sd[k], "MAD=0->nonzero sd"
-        out.append((*k, n, bound, branch))
-    ddl = ", ".join(f"`{k}` {key_types[k]}" for k in keys) + ", n bigint, bound double, branch string"
-    return spark.createDataFrame(out, ddl).select(*groups, "n", "bound", "branch")
+        out.append((*k, n, bound, branch, extra[k][1] if extra else None))
+    ddl = ", ".join(f"`{k}` {key_types[k]}" for k in keys)
+    ddl += ", n bigint, bound double, branch string, quantile double"
+    names = ["n", "bound", "branch"] + (["quantile"] if quantile is not None else [])
+    return spark.createDataFrame(out, ddl).select(*groups, *names)
 
 
 def bh_cuts(df: DataFrame, family: list[str], z: str, q: Column | float) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyscope.functions.columns import ratio
-from tallyscope.functions.ranks import bh_cuts, order_stats, robust_bounds
+from tallyscope.functions.ranks import bh_cuts, robust_bounds
 from tallyscope.settings import METRIC_RULES, SEGMENT_KEYS, Thresholds
 
 FROZEN_DDL = (
@@ -27,22 +27,21 @@ def _z_policy(t: Thresholds) -> dict[str, tuple[float, float | None, float | Non
 def fit(metrics: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Frozen parameters, one row per metric.
 
-    The capacity ceiling may raise a robust bound, never lower it.
+    The capacity ceiling may raise a robust bound, never lower it. Several passes
+    read ``metrics``: pass a persisted or stored table.
     """
     spark = metrics.sparkSession
     robust = metrics.where("kind = 'ROBUST'")
-    bounds = {r["metric"]: r for r in robust_bounds(robust, ["metric"], "value", t.n_mad, t.mad_min_members).collect()}
-    ceilings = {
-        r["metric"]: r["ceiling"]
-        for r in order_stats(robust, ["metric"], "value", {"ceiling": 1 - t.alert_ceiling}).collect()
-    }
+    fitted_rows = robust_bounds(
+        robust, ["metric"], "value", t.n_mad, t.mad_min_members, quantile=1 - t.alert_ceiling).collect()
+    bounds = {r["metric"]: r for r in fitted_rows}
     policy = _z_policy(t)
     rows = []
     for metric, (rule, _, kind, _) in METRIC_RULES.items():
         if kind == "ROBUST":
             fitted = bounds.get(metric)
             bound = fitted["bound"] if fitted else None
-            ceiling = ceilings.get(metric)
+            ceiling = fitted["quantile"] if fitted else None
             final, note = bound, ""
             if bound is not None and ceiling is not None and ceiling > bound:
                 final = ceiling

@@ -75,7 +75,7 @@ def ts(c: str) -> str:
 def evidence(keys: str, src: str = "r", k: int = 5) -> str:
     return f"""(SELECT {keys}, string_agg(game_seq_id || '@' || strftime(game_time, '%Y-%m-%dT%H:%M:%SZ'), '|'
         ORDER BY rn) AS top_win_seq_ids FROM (
-        SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY win DESC, serial, game_seq_id) rn
+        SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY win DESC, serial, game_seq_id, game_time) rn
         FROM {src}) WHERE rn <= {k} GROUP BY {keys})"""
 
 
@@ -91,3 +91,53 @@ def player_cell_sums() -> str:
     sum(coalesce(pow({LOGM}, 2), 0)) AS sumsq_log_mult, max(win / nullif(valid_bet, 0)) AS max_multiple,
     count(*) FILTER ({BREAKS}) AS balance_violations, min(game_time) AS first_round_utc,
     max(game_time) AS last_round_utc"""
+
+
+def certified(src: str, columns: str = "x.*") -> str:
+    """Rows of ``src`` with the certified return and cap of their game."""
+    return f"""(SELECT {columns}, coalesce(e.rtp, g.rtp_untyped) AS rtp_cert,
+    CASE WHEN e.rtp IS NOT NULL THEN 'certified' WHEN g.rtp_untyped IS NOT NULL
+         THEN 'certified_game_level' ELSE 'none' END AS rtp_source,
+    coalesce(e.max_multiplier, g.cap) AS cap_cert,
+    CASE WHEN e.max_multiplier IS NOT NULL THEN 'certified' WHEN g.cap IS NOT NULL
+         THEN 'certified_game_level' ELSE 'none' END AS cap_source
+    FROM {src} x LEFT JOIN cat e ON x.game_id = e.game_id AND x.play_type = e.play_type
+    LEFT JOIN (SELECT game_id, max(rtp) FILTER (play_type IS NULL) AS rtp_untyped,
+               max(max_multiplier) AS cap FROM cat GROUP BY 1) g ON x.game_id = g.game_id)"""
+
+
+def bh(src: str, family: str, z: str, q: str) -> str:
+    """Rows of ``src`` with ``selected`` of the Benjamini-Hochberg procedure."""
+    from tallyscope.functions.normal import normal_sf_sql
+
+    fam = f"PARTITION BY {family}" if family else ""
+    key = family or "1"
+    return f"""(SELECT x.*, coalesce(x.{z} >= c.zc, FALSE) AS selected FROM {src} x LEFT JOIN (
+      SELECT {key} AS fam_, min({z}) AS zc FROM (
+        SELECT *, count(*) OVER ({fam} ORDER BY {z} DESC) AS rk_, count(*) OVER ({fam}) AS m_
+        FROM {src} WHERE {z} IS NOT NULL) t
+      WHERE {normal_sf_sql(z)} <= ({q}) * rk_ / m_ GROUP BY 1) c ON c.fam_ = {('x.' + family) if family else '1'})"""
+
+
+def robust(name: str, src: str, group: str, value: str, n_mad: float, members: int) -> str:
+    """CTEs ending in ``name(g, n, bound, branch)``."""
+    g = group or "1"
+    p = name
+    return f"""
+{p}v AS (SELECT {g} AS g, CAST({value} AS DOUBLE) AS v FROM {src} WHERE {value} IS NOT NULL),
+{p}m AS (SELECT g, count(*) AS n, median(v) AS med FROM {p}v GROUP BY g),
+{p}d AS (SELECT v.g, v.v, m.med, m.n FROM {p}v v JOIN {p}m m ON v.g = m.g),
+{p}a AS (SELECT g, median(abs(v - med)) AS mad FROM {p}d GROUP BY g),
+{p}z AS (SELECT g, v FROM {p}d WHERE v > med),
+{p}zm AS (SELECT g, count(*) AS nn, median(v) AS nzmed, stddev_pop(v) AS nzsd FROM {p}z GROUP BY g),
+{p}za AS (SELECT z.g, median(abs(z.v - m.nzmed)) AS nzmad FROM {p}z z JOIN {p}zm m ON z.g = m.g GROUP BY 1),
+{p}j AS (SELECT m.g, m.n, m.med, a.mad, zm.nn, zm.nzmed, zm.nzsd, za.nzmad FROM {p}m m
+  LEFT JOIN {p}a a ON m.g = a.g LEFT JOIN {p}zm zm ON m.g = zm.g LEFT JOIN {p}za za ON m.g = za.g),
+{name} AS (SELECT g, n,
+  CASE WHEN n < {members} THEN NULL WHEN mad > 0 THEN med + {n_mad} * mad
+       WHEN nn >= {members} AND nzmad > 0 THEN nzmed + {n_mad} * nzmad
+       WHEN nn >= {members} AND nzsd > 0 THEN nzmed + {n_mad} * nzsd END AS bound,
+  CASE WHEN n < {members} THEN 'insufficient_population' WHEN mad > 0 THEN 'median+N*MAD'
+       WHEN nn >= {members} AND nzmad > 0 THEN 'MAD=0->nonzero median+N*MAD'
+       WHEN nn >= {members} AND nzsd > 0 THEN 'MAD=0->nonzero sd' ELSE 'degenerate_disabled' END AS branch
+  FROM {p}j)"""

@@ -109,8 +109,8 @@ def rounds_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Fixed values: (game_id, play_type, rtp, cap) of the games in the views.
 CATALOG_VALUES = (
-    ("g0", 0, 0.90, 2.9), ("g0", None, 0.92, None), ("g1", 0, 0.55, 4.5),
-    ("g1", 2, 0.80, None), ("g2", None, 0.50, 9.5),
+    ("g0", 0, 0.85, 2.9), ("g0", None, 0.82, None), ("g1", 0, 0.46, 20.0),
+    ("g1", 2, 0.30, None), ("g2", None, 0.44, 15.0),
 )
 
 
