@@ -38,46 +38,46 @@ _PPF_D = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00,
           3.754408661907416e00, 1.0)
 
 
-def _poly(x: str, coefficients) -> str:
-    """Horner form of a polynomial, highest power first, as SQL text."""
-    out = repr(float(coefficients[0]))
-    for c in coefficients[1:]:
-        out = f"(({out}) * ({x}) + ({c!r}))"
-    return out
+_SQRT2 = math.sqrt(2.0)
+_INV_SQRT_PI = 1.0 / math.sqrt(math.pi)
+_LOW = 0.02425
 
 
-def normal_sf_sql(z: str) -> str:
-    """SQL text of P(Z > z); plain arithmetic, so any SQL engine can run it."""
-    x = f"({z}) / {math.sqrt(2.0)!r}"
-    a = f"abs({x})"
-    sq = f"(({x}) * ({x}))"
-    inv = f"(1.0 / greatest({sq}, 1e-12))"
-    near = f"1.0 - {a} * ({_poly(sq, _NEAR_NUM)}) / ({_poly(sq, _NEAR_DEN)})"
-    mid = f"exp(-{sq}) * ({_poly(a, _MID_NUM)}) / ({_poly(a, _MID_DEN)})"
-    far = (f"exp(-{sq}) * ({1.0 / math.sqrt(math.pi)!r} - {inv} * ({_poly(inv, _FAR_NUM)})"
-           f" / ({_poly(inv, _FAR_DEN)})) / greatest({a}, 1e-6)")
-    erfc = f"(CASE WHEN {a} <= 0.46875 THEN {near} WHEN {a} <= 4.0 THEN {mid} ELSE {far} END)"
-    return f"(0.5 * (CASE WHEN ({z}) >= 0 THEN {erfc} ELSE 2.0 - {erfc} END))"
+def _poly(x: Column, coefficients) -> Column:
+    """Horner form of a polynomial, highest power first."""
+    out = F.lit(float(coefficients[0]))
+    for c in coefficients[1:]:
+        out = out * x + F.lit(float(c))
+    return out
 
 
 def normal_sf(z: str) -> Column:
-    """One-sided p-value of a z score held in column ``z``."""
-    return F.expr(normal_sf_sql(z))
+    """One-sided p-value P(Z > z) of the score held in column ``z``."""
+    z_ = F.col(z)
+    a = F.abs(z_) / _SQRT2
+    sq = z_ * z_ / 2.0
+    inv = 2.0 / F.greatest(z_ * z_, F.lit(1e-12))
+    near = 1.0 - a * _poly(sq, _NEAR_NUM) / _poly(sq, _NEAR_DEN)
+    mid = F.exp(-sq) * _poly(a, _MID_NUM) / _poly(a, _MID_DEN)
+    far = F.exp(-sq) * (_INV_SQRT_PI - inv * _poly(inv, _FAR_NUM) / _poly(inv, _FAR_DEN)) / F.greatest(
+        a, F.lit(1e-6))
+    upper = F.when(a <= 0.46875, near).when(a <= 4.0, mid).otherwise(far)
+    # 0.5*erfc(|x|) for z >= 0 and its complement below, with one copy of the tail.
+    sign = F.when(z_ >= 0, 1.0).otherwise(-1.0)
+    offset = F.when(z_ >= 0, 0.0).otherwise(1.0)
+    return offset + sign * (0.5 * upper)
 
 
 def normal_ppf(p: str) -> Column:
     """Normal quantile of the probability held in column ``p``."""
-    low = 0.02425
-    c = f"(({p}) - 0.5)"
-    c2 = f"({c} * {c})"
-    centre = f"{c} * ({_poly(c2, _PPF_A)}) / ({_poly(c2, _PPF_B)})"
-    ql = f"sqrt(-2.0 * ln({p}))"
-    qh = f"sqrt(-2.0 * ln(1.0 - ({p})))"
-    lower = f"({_poly(ql, _PPF_C)}) / ({_poly(ql, _PPF_D)})"
-    upper = f"-({_poly(qh, _PPF_C)}) / ({_poly(qh, _PPF_D)})"
-    return F.expr(
-        f"CASE WHEN ({p}) <= 0 OR ({p}) >= 1 THEN NULL WHEN ({p}) < {low} THEN {lower} "
-        f"WHEN ({p}) > {1 - low} THEN {upper} ELSE {centre} END"
+    p_ = F.col(p)
+    c = p_ - 0.5
+    tail = F.sqrt(-2.0 * F.ln(F.least(p_, 1.0 - p_)))
+    end = _poly(tail, _PPF_C) / _poly(tail, _PPF_D)
+    centre = c * _poly(c * c, _PPF_A) / _poly(c * c, _PPF_B)
+    return (
+        F.when((p_ <= 0) | (p_ >= 1), F.lit(None).cast("double"))
+        .when(F.abs(c) > 0.5 - _LOW, F.when(c < 0, end).otherwise(-end)).otherwise(centre)
     )
 
 
@@ -86,3 +86,23 @@ def expected_max_z(n: int) -> float:
     from statistics import NormalDist
 
     return NormalDist().inv_cdf(1.0 - 1.0 / max(int(n), 2))
+
+
+def normal_sf_sql(z: str) -> str:
+    """The same tail as SQL text, for engines that compare results."""
+
+    def poly(x: str, coefficients) -> str:
+        out = repr(float(coefficients[0]))
+        for c in coefficients[1:]:
+            out = f"({out} * {x} + {c!r})"
+        return out
+
+    a = f"(abs({z}) / {_SQRT2!r})"
+    sq = f"(({z}) * ({z}) / 2.0)"
+    inv = f"(2.0 / greatest(({z}) * ({z}), 1e-12))"
+    near = f"1.0 - {a} * {poly(sq, _NEAR_NUM)} / {poly(sq, _NEAR_DEN)}"
+    mid = f"exp(-{sq}) * {poly(a, _MID_NUM)} / {poly(a, _MID_DEN)}"
+    far = (f"exp(-{sq}) * ({_INV_SQRT_PI!r} - {inv} * {poly(inv, _FAR_NUM)} / {poly(inv, _FAR_DEN)})"
+           f" / greatest({a}, 1e-6)")
+    upper = f"(CASE WHEN {a} <= 0.46875 THEN {near} WHEN {a} <= 4.0 THEN {mid} ELSE {far} END)"
+    return f"(CASE WHEN ({z}) >= 0 THEN 0.5 * {upper} ELSE 1.0 - 0.5 * {upper} END)"

@@ -12,7 +12,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyscope.functions.normal import normal_sf_sql
+from tallyscope.functions.normal import normal_sf
 
 _BINS = 64
 _ONE = "_one"
@@ -214,7 +214,7 @@ def bh_cuts(df: DataFrame, family: list[str], z: str, q: Column | float) -> Data
         tail.join(bins, fam + ["_bin"])
         .withColumn("_rank", F.col("_above") + F.sum("_c").over(inside))
         .join(sizes, fam)
-        .where(F.expr(normal_sf_sql("_z")) <= F.col("_q") * F.col("_rank") / F.col("m"))
+        .where(normal_sf("_z") <= F.col("_q") * F.col("_rank") / F.col("m"))
     )
     cuts = ranked.groupBy(*fam).agg(F.min("_z").alias("z_cut"))
     return sizes.select(*fam, "m").join(cuts, fam, "left")

@@ -20,6 +20,7 @@ from tallyscope.plans import sqltext as q
 from tallyscope.plans.registry import register
 from tallyscope.settings import Thresholds
 from tallyscope.sources import fixtures as fx
+from tallyscope.sources.durable import materialise
 
 T = Thresholds().but(
     min_rounds=5, physical_rpm=3, n_mad=2.0, mad_min_members=5, same_second_min_gaps=5, cadence_min_gaps=5,
@@ -158,8 +159,8 @@ def _all_metrics(s, d, r, t=T, segments=False):
 
 
 def _kept_metrics(s, d, names: str, segments=False):
-    """Chosen metrics, persisted because fitting and evaluation read them repeatedly."""
-    return _all_metrics(s, d, lineitem(s, d), segments=segments).where(f"metric IN ({names})").persist()
+    """Chosen metrics, stored because fitting and evaluation read them repeatedly."""
+    return materialise(_all_metrics(s, d, lineitem(s, d), segments=segments).where(f"metric IN ({names})"), "metrics")
 
 
 _GAPS = """seq AS (SELECT *, date_diff('second', lag(game_time) OVER w, game_time) AS gap_s,

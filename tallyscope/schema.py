@@ -41,7 +41,7 @@ CASE_STATE = _struct(
     "last_seen string, last_alert_scan string, seen_scans int, absent_scans int, "
     "max_tier int, max_sev int, families_ever array<string>, l4_status string, "
     "l4_queued_scan string, disposition string, uid string, parent string, "
-    "game_id string, currency string, risk_type string, scan_ids_seen string"
+    "game_id string, currency string, risk_type string"
 )
 
 LOG_ENTRY = _struct(
