@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tallyscope.functions.columns import ratio
 from tallyscope.functions.ranks import quantile_values, volume_group
 from tallyscope.functions.signals import signals
+from tallyscope.functions.tasks import depth_norm, grow_tree
 from tallyscope.settings import FEATURE_BUY_TYPES, PLAYER, Thresholds
 
 FEATURES = [
@@ -63,38 +64,6 @@ def normalised(features: DataFrame) -> DataFrame:
     return j.select(*PLAYER, "rounds", *_CONTEXT, "sm_tag", *[z(c).alias(c) for c in FEATURES])
 
 
-def _depth_norm(n: float) -> float:
-    if n <= 1:
-        return 0.0
-    if n <= 2:
-        return 1.0
-    return 2.0 * (np.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
-
-
-def _grow(x: np.ndarray, rng: np.random.Generator, limit: int) -> list[tuple]:
-    """Nodes (feature, cut, left, right, adjusted depth) of one isolation tree."""
-    nodes: list[list] = []
-    todo = [(np.arange(len(x)), 0, -1, 0)]
-    while todo:
-        rows, depth, parent, side = todo.pop()
-        at = len(nodes)
-        if parent >= 0:
-            nodes[parent][2 + side] = at
-        sub = x[rows]
-        lo, hi = sub.min(axis=0), sub.max(axis=0)
-        open_axes = np.flatnonzero(hi > lo)
-        if depth >= limit or len(rows) <= 1 or open_axes.size == 0:
-            nodes.append([-1, 0.0, -1, -1, depth + _depth_norm(len(rows))])
-            continue
-        axis = int(rng.choice(open_axes))
-        cut = float(rng.uniform(lo[axis], hi[axis]))
-        nodes.append([axis, cut, -1, -1, 0.0])
-        left = sub[:, axis] <= cut
-        todo.append((rows[~left], depth + 1, at, 1))
-        todo.append((rows[left], depth + 1, at, 0))
-    return [tuple(n) for n in nodes]
-
-
 def forest_scores(z: DataFrame, t: Thresholds, n_players: int) -> DataFrame:
     """Add ``score`` in (0, 1]; higher is more isolated."""
     spark = z.sparkSession
@@ -116,7 +85,7 @@ def forest_scores(z: DataFrame, t: Thresholds, n_players: int) -> DataFrame:
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["rank", *feats]).head(sample)
         tree = int(pdf["tree"].iloc[0])
-        nodes = _grow(pdf[feats].to_numpy(float), np.random.default_rng([seed, tree]), limit)
+        nodes = grow_tree(pdf[feats].to_numpy(float), np.random.default_rng([seed, tree]), limit)
         out = pd.DataFrame(nodes, columns=["axis", "cut", "left", "right", "depth"])
         out.insert(0, "tree", tree)
         out.insert(1, "node", range(len(out)))
@@ -128,7 +97,7 @@ def forest_scores(z: DataFrame, t: Thresholds, n_players: int) -> DataFrame:
         tuple(g.sort_values("node")[c].to_numpy() for c in ("axis", "cut", "left", "right", "depth"))
         for _, g in nodes.groupby("tree")
     ]
-    model = spark.sparkContext.broadcast((trees, _depth_norm(sample)))
+    model = spark.sparkContext.broadcast((trees, depth_norm(sample)))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         grown, norm = model.value

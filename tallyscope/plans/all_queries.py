@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from tallyscope.plans import feature_queries, rule_queries  # noqa: F401
+from tallyscope.plans import case_queries, feature_queries, rule_queries  # noqa: F401

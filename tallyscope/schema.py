@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
+    "boolean": T.BooleanType(), "date": T.DateType(), "timestamp_ntz": T.TimestampNTZType(),
+    "decimal(18,4)": T.DecimalType(18, 4), "array<string>": T.ArrayType(T.StringType()),
+    "map<string,string>": T.MapType(T.StringType(), T.StringType()),
+}
+
+
 def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+    """Schema from ``name type, ...`` without needing a running session."""
+    fields = [f.strip().split(" ") for f in ddl.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 ROUND = _struct(

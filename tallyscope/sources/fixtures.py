@@ -167,3 +167,66 @@ def logs_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         " '\"},\"params\":{\"gameId\":\"', game_id, '\",\"currency\":\"', currency, '\",\"sm_tag\":\"b1\",\"token\":\"tok',"
         " user_id % 12, '\"}}') END AS payload",
     )
+
+
+# Signal rows over line items: expressions valid in Spark and in other SQL engines.
+SIGNAL_SHAPE = """
+  SELECT *, CASE WHEN k = 0 AND l_quantity > 40 THEN 'L1-MAX_X_BREACH' WHEN k = 1 AND l_quantity > 40 THEN 'L1-BALANCE_IDENTITY'
+    WHEN k = 2 AND l_quantity > 40 THEN 'L1-DUP_ROUND' WHEN k <= 5 THEN 'L1-EXCESS_TURNOVER'
+    WHEN k = 6 THEN 'L1-SAME_SECOND' WHEN k = 7 THEN 'L1-TRIGGER_RATE' WHEN k = 8 THEN 'L2-OFF_TARGET_RTP'
+    WHEN k = 9 THEN 'L1-BETA_IN_PROD' WHEN k = 10 THEN 'L1-MAGNITUDE_WATCH' ELSE 'L3-ML_DISCOVERY' END AS signal_id
+  FROM (SELECT *, l_partkey % 12 AS k, cast(cast(l_shipdate AS date) AS varchar(10)) AS day FROM lineitem) a"""
+SIGNAL_COLUMNS = """
+  signal_id,
+  CASE WHEN signal_id IN ('L1-MAX_X_BREACH', 'L1-BALANCE_IDENTITY', 'L1-DUP_ROUND') THEN 'INTEGRITY'
+    WHEN signal_id IN ('L1-EXCESS_TURNOVER', 'L2-OFF_TARGET_RTP') THEN 'OUTCOME_MAGNITUDE'
+    WHEN signal_id = 'L1-SAME_SECOND' THEN 'TIMING' WHEN signal_id = 'L1-TRIGGER_RATE' THEN 'OUTCOME_FREQUENCY'
+    WHEN signal_id = 'L1-BETA_IN_PROD' THEN 'ENVIRONMENT' WHEN signal_id = 'L1-MAGNITUDE_WATCH' THEN 'MAGNITUDE_WATCH'
+    ELSE 'ML_DISCOVERY' END AS family,
+  CASE WHEN k = 8 THEN 2 WHEN k = 11 THEN 3 ELSE 1 END AS layer,
+  CASE WHEN k IN (8, 9) THEN 'game_cell' ELSE 'player_cell' END AS grain,
+  CASE WHEN k NOT IN (8, 9) THEN concat('op', l_orderkey % 25) END AS parent,
+  CASE WHEN k NOT IN (8, 9) THEN concat('p', l_orderkey) END AS uid,
+  concat('g', l_suppkey % 40) AS game_id, l_linenumber % 3 AS play_type,
+  CASE WHEN l_returnflag = 'N' THEN 'USD' ELSE 'CNY' END AS currency, l_linestatus AS sm_tag,
+  'metric' AS metric, l_quantity / 5 AS value, 0.0 AS threshold,
+  CASE WHEN k <= 2 AND l_quantity > 40 THEN 'ABSOLUTE' ELSE 'OTHER' END AS threshold_method,
+  CASE WHEN k IN (0, 3, 4, 5, 8) THEN 'certified' WHEN k IN (1, 2) THEN 'identity' ELSE 'empirical_loo' END AS baseline_source,
+  CASE WHEN signal_id IN ('L1-EXCESS_TURNOVER', 'L1-TRIGGER_RATE') THEN 0.001 END AS p_value,
+  l_discount * 100 AS effect,
+  CASE WHEN signal_id = 'L1-TRIGGER_RATE' THEN 'lift' WHEN signal_id IN ('L1-EXCESS_TURNOVER', 'L2-OFF_TARGET_RTP')
+    THEN 'rtp_points' ELSE '' END AS effect_unit,
+  100 AS n, CASE WHEN l_tax >= 0.06 THEN 'held' ELSE 'failed' END AS persistence,
+  concat('d', l_orderkey, '-', l_linenumber, '-', l_partkey) AS description,
+  concat(l_orderkey, '-', l_linenumber, '@', day, 'T00:00:00Z') AS key,
+  CASE WHEN k = 8 THEN day END AS event_date"""
+
+
+def signals_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A signal table that exercises every fusion route, sized by the line items."""
+    table(spark, sf_dir, "lineitem").createOrReplaceTempView("lineitem")
+    rows = spark.sql(f"SELECT {SIGNAL_COLUMNS} FROM ({SIGNAL_SHAPE}) b")
+    return rows.withColumn("evidence", F.array("key")).withColumn(
+        "context", F.when(F.col("event_date").isNotNull(), F.create_map(F.lit("event_date"), F.col("event_date"))))
+
+
+# Ten scans of three days each over the events, one candidate per troubled account.
+CANDIDATE_COLUMNS = """
+  concat('P_op', user_id % 4, '_ALL_u', user_id) AS case_id, seq,
+  CASE WHEN n_err >= 3 THEN 'human_review' WHEN n_err = 2 THEN 'enhanced' ELSE 'monitor' END AS escalation,
+  CASE WHEN n_buy >= 3 THEN 'Critical' WHEN n_buy = 2 THEN 'High' WHEN n_buy = 1 THEN 'Medium' ELSE 'Low' END AS severity,
+  n_buy, n_sig, concat('op', user_id % 4) AS parent, concat('u', user_id) AS uid"""
+CANDIDATE_SHAPE = """
+  SELECT user_id, cast(floor((day(ts) - 1) / 3) AS int) + 1 AS seq,
+    sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS n_err,
+    sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS n_buy,
+    sum(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS n_sig
+  FROM events GROUP BY user_id, cast(floor((day(ts) - 1) / 3) AS int) + 1"""
+
+
+def candidates_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table(spark, sf_dir, "events").createOrReplaceTempView("events")
+    rows = spark.sql(f"SELECT {CANDIDATE_COLUMNS} FROM ({CANDIDATE_SHAPE}) b WHERE n_err >= 1")
+    families = F.array_compact(F.array(
+        F.lit("INTEGRITY"), F.when(F.col("n_buy") > 0, "OUTCOME_MAGNITUDE"), F.when(F.col("n_sig") > 1, "TIMING")))
+    return rows.withColumn("families", families).withColumn("scan", F.format_string("s%02d", "seq"))
