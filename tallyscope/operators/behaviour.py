@@ -95,8 +95,9 @@ def behaviour_thresholds(players: DataFrame, n_mad: float = 12.0) -> dict[str, t
             continue
         if k in upper and upper[k] < 20:
             thr, how = r["quantile"], "MAD=0 -> p99.9"
-        elif r["bound"] is None:
-            thr, how = r["quantile"], "MAD=0 -> p99.9"
+        elif r["bound"] is None:  # the upper part is one repeated value
+            _, (thr,) = quantile_values(long.where(F.col("k") == k), "v", [1.0])
+            how = "MAD=0 -> constant upper part"
         else:
             thr, how = r["bound"], r["branch"]
         out[k] = (max(floor, thr), how)
@@ -225,7 +226,7 @@ def simulation_select(results: DataFrame, q: float = 0.05) -> DataFrame:
     """BH over simulated p-values, through the equivalent normal score."""
     from tallyscope.functions.normal import normal_ppf
 
-    z = results.withColumn("_u", 1 - F.col("p_value")).withColumn("_z", normal_ppf("_u"))
+    z = results.withColumn("_u", F.greatest(1 - F.col("p_value"), F.lit(1e-12))).withColumn("_z", normal_ppf("_u"))
     return bh_select(z, [], "_z", q).drop("_u", "_z")
 
 

@@ -103,6 +103,9 @@ def fuse(
         *[f for f in cases.columns if f not in (*_ENTITY, "_first")],
     )
     cases = cases.withColumn("case_id", F.when(game_row(), game_case_id()).otherwise(player_case_id()))
+    # The id of a game case leaves out the currency; the key does not.
+    cases = cases.withColumn("case_key", F.when(game_row(), F.concat_ws("|", "case_id", "currency")).otherwise(
+        F.col("case_id")))
     if cohort_members is None:
         cases = cases.withColumn("cohort_id", F.lit(None).cast("string"))
     else:
@@ -171,7 +174,7 @@ def signals_with_case(signals: DataFrame, cases: DataFrame) -> DataFrame:
     """Signal rows with the id of the case they belong to."""
     s = _entities(signals)
     g = cases.select(
-        "case_id", F.col("grain").alias("_grain"), F.col("parent").alias("_parent"), F.col("uid").alias("_uid"),
+        "case_id", "case_key", F.col("grain").alias("_grain"), F.col("parent").alias("_parent"), F.col("uid").alias("_uid"),
         F.when(game_row(), F.col("game_id")).alias("_game"), F.when(game_row(), F.col("play_type")).alias("_play"),
         F.when(game_row(), F.col("currency")).alias("_ccy"), F.when(game_row(), F.col("sm_tag")).alias("_tag"))
     nn = lambda k, v: F.coalesce(F.col(k).cast("string"), F.lit(v))

@@ -1,3 +1,5 @@
 """Importing this module registers every query."""
 
-from tallyscope.plans import case_queries, feature_queries, rule_queries  # noqa: F401
+from tallyscope.plans import (  # noqa: F401
+    case_queries, feature_queries, review_queries, rule_queries, stream_queries,
+)

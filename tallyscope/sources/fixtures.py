@@ -133,40 +133,36 @@ def local_rows(spark: SparkSession, rows, ddl: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
 
 
+# Log entries with JSON payloads over (event_id, event_type, user_id, ts, k).
+LOG_SHAPE = """SELECT *,
+  CASE WHEN k % 25 = 7 THEN concat('d', user_id % 12, '-', k, '-', day(ts)) ELSE concat('e', event_id) END AS gsid,
+  CASE event_type WHEN 'error' THEN 802 WHEN 'signup' THEN 0 ELSE 1000 END AS code,
+  CASE WHEN k < 60 THEN 'g1' ELSE 'g2' END AS game_id, CASE WHEN user_id % 2 = 1 THEN 'USD' ELSE 'CNY' END AS currency
+  FROM log_events"""
+LOG_COLUMNS = """event_id, ts, CASE WHEN event_id % 3 = 2 THEN 'play-go' ELSE 'spin-server' END AS container,
+  concat('pod-', event_id % 3) AS pod, 'INFO' AS severity,
+  CASE WHEN event_id % 211 = 7 THEN 'not a json line'
+  WHEN event_id % 3 = 2 THEN concat('play {"parent":"op', user_id % 4, '","uid":"u', user_id % 12,
+    '","params":{"gameSeqId":"', gsid, '","gameId":"', game_id, '"}}')
+  WHEN event_id % 131 = 11 THEN concat('Info request - {"path":"/internal/', k % 3,
+    '","method":"POST","params":{"gameId":"', game_id, '","currency":"', currency, '"}}')
+  WHEN event_id % 137 = 13 THEN concat('Info Spin-Server Response info - {"resCode":901,"params":{"agent":"ag', k % 4,
+    '"},"data":{"message":"Agent not found"}}')
+  WHEN code = 802 THEN concat('Info Spin-Server Response info - {"params":{"gameSeqId":"', gsid, '","gameId":"', game_id,
+    '","currency":"', currency, '","sm_tag":"b1","token":"tok', user_id % 12,
+    '"},"data":{"messageCode":802,"message":"balance not enough"}}')
+  ELSE concat('Info Spin-Server Response info - {"resCode":', code, ',"response":{"gameSeqId":"', gsid,
+    '"},"params":{"gameId":"', game_id, '","currency":"', currency, '","sm_tag":"b1","token":"tok', user_id % 12, '"}}')
+  END AS payload"""
+
+
 def logs_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log entries with JSON payloads; sub-second times are kept."""
-    ev = table(spark, sf_dir, "events").select(
-        "event_id", "event_type", "user_id",
-        F.col("ts").cast("timestamp_ntz").alias("ts"),
+    """Log entries over the events; sub-second times are kept."""
+    table(spark, sf_dir, "events").select(
+        "event_id", "event_type", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"),
         F.get_json_object("props", "$.k").cast("int").alias("k"),
-    ).selectExpr(
-        "*",
-        "CASE WHEN k % 25 = 7 THEN concat_ws('-', concat('d', user_id % 12), k, day(ts)) "
-        "ELSE concat('e', event_id) END AS gsid",
-        "CASE event_type WHEN 'error' THEN 802 WHEN 'signup' THEN 0 ELSE 1000 END AS code",
-        "CASE WHEN k < 60 THEN 'g1' ELSE 'g2' END AS game_id",
-        "CASE WHEN user_id % 2 = 1 THEN 'USD' ELSE 'CNY' END AS currency",
-    )
-    return ev.selectExpr(
-        "event_id", "ts",
-        "CASE WHEN event_id % 5 = 4 THEN 'play-go' ELSE 'spin-server' END AS container",
-        "concat('pod-', event_id % 3) AS pod",
-        "'INFO' AS severity",
-        "CASE"
-        " WHEN event_id % 211 = 7 THEN 'not a json line'"
-        " WHEN event_id % 5 = 4 THEN concat('play {\"parent\":\"op', user_id % 4, '\",\"uid\":\"u', user_id % 12,"
-        " '\",\"params\":{\"gameSeqId\":\"', gsid, '\",\"gameId\":\"', game_id, '\"}}')"
-        " WHEN event_id % 131 = 11 THEN concat('Info request - {\"path\":\"/internal/', k % 3, '\",\"method\":\"POST\",',"
-        " '\"params\":{\"gameId\":\"', game_id, '\",\"currency\":\"', currency, '\"}}')"
-        " WHEN event_id % 137 = 13 THEN concat('Info Spin-Server Response info - {\"resCode\":901,\"params\":{\"agent\":\"ag', k % 4,"
-        " '\"},\"data\":{\"message\":\"Agent not found\"}}')"
-        " WHEN code = 802 THEN concat('Info Spin-Server Response info - {\"params\":{\"gameSeqId\":\"', gsid,"
-        " '\",\"gameId\":\"', game_id, '\",\"currency\":\"', currency, '\",\"sm_tag\":\"b1\",\"token\":\"tok', user_id % 12,"
-        " '\"},\"data\":{\"messageCode\":802,\"message\":\"balance not enough\"}}')"
-        " ELSE concat('Info Spin-Server Response info - {\"resCode\":', code, ',\"response\":{\"gameSeqId\":\"', gsid,"
-        " '\"},\"params\":{\"gameId\":\"', game_id, '\",\"currency\":\"', currency, '\",\"sm_tag\":\"b1\",\"token\":\"tok',"
-        " user_id % 12, '\"}}') END AS payload",
-    )
+    ).createOrReplaceTempView("log_events")
+    return spark.sql(f"SELECT {LOG_COLUMNS} FROM ({LOG_SHAPE}) b")
 
 
 # Signal rows over line items: expressions valid in Spark and in other SQL engines.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyscope.operators.fusion import ranked
@@ -24,11 +24,11 @@ def candidate_documents(
     A case holds at most one signal per rule, cell and day of its own entity;
     per-request log signals are read as rows through :func:`findings` instead.
     """
-    nested = cased_signals.where(~F.startswith("signal_id", F.lit("LOG-"))).groupBy("case_id").agg(
+    nested = cased_signals.where(~F.startswith("signal_id", F.lit("LOG-"))).groupBy("case_key").agg(
         F.array_sort(F.collect_list(F.struct(
             "signal_id", "family", "layer", "metric", "value", "threshold", "threshold_method", "baseline_source",
             "p_value", "effect", "effect_unit", "n", "persistence", "description", "evidence"))).alias("signals"))
-    return cases.join(nested, "case_id", "left").withColumns({
+    return cases.join(nested, "case_key", "left").withColumns({
         "window_start": F.lit(window_start), "window_end": F.lit(window_end),
         "evidence_keys": F.array_distinct(F.flatten(F.transform("signals", lambda s: F.coalesce(
             s["evidence"], F.array().cast("array<string>"))))),
@@ -49,12 +49,12 @@ def _general(c: str, digits: int):
 
 def findings(cases: DataFrame, cased_signals: DataFrame, window_start: str, window_end: str) -> DataFrame:
     """Flat rows, one per case and signal, with formatted numbers."""
-    c = cases.select("case_id", "grain", "parent", "uid", "escalation", "severity", "independent_families",
+    c = cases.select("case_key", "case_id", "grain", "parent", "uid", "escalation", "severity", "independent_families",
                      F.array_join("families", "|").alias("families"), "cohort_id")
-    s = cased_signals.drop("grain", "parent", "uid")
-    j = c.join(s, "case_id").withColumns({
+    s = cased_signals.drop("case_id", "grain", "parent", "uid")
+    j = c.join(s, "case_key").withColumns({
         "value": _general("value", 6), "threshold": _general("threshold", 6),
-        "p_value": F.coalesce(F.format_string("%.3e", "p_value"), F.lit("")), "effect": _general("effect", 4),
+        "p_value": F.coalesce(F.format_string("%.3e", F.col("p_value").cast("double")), F.lit("")), "effect": _general("effect", 4),
         "evidence_keys": F.coalesce(F.array_join("evidence", "|"), F.lit("")),
         "window_start": F.lit(window_start), "window_end": F.lit(window_end),
     })
@@ -68,13 +68,11 @@ def emit_findings(rows: DataFrame, path: str) -> None:
 
 def case_queue(cases: DataFrame, cased_signals: DataFrame) -> DataFrame:
     """Queue table in investigation order with up to four evidence keys."""
-    keys = cased_signals.select("case_id", F.explode("evidence").alias("k")).distinct()
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("case_id").orderBy("k")
-    top = keys.withColumn("_i", F.row_number().over(w)).where("_i <= 4").groupBy("case_id").agg(
+    keys = cased_signals.select("case_key", F.explode("evidence").alias("k")).distinct()
+    w = Window.partitionBy("case_key").orderBy("k")
+    top = keys.withColumn("_i", F.row_number().over(w)).where("_i <= 4").groupBy("case_key").agg(
         F.array_join(F.array_sort(F.collect_list("k")), "<br>").alias("evidence"))
-    return ranked(cases.join(top, "case_id", "left")).select(
+    return ranked(cases.join(top, "case_key", "left")).select(
         "case_id", "grain", "escalation", "severity", "independent_families",
         F.array_join("families", ", ").alias("families"), F.array_join("signal_ids", "; ").alias("signals"),
         F.array_join("persistences", "; ").alias("persistence"), "cohort_id",
