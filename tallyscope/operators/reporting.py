@@ -216,7 +216,7 @@ def daily_summary(events: DataFrame, alerts: DataFrame) -> DataFrame:
 def daily_series(events: DataFrame, date_from: str, date_to: str) -> DataFrame:
     """Dense daily counts, zero-filled."""
     days = events.sparkSession.range(1).select(F.explode(F.expr(
-        f"sequence(date'{date_from}', date'{date_to}')")).cast("string").alias("date"))
+        f"sequence(date'{date_from}', date'{date_to}')")).alias("_d")).select(F.col("_d").cast("string").alias("date"))
     n = events.groupBy(F.substring("detected_at", 1, 10).alias("date")).agg(
         F.count(F.lit(1)).alias("events"), F.count_if(F.col("severity").isin("Critical", "High")).alias("critical_high"))
     return days.join(n, "date", "left").na.fill(0)

@@ -315,3 +315,18 @@ register("CS_4_debounce", lambda s, d: cg.replay_scans(
     "case_id scan",
     """SELECT case_id, printf('s%02d', min(seq)) AS scan FROM (SELECT case_id, seq, lag(seq, 2) OVER (
     PARTITION BY case_id ORDER BY seq) AS b FROM cd WHERE seq <= 4) WHERE b = seq - 2 GROUP BY 1""", _CD)
+
+
+# --- the composed scan ---------------------------------------------------------------
+def _scan(s, d):
+    from tallyscope.operators.calibration import fit
+    from tallyscope.plans import scan as sc
+    from tallyscope.plans.rule_queries import T as small
+
+    t = small.but(detection_window_days=0, cohort_min_members=3)
+    r, cat = fx.rounds_from_events(s, d, None), fx.catalog(s)
+    trained = sc._metrics(sc.extract(r, "2024-01-15 00:00:00", t), cat, t, sc.DEFAULT_EXCLUSIONS)
+    return sc.scan(r, cat, fit(trained, t), "2024-01-31 00:00:00", t, discover=False).cases
+
+
+register("FU_11_scan", _scan, "case_id grain escalation severity independent_families:i n_signals:i")

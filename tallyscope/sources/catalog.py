@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyscope.sources.durable import shared_dir
+
 # Encodings tried in order, header spellings and value patterns.
 ENCODINGS = ("cp950", "utf-8-sig", "utf-8")
 HEADERS = {
@@ -21,7 +25,8 @@ GAME_ID_PATTERN = r"^(\d+)([a-z]?)$"
 def read_sheet(spark: SparkSession, path: str) -> DataFrame:
     """Raw sheet rows with normalised column names.
 
-    The encoding is tried on the bytes of this one small file, then Spark reads it.
+    The encoding of this one small file is found on its bytes; a UTF-8 copy in
+    the shared folder is what Spark parses.
     """
     head = spark.read.format("binaryFile").load(path).select("content").first()
     if head is None:
@@ -29,16 +34,17 @@ def read_sheet(spark: SparkSession, path: str) -> DataFrame:
     raw = bytes(head["content"])
     for encoding in ENCODINGS:
         try:
-            raw.decode(encoding)
+            text = raw.decode(encoding)
             break
         except UnicodeDecodeError:
             continue
     else:
         raise ValueError(f"{path}: undecodable with {ENCODINGS}")
-    java = {"cp950": "Big5", "utf-8-sig": "UTF-8", "utf-8": "UTF-8"}[encoding]
+    copy = f"{shared_dir(spark)}/sheet-{uuid.uuid4().hex}"
+    spark.createDataFrame([(text,)], "value string").coalesce(1).write.text(copy)
     sheet = (
-        spark.read.option("header", True).option("multiLine", True).option("encoding", java)
-        .option("escape", '"').option("inferSchema", False).csv(path)
+        spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+        .option("inferSchema", False).csv(copy)
     )
     normal = {c.replace("﻿", "").strip().lower(): c for c in sheet.columns}
     if "gameid" not in normal or "rtp" not in normal:

@@ -135,7 +135,7 @@ def local_rows(spark: SparkSession, rows, ddl: str) -> DataFrame:
 
 # Log entries with JSON payloads over (event_id, event_type, user_id, ts, k).
 LOG_SHAPE = """SELECT *,
-  CASE WHEN k % 25 = 7 THEN concat('d', user_id % 12, '-', k, '-', day(ts)) ELSE concat('e', event_id) END AS gsid,
+  CASE WHEN k % 5 = 2 THEN concat('d', user_id % 12, '-', day(ts)) ELSE concat('e', event_id) END AS gsid,
   CASE event_type WHEN 'error' THEN 802 WHEN 'signup' THEN 0 ELSE 1000 END AS code,
   CASE WHEN k < 60 THEN 'g1' ELSE 'g2' END AS game_id, CASE WHEN user_id % 2 = 1 THEN 'USD' ELSE 'CNY' END AS currency
   FROM log_events"""
