@@ -147,7 +147,10 @@ def attribution(records: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def log_signals(records: DataFrame) -> DataFrame:
-    """Signals of one window of parsed records."""
+    """Signals of one window of parsed records.
+
+    Several detectors read the records: pass a stored table.
+    """
     recs = responses(records)
     dbl, rep = double_settlements(recs), round_replays(recs)
     who = attribution(records, dbl.select("gsid").unionByName(rep.select("gsid")))

@@ -16,18 +16,19 @@ from tallyscope.settings import PLAYER, Thresholds
 
 
 def sequence_rounds(
-    rounds: DataFrame, idle_s: int, *, keys: list[str] = PLAYER, carry: tuple[str, ...] = ()
+    rounds: DataFrame, idle_s: int, *, keys: list[str] = PLAYER, carry: tuple[str, ...] = (), bucket: str = "HOUR"
 ) -> DataFrame:
     """Rounds with the gap to the previous round, game change and hour segment.
 
     Order is (game_time, serial) within the keys. A segment is the part of a
     session inside one hour; ``continues`` is true when it carries on a session
-    of an earlier hour.
+    of an earlier hour. ``bucket`` may be MINUTE when one account is so busy that
+    an hour of it is too much for a task.
     """
     cols = list(dict.fromkeys([*keys, "game_time", "serial", "game_id", *carry]))
     part = [*keys, "hour_utc"]
     base = rounds.select(
-        *cols, F.date_trunc("HOUR", "game_time").cast("timestamp_ntz").alias("hour_utc")
+        *cols, F.date_trunc(bucket, "game_time").cast("timestamp_ntz").alias("hour_utc")
     )
     summary = base.groupBy(*part).agg(F.max(F.struct("game_time", "serial", "game_id")).alias("_last"))
     by_player = Window.partitionBy(*keys).orderBy("hour_utc")
@@ -65,7 +66,7 @@ def number_sessions(segments: DataFrame, keys: list[str] = PLAYER) -> DataFrame:
 
 def sessionise(rounds: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Row-level sessions: each round with its gap and session number."""
-    seq = sequence_rounds(rounds, t.session_idle_s)
+    seq = sequence_rounds(rounds, t.session_idle_s, bucket=t.sequence_bucket)
     segments = number_sessions(seq.select(*PLAYER, "segment_start", "continues").distinct())
     return seq.join(segments.drop("continues"), [*PLAYER, "segment_start"]).drop(
         "hour_utc", "segment_start", "continues"
@@ -74,7 +75,7 @@ def sessionise(rounds: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
 
 def session_totals(rounds: DataFrame, t: Thresholds = Thresholds(), keys: list[str] = PLAYER) -> DataFrame:
     """One row per synthetic session: rounds, stake and winnings."""
-    seq = sequence_rounds(rounds, t.session_idle_s, keys=keys, carry=("valid_bet", "win"))
+    seq = sequence_rounds(rounds, t.session_idle_s, keys=keys, carry=("valid_bet", "win"), bucket=t.sequence_bucket)
     segments = seq.groupBy(*keys, "hour_utc", "segment_start", "continues").agg(
         F.count(F.lit(1)).alias("n"), F.sum("valid_bet").alias("stake"), F.sum("win").alias("won")
     )
@@ -121,7 +122,7 @@ def player_timing(
     floor = t.min_rounds if min_rounds is None else min_rounds
     gap = F.col("gap_s")
     in_range = gap.between(1, t.modal_gap_max_s)
-    seq = sequence_rounds(rounds, t.session_idle_s, carry=("valid_bet", "win"))
+    seq = sequence_rounds(rounds, t.session_idle_s, carry=("valid_bet", "win"), bucket=t.sequence_bucket)
     sums = ["n", "stake", "won", "n_gaps", "same_second_gaps", "concurrent_rounds"]
     # Reduced where the rounds already sit: (player, hour, segment, gap class).
     cube = seq.groupBy(

@@ -6,13 +6,17 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from tallyscope.operators import calibration as cal
 from tallyscope.operators import casegate as cg
+from tallyscope.operators import cohorts as co
 from tallyscope.operators import fastpath as fp
+from tallyscope.operators import features as ft
 from tallyscope.operators import fusion as fu
 from tallyscope.operators import logs as lg
 from tallyscope.operators import redaction as rd
+from tallyscope.plans import rule_queries as rq
 from tallyscope.plans import sqltext as q
-from tallyscope.plans.case_queries import _FZ
+from tallyscope.plans.case_queries import _CD, _FZ
 from tallyscope.plans.registry import register
 from tallyscope.plans.rule_queries import _PC_CTE, events
 from tallyscope.settings import Thresholds
@@ -20,7 +24,8 @@ from tallyscope.sources import archive as ar
 from tallyscope.sources import catalog as ct
 from tallyscope.sources import fixtures as fx
 from tallyscope.sources import sinks as sk
-from tallyscope.sources.durable import shared_dir
+from tallyscope.sources.durable import materialise, shared_dir
+from tallyscope.streaming import jobs
 
 T = Thresholds()
 EV = q.rounds_events()
@@ -238,6 +243,34 @@ register("SNK_4_write_alerts", _alert_log, "case_id action scan severity",
          f"""SELECT case_id, 'opened' AS action, printf('s%02d', seq) AS scan, severity FROM
          (SELECT {fx.CANDIDATE_COLUMNS} FROM ({fx.CANDIDATE_SHAPE}) b WHERE n_err >= 1) WHERE seq <= 2""")
 
+def _written_proposals(s, d):
+    r = fx.rounds_from_events(s, d, None)
+    pc = ft.player_cell_features(r, T, min_rounds=1, evidence=False)
+    people = co.accounts(pc)
+    groups = materialise(co.structural_groups(people, T.but(cohort_min_members=3)).join(co.cohort_ids(people), co.GROUP), "cohorts")
+    path = _place(s, "proposals")
+    sk.write_proposals(groups, co.membership(groups, pc), path)
+    return s.read.json(f"{path}/members").groupBy("parent").agg(
+        F.count("*").alias("members"), F.count_distinct("cohort_id").alias("cohorts"))
+
+
+register("SNK_5_write_proposals", _written_proposals, "parent members:i cohorts:i",
+         r"""SELECT parent, sum(n) AS members, count(*) AS cohorts FROM (SELECT parent,
+         regexp_replace(regexp_replace(uid, '[A-Za-z]', 'a', 'g'), '\d', '#', 'g') AS k, count(DISTINCT uid) AS n FROM r
+         GROUP BY 1, 2) WHERE n >= 3 GROUP BY 1""", q.rounds_events(None))
+
+
+def _frozen_table(s, d):
+    m = rq._kept_metrics(s, d, "'excess_turnover_z'")
+    frozen = cal.fit(m, rq.T)
+    path = _place(s, "frozen")
+    cal.write_frozen(frozen, cal.validate(m, frozen, rq.T), path, train_as_of="1999-01-01", validated_as_of="2001-12-31")
+    return cal.load_frozen(s, path)
+
+
+register("SNK_6_frozen_parameters", _frozen_table,
+         "metric rule kind enabled branch fdr_q:f min_lift:f min_effect_rtp_points:f train_eligible:i validation_verdict train_as_of")
+
 # --- fast path ---------------------------------------------------------------------
 _FAST = T.but(serial_margin=100)
 
@@ -294,6 +327,10 @@ def _records(s, d):
     return lg.parse_entries(fx.logs_from_events(s, d), "salt")
 
 
+def _kept(s, d):
+    return materialise(_records(s, d), "log_records")
+
+
 register("LG_1_parse", _records, "gsid res_code:i path game_id currency agent container player_key",
          "SELECT *, substr(sha256('salt' || token), 1, 12) AS player_key FROM rec", _LOGS)
 register("LG_2_double_settle", lambda s, d: lg.double_settlements(lg.responses(_records(s, d))), "gsid n_responses:i",
@@ -308,7 +345,7 @@ register("LG_4_path_bypass", lambda s, d: lg.path_bypasses(_records(s, d)).group
     F.count("*").alias("n")), "kind detail n:i", f"SELECT kind, detail, count(*) AS n FROM ({_BYP}) GROUP BY 1, 2", _LOGS)
 _GAPS = f"""{_LOGS}, gp AS (SELECT substr(sha256('salt' || token), 1, 12) AS player_key, (epoch_us(ts) - epoch_us(lag(ts) OVER (
     PARTITION BY token ORDER BY ts))) / 1e6 AS gap_s FROM resp WHERE token IS NOT NULL AND res_code = 1000)"""
-register("LG_5_cadence_census", lambda s, d: lg.cadence_census(lg.responses(_records(s, d))),
+register("LG_5_cadence_census", lambda s, d: lg.cadence_census(lg.responses(_kept(s, d))),
          "player_key rounds:i min_gap_s:f median_gap_s:f",
          """SELECT player_key, count(*) AS rounds, min(gap_s) AS min_gap_s,
          list_sort(list(gap_s) FILTER (gap_s IS NOT NULL))[CAST(count(gap_s) // 2 + 1 AS INTEGER)] AS median_gap_s
@@ -321,7 +358,7 @@ _HITS = """h AS (SELECT gsid, 'LOG-DOUBLE_SETTLE' AS signal_id, count(*) AS valu
     WHERE gsid IS NOT NULL AND res_code != 0 GROUP BY 1 HAVING bool_or(res_code = 1000) AND bool_or(res_code != 1000)),
   who AS (SELECT gsid, arg_min(doc ->> '$.parent', (ts, doc ->> '$.parent', doc ->> '$.uid')) AS parent,
     arg_min(doc ->> '$.uid', (ts, doc ->> '$.parent', doc ->> '$.uid')) AS uid FROM rec WHERE container = 'play-go' GROUP BY 1)"""
-register("LG_6_signals", lambda s, d: lg.log_signals(_records(s, d)), "signal_id family grain parent uid metric value:f",
+register("LG_6_signals", lambda s, d: lg.log_signals(_kept(s, d)), "signal_id family grain parent uid metric value:f",
          f"""SELECT signal_id, 'INTEGRITY' AS family, CASE WHEN uid IS NULL THEN 'game_cell' ELSE 'player_cell' END AS grain,
          parent, uid, CASE signal_id WHEN 'LOG-DOUBLE_SETTLE' THEN 'spin_responses_per_round' ELSE 'round_replay_codes' END AS metric,
          value FROM h LEFT JOIN who USING (gsid) UNION ALL SELECT 'LOG-PATH_BYPASS', 'ENVIRONMENT', 'game_cell', NULL, NULL,
@@ -331,11 +368,11 @@ register("LG_7_time_window",
              "2024-01-20T00:01:30", "2024-01-10T00:01:00")), "event_id:i",
          "SELECT event_id FROM raw WHERE ts >= TIMESTAMP '2024-01-10' AND ts <= TIMESTAMP '2024-01-20'", _LOGS)
 register("LG_8_attribution",
-         lambda s, d: (lambda r: lg.attribution(r, lg.double_settlements(lg.responses(r))))(_records(s, d)).select(
+         lambda s, d: (lambda r: lg.attribution(r, lg.double_settlements(lg.responses(r))))(_kept(s, d)).select(
              "gsid", "who.parent", "who.uid"), "gsid parent uid",
          "SELECT gsid, parent, uid FROM who JOIN (SELECT DISTINCT gsid FROM h WHERE signal_id = 'LOG-DOUBLE_SETTLE') USING (gsid)",
          f"{_LOGS}, {_HITS}")
-register("JN_11_log_attribution", lambda s, d: lg.log_signals(_records(s, d)).where("uid IS NOT NULL"),
+register("JN_11_log_attribution", lambda s, d: lg.log_signals(_kept(s, d)).where("uid IS NOT NULL"),
          "signal_id parent uid", "SELECT signal_id, parent, uid FROM h JOIN who USING (gsid)", f"{_LOGS}, {_HITS}")
 register("LG_9_code_histogram", lambda s, d: lg.code_histogram(lg.responses(_records(s, d))), "res_code:i n:i",
          "SELECT res_code, count(*) AS n FROM resp WHERE res_code IS NOT NULL GROUP BY 1", _LOGS)
@@ -343,7 +380,7 @@ register("LG_9_code_histogram", lambda s, d: lg.code_histogram(lg.responses(_rec
 
 def _monitor(s, d):
     store = cg.GateStore(s, _place(s, "logstate"))
-    return store.ingest("2024-01-30T00:00", fu.fuse(lg.log_signals(_records(s, d))))
+    return store.ingest("2024-01-30T00:00", fu.fuse(lg.log_signals(_kept(s, d))))
 
 
 register("LG_9_monitor_alerts", _monitor, "case_id action escalation severity")
@@ -400,3 +437,35 @@ register("LG_11_redact_json", lambda s, d: rd.redact_json(
 register("LG_12_fail_closed_gate",
          lambda s, d: rd.assert_clean(rd.redact_text(_texts(s, d), "text", "s"), ["text"]).select("doc_id"),
          "doc_id:i", "SELECT doc_id FROM documents")
+
+
+# --- gate over repeated and streamed scans --------------------------------------------------
+
+
+def _scan_gate(s, d):
+    """A scan given twice is taken once."""
+    store = cg.GateStore(s, _place(s, "scangate"))
+    c = fx.candidates_from_events(s, d)
+    first = store.ingest("s01", c.where("scan = 's01'"))
+    again = store.ingest("s01", c.where("scan = 's01'"))
+    second = store.ingest("s02", c.where("scan = 's02'"))
+    return first.unionByName(again).unionByName(second)
+
+
+register("CS_8_scan_gate", _scan_gate, "case_id action scan severity", "SELECT * FROM ca WHERE seq <= 2 AND action IS NOT NULL", _CD)
+
+
+def _streamed(s, d):
+    source, state = _place(s, "stream"), _place(s, "state")
+    events(s, d).write.parquet(source)
+    store = cg.GateStore(s, state)
+    run = jobs.start_integrity(s, source, fx.catalog(s), store, f"{state}/checkpoint", available_now=True)
+    run.awaitTermination()
+    return s.read.json(f"{state}/alerts")
+
+
+register("CS_9_stream_gate", _streamed, "parent uid action escalation severity",
+         f"""SELECT parent, uid, 'opened' AS action, 'human_review' AS escalation,
+         CASE WHEN bool_or(mx) THEN 'Critical' ELSE 'High' END AS severity FROM (
+         SELECT *, coalesce(max_multiple > cap_cert, FALSE) AS mx FROM {q.certified('pc')})
+         WHERE balance_violations > 0 OR dup_seq_rounds > 0 OR mx GROUP BY 1, 2""", f"{EV}, {q.catalog()}, {_PC_CTE}")

@@ -55,6 +55,7 @@ class Thresholds:
     min_rounds: int = 200
     session_idle_s: int = 30 * 60
     gap_cap_s: int = 600
+    sequence_bucket: str = "HOUR"
     modal_gap_max_s: int = 30
     physical_rpm: int = 120
     hot_session_rounds: int = 30

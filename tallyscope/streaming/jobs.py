@@ -19,6 +19,7 @@ from tallyscope.operators.fusion import fuse
 from tallyscope.operators.logs import log_signals, parse_entries
 from tallyscope.schema import LOG_ENTRY, ROUND
 from tallyscope.settings import Thresholds
+from tallyscope.sources.durable import materialise
 
 
 def scan_id_of(batch_id: int) -> str:
@@ -72,7 +73,7 @@ def log_batch(store: GateStore, salt: str, t: Thresholds = Thresholds(),
 
     def run(batch: DataFrame, batch_id: int) -> None:
         entries = batch if overlap is None else overlap(batch)
-        gate_candidates(log_signals(parse_entries(entries, salt)), store, scan_id_of(batch_id), "log", t)
+        gate_candidates(log_signals(materialise(parse_entries(entries, salt), "log_records")), store, scan_id_of(batch_id), "log", t)
 
     return run
 
