@@ -104,8 +104,11 @@ def top_rounds(df: DataFrame, keys: list[str], k: int = 5, name: str = "top_win_
     )
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]):
+def join_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on keys that may be NULL (a missing build tag is a group of its own)."""
+    r = right.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     cond = F.lit(True)
     for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return left.join(r, cond, how).drop(*[f"_k_{k}" for k in keys])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyscope.functions.columns import breaks_identity, multiple, top_rounds
+from tallyscope.functions.columns import breaks_identity, join_keys, multiple, top_rounds
 from tallyscope.operators.features import duplicate_rounds
 from tallyscope.operators.layer1 import integrity_signals
 from tallyscope.operators.lookups import DEFAULT_EXCLUSIONS, Exclusions, apply_exclusions
@@ -27,7 +27,7 @@ def absolute_aggregate(rounds: DataFrame, t: Thresholds = Thresholds()) -> DataF
         F.count(F.lit(1)).alias("rounds"), F.count_if(breaks_identity(t)).alias("balance_violations"),
         F.max(multiple()).alias("max_multiple"), F.max("serial").alias("grp_max_serial"))
     dup = duplicate_rounds(rounds, PLAYER_CELL)
-    return base.join(dup, PLAYER_CELL, "left").withColumn(
+    return join_keys(base, dup, PLAYER_CELL).withColumn(
         "dup_seq_rounds", F.coalesce("dup_seq_rounds", F.lit(0)))
 
 
@@ -37,8 +37,8 @@ def violations(aggregate: DataFrame, rounds: DataFrame, catalog: DataFrame) -> D
     v = aggregate.join(F.broadcast(cap), F.lit(True), "left").where(
         (F.col("balance_violations") > 0) | (F.col("dup_seq_rounds") > 0)
         | F.coalesce(F.col("max_multiple") >= F.col("min_cap"), F.lit(False))).drop("min_cap")
-    flagged = rounds.join(v.select(*PLAYER_CELL), PLAYER_CELL, "left_semi")
-    return v.join(top_rounds(flagged, PLAYER_CELL), PLAYER_CELL, "left")
+    flagged = join_keys(rounds, v.select(*PLAYER_CELL), PLAYER_CELL, "left_semi")
+    return join_keys(v, top_rounds(flagged, PLAYER_CELL), PLAYER_CELL)
 
 
 def scan_summary(aggregate: DataFrame, watermark: int) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyscope.functions.columns import (
-    breaks_identity, identity_gap, log_multiple, multiple, ratio, top_rounds,
+    breaks_identity, identity_gap, join_keys, log_multiple, multiple, ratio, top_rounds,
 )
 from tallyscope.settings import CELL, FEATURE_BUY_TYPES, PLAYER, PLAYER_CELL, Thresholds
 
@@ -75,7 +75,7 @@ def duplicate_rounds(rounds: DataFrame, keys: list[str]) -> DataFrame:
 
 def _with_duplicates(stats: DataFrame, rounds: DataFrame, keys: list[str]) -> DataFrame:
     dup = duplicate_rounds(rounds, keys)
-    return stats.join(dup, keys, "left").withColumn("dup_seq_rounds", _long(F.col("dup_seq_rounds")))
+    return join_keys(stats, dup, keys).withColumn("dup_seq_rounds", _long(F.col("dup_seq_rounds")))
 
 
 def player_cell_features(
@@ -93,7 +93,7 @@ def player_cell_features(
     ).where(F.col("rounds") >= floor)
     out = _with_duplicates(stats, rounds, PLAYER_CELL)
     if evidence:
-        out = out.join(top_rounds(rounds, PLAYER_CELL), PLAYER_CELL, "left")
+        out = join_keys(out, top_rounds(rounds, PLAYER_CELL), PLAYER_CELL)
     return out
 
 
@@ -109,7 +109,7 @@ def player_cell_daily(
     )
     out = _with_duplicates(stats, dated, keys)
     if evidence:
-        out = out.join(top_rounds(dated, keys), keys, "left")
+        out = join_keys(out, top_rounds(dated, keys), keys)
     return out
 
 
@@ -306,14 +306,17 @@ def rollup_daily(daily: DataFrame, through=None) -> DataFrame:
 def rollup_asof(baseline: DataFrame, increment: DataFrame) -> DataFrame:
     """Baseline totals full-outer-joined with a later increment."""
     b, i = baseline.alias("b"), increment.alias("i")
-    joined = b.join(i, PLAYER_CELL, "full")
+    same = F.lit(True)
+    for k in PLAYER_CELL:
+        same = same & F.col(f"b.{k}").eqNullSafe(F.col(f"i.{k}"))
+    joined = b.join(i, same, "full")
 
     def both(c: str, f) -> Column:
         return f(F.col(f"b.{c}"), F.col(f"i.{c}")).alias(c)
 
     add = lambda x, y: F.coalesce(x, F.lit(0)) + F.coalesce(y, F.lit(0))
     return joined.select(
-        *PLAYER_CELL,
+        *[both(k, F.coalesce) for k in PLAYER_CELL],
         *[both(c, add) for c in ADDITIVE],
         both("active_days", add),
         both("max_multiple", F.greatest),
@@ -353,7 +356,7 @@ def subtract_half(end: DataFrame, mid: DataFrame, keys: list[str], additive: lis
     """Second-half totals: cumulative(end) - cumulative(mid) of additive columns."""
     cols = [c for c in additive if c in end.columns and c in mid.columns]
     m = mid.select(*keys, *[F.col(c).alias(f"_mid_{c}") for c in cols])
-    return end.select(*keys, *cols).join(m, keys, "left").select(
+    return join_keys(end.select(*keys, *cols), m, keys).select(
         *keys, *[(F.col(c) - F.coalesce(F.col(f"_mid_{c}"), F.lit(0))).alias(c) for c in cols]
     )
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyscope.functions.columns import ratio
+from tallyscope.functions.columns import join_keys, ratio
 from tallyscope.functions.ranks import volume_group
 from tallyscope.operators.features import per_player_buys
 from tallyscope.operators.lookups import DEFAULT_EXCLUSIONS, Exclusions, apply_exclusions, with_certified
@@ -39,7 +39,7 @@ def leave_operator_out(
     """Binomial z of a player-cell rate against its peers outside the operator."""
     cc = cell_constants.select(*CELL, F.col("rounds").alias("_cr"), (F.col(rate) * F.col("rounds")).alias("_cn"))
     co = cell_operator.select(*CELL, "parent", F.col("rounds").alias("_or"), F.col(own).alias("_on"))
-    j = cells.join(cc, CELL, "left").join(co, CELL + ["parent"], "left")
+    j = join_keys(join_keys(cells, cc, CELL), co, CELL + ["parent"])
     zero = F.lit(0.0)
     peers = F.greatest(F.col("_cr") - F.coalesce("_or", zero), zero)
     hits = F.greatest(F.col("_cn") - F.coalesce("_on", zero), zero)
@@ -59,7 +59,7 @@ def leave_operator_out(
 def excess_money(cells: DataFrame, cell_constants: DataFrame, catalog: DataFrame) -> DataFrame:
     """z of winnings above the certified return, weighted for unequal stakes."""
     sigma = cell_constants.select(*CELL, "sigma_spin")
-    j = with_certified(cells.join(sigma, CELL, "left"), catalog)
+    j = with_certified(join_keys(cells, sigma, CELL), catalog)
     j = j.where("rtp_cert IS NOT NULL AND sigma_spin > 0 AND sumsq_valid_bet > 0")
     excess = F.col("total_win") - F.col("rtp_cert") * F.col("turnover")
     return (

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyscope.functions.columns import ratio
+from tallyscope.functions.columns import join_keys, ratio
 from tallyscope.operators.fusion import severity_rank
 from tallyscope.operators.lookups import with_certified
 from tallyscope.settings import CELL, Thresholds
@@ -279,7 +279,7 @@ def drilldown_series(daily: DataFrame, cells: DataFrame, catalog: DataFrame) ->
     s = d.groupBy("parent", "uid", *CELL).agg(points.alias("points"))
     peer = cells.select(*CELL, (100 * F.col("rtp_emp")).alias("_rtp"), F.round(100 * F.col("p_trigger"), 3).alias(
         "ref_trigger_rate_pct"), F.round(100 * F.col("p_hit"), 2).alias("ref_hit_rate_pct"))
-    j = with_certified(s.join(peer, CELL, "left"), catalog)
+    j = with_certified(join_keys(s, peer, CELL), catalog)
     ref = F.when(F.col("rtp_cert").isNotNull(), F.round(100 * F.col("rtp_cert"), 2)).otherwise(F.col("_rtp"))
     return j.withColumns({
         "ref_rtp_pct": ref,

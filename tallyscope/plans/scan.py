@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscope.functions.columns import top_rounds
+from tallyscope.functions.columns import join_keys, top_rounds
 from tallyscope.operators import anomaly, calibration, cohorts, features, fusion, layer1, layer2, metrics, timing
 from tallyscope.operators.casegate import GateStore
 from tallyscope.operators.lookups import DEFAULT_EXCLUSIONS, Exclusions
@@ -65,8 +65,8 @@ def calibrate(
 def attach_evidence(signals: DataFrame, rounds: DataFrame) -> DataFrame:
     """Top-win evidence, read only for the player-cells that have a signal."""
     cells = signals.where("grain = 'player_cell'").select(*PLAYER_CELL).distinct()
-    wins = top_rounds(rounds.join(cells, PLAYER_CELL, "left_semi"), PLAYER_CELL)
-    keyed = signals.join(wins, PLAYER_CELL, "left").withColumn("evidence", F.when(
+    wins = top_rounds(join_keys(rounds, cells, PLAYER_CELL, "left_semi"), PLAYER_CELL)
+    keyed = join_keys(signals, wins, PLAYER_CELL).withColumn("evidence", F.when(
         F.col("grain") == "player_cell", F.coalesce("evidence", F.split("top_win_seq_ids", r"\|"))
     ).otherwise(F.col("evidence")))
     return keyed.select(*signals.columns)

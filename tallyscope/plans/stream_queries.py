@@ -341,7 +341,7 @@ register("LG_3_round_replay", lambda s, d: lg.round_replays(lg.responses(_record
          WHERE gsid IS NOT NULL AND res_code != 0 GROUP BY 1 HAVING bool_or(res_code = 1000) AND bool_or(res_code != 1000)""", _LOGS)
 _BYP = """SELECT 'path' AS kind, path AS detail FROM rec WHERE container = 'spin-server' AND path IS NOT NULL
     UNION ALL SELECT 'unknown_agent', agent FROM resp WHERE agent IS NOT NULL AND contains(payload, 'Agent not found')"""
-register("LG_4_path_bypass", lambda s, d: lg.path_bypasses(_records(s, d)).groupBy("kind", "detail").agg(
+register("LG_4_path_bypass", lambda s, d: lg.path_bypasses(_kept(s, d)).groupBy("kind", "detail").agg(
     F.count("*").alias("n")), "kind detail n:i", f"SELECT kind, detail, count(*) AS n FROM ({_BYP}) GROUP BY 1, 2", _LOGS)
 _GAPS = f"""{_LOGS}, gp AS (SELECT substr(sha256('salt' || token), 1, 12) AS player_key, (epoch_us(ts) - epoch_us(lag(ts) OVER (
     PARTITION BY token ORDER BY ts))) / 1e6 AS gap_s FROM resp WHERE token IS NOT NULL AND res_code = 1000)"""

@@ -230,6 +230,20 @@ def test_integrity_rules_hit_exactly_the_planted_accounts(spark):
     assert all(x["evidence"] for x in full)
 
 
+def test_a_missing_build_tag_is_a_cell_of_its_own(spark):
+    from tallyscope.operators import features as ft
+    from tallyscope.operators.fastpath import fast_signals
+
+    r = planted(spark).withColumn("sm_tag", F.lit(None).cast("string"))
+    row = ft.player_cell_features(r, min_rounds=1).where("uid = 'dup'").first()
+    assert row["dup_seq_rounds"] == 1 and row["top_win_seq_ids"]
+    daily = ft.player_cell_daily(r)
+    both = ft.rollup_asof(ft.rollup_daily(daily), ft.rollup_daily(daily)).where("uid = 'dup'").collect()
+    assert [(b["rounds"], b["dup_seq_rounds"]) for b in both] == [(20, 2)]
+    cat = spark.createDataFrame([("g1", 0, 0.96, 5000.0)], "game_id string, play_type int, rtp double, max_multiplier double")
+    assert {x["uid"] for x in fast_signals(r, cat).where("size(evidence) > 0").collect()} == {"dup", "cap", "gap"}
+
+
 def test_prescient_stakes_are_found_and_honest_ones_are_not(spark):
     from tallyscope.operators import features as ft
     from tallyscope.operators.layer1 import prescient_signals
