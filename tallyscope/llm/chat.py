@@ -20,12 +20,12 @@ ALIASES = {"system": SYSTEM, "user": USER, "human": USER, "prompter": USER, "ass
 NEXT = {START: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 END = {START: 0, ASSISTANT: 0, USER: 3, SYSTEM: 6}  # empty turns that have to be added at the end
 
-MERGE, RELABEL, NAME, INSERT = 1, 2, 1, 3
+MERGE, RELABEL, NAME, INSERT = 1, 5, 1, 3
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 _FAR = 1 << 40
 
 TURN = "conv_id long, part int, place long, turn long, role string, text string, summary array<long>"
-PIECE = "conv_id long, part int, place long, turn long, action string, role string, text string, rendered string"
+PIECE = "conv_id long, part int, place long, turn long, action string, cost int, role string, text string, rendered string"
 
 
 def known_role(role: str | None) -> int:
@@ -109,8 +109,8 @@ def repair(conversations: DataFrame) -> DataFrame:
     """Pieces of every conversation, legal and rendered; ``rendered`` in order of (part, place) is its whole string.
 
     One row a turn kept, relabelled or merged, one an empty turn put in, and one
-    that closes the conversation (``end``). The plan is the cheapest one through
-    the legal-turn automaton. Turns are dealt by range of (conv_id, turn), so a
+    that closes the conversation (``end``), each with its cost. The plan is a cheapest one through
+    the legal-turn automaton; of plans of equal cost the split into parts may decide. Turns are dealt by range of (conv_id, turn), so a
     conversation of any length is many parts; each part is summed up in a 4 x 4
     table of costs, the tables of one conversation are joined (one row a part),
     and each part is then worked out between its known end states.
@@ -201,23 +201,23 @@ def _pieces(group: pd.DataFrame) -> list[tuple]:
     out = []
     span = 4  # room for empty turns between the places of turns
     for place, turn, text, r, t in zip(group["place"], group["turn"], group["text"], roles, states, strict=True):
-        _, action, empty = moves(r)[state, t]
+        cost, action, empty = moves(r)[state, t]
         turn = None if pd.isna(turn) else int(turn)
         at = int(place) * span
         for e in empty:
-            out.append((conv, part, at, turn, "empty", ROLES[e], "", (CLOSE if state != START else "") + f"{OPEN}{ROLES[e]}\n"))
+            out.append((conv, part, at, turn, "empty", INSERT, ROLES[e], "", (CLOSE if state != START else "") + f"{OPEN}{ROLES[e]}\n"))
             state, at = e, at + 1
         body = _plain(text)
         if action.startswith("merge"):
             lead = "\n"
         else:
             lead = (CLOSE if state != START else "") + f"{OPEN}{ROLES[t]}\n"
-        out.append((conv, part, at, turn, action, ROLES[t], body, lead + body))
+        out.append((conv, part, at, turn, action, cost - INSERT * len(empty), ROLES[t], body, lead + body))
         state = t
     if group["last"].iloc[0]:
         at += 1
         for e in _closing(state):
-            out.append((conv, part, at, None, "empty", ROLES[e], "", f"{CLOSE}{OPEN}{ROLES[e]}\n"))
+            out.append((conv, part, at, None, "empty", INSERT, ROLES[e], "", f"{CLOSE}{OPEN}{ROLES[e]}\n"))
             at += 1
-        out.append((conv, part, at, None, "end", None, "", CLOSE))
+        out.append((conv, part, at, None, "end", 0, None, "", CLOSE))
     return out

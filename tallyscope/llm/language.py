@@ -184,7 +184,10 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | Non
             )
 
     def train(frames):
-        data = pd.concat(list(frames), ignore_index=True)
+        given = list(frames)
+        if not given:
+            return
+        data = pd.concat(given, ignore_index=True)
         data = data[data["at"].map(len) > 0].sort_values(["order_", "lang"], kind="stable")
         if not len(data):
             return

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscope.llm import bytepairs, chat, language, packing, quality, sharding, simhash, suffixes, toxicity, vectors
+from tallyscope.llm import bytepairs, chat, language, packing, quality, sharding, simhash, sqltext, suffixes, toxicity, vectors
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -72,4 +72,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_toxicity_chain, op8_role_repair, op9_language, op10_suffix_dedup,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_near_vectors": sqltext.OP1, "op6_line_quality": sqltext.OP6, "op10_suffix_dedup": sqltext.OP10,
+}

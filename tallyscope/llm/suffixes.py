@@ -59,10 +59,10 @@ def anchors(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[
     if n < LENGTH:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     h = flat.astype(np.uint64)
-    power, have = _A, 1
+    power, have = int(_A), 1
     while have < GRAM:
-        h = h[:-have] * power + h[have:]
-        power, have = power * power, 2 * have
+        h = h[:-have] * np.uint64(power) + h[have:]
+        power, have = power * power % (1 << 64), 2 * have
     h ^= h >> np.uint64(32)
     h *= _B
     h ^= h >> np.uint64(29)
@@ -120,8 +120,9 @@ def _filter(grams: DataFrame) -> np.ndarray:
     It only spares work: grams that share a bit with a repeated one pass as well.
     """
     slot = F.shiftrightunsigned("gram", 1).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    rows = grams.groupBy(F.bitmap_bucket_number(slot).alias("page")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits")
+    # Spark numbers bits and pages from one
+    rows = grams.groupBy(F.bitmap_bucket_number(slot + 1).alias("page")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot + 1)).alias("bits")
     ).collect()
     out = np.zeros(1 << (FILTER_BITS - 3), dtype=np.uint8)
     for r in rows:

@@ -19,13 +19,14 @@ THRESHOLD = 0.5
 #: in chain order; each is a label of its own and a hint to the later ones
 CATEGORIES = ("poor", "toxic", "toxic_poor")
 
-ALPHA, BETA, L1, L2, EPOCHS, BATCH = 0.5, 1.0, 1.0, 0.1, 4, 32
+ALPHA, BETA, L1, L2, EPOCHS, BATCH = 0.5, 1.0, 4.0, 0.1, 6, 32
 _PLAIN = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
 
 
 def words(text: str | None) -> np.ndarray:
-    """Buckets of the distinct words of a whole text."""
+    """Buckets of the distinct words of a whole text and of their beginnings of 4 and 5 bytes."""
     found = set((text or "").lower().encode("utf-8", "surrogatepass").translate(_PLAIN).split())
+    found |= {b"4" + w[:4] for w in found if len(w) > 3} | {b"5" + w[:5] for w in found if len(w) > 4}
     return np.unique(np.fromiter(map(crc32, found), dtype=np.int64, count=len(found)) % BUCKETS)
 
 
