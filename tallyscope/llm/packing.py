@@ -6,12 +6,15 @@ import os
 import re
 import zlib
 from functools import lru_cache
+from struct import pack as pack_ids
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyscope.llm.bytepairs import byte_letters
 from tallyscope.llm.rows import texts_of
 
 END_ID = 2
@@ -46,8 +49,9 @@ class WordIds:
 
     Exact for tokenizers that drop white space, compose to NFC and lower-case,
     since none of that looks across a blank; a full stop or comma between an
-    ASCII letter and a blank is a word of its own there. New stretches go to
-    the tokenizer joined by a special token, whose id parts the result again.
+    ASCII letter and a blank is a word of its own there. New words of letters go
+    to the tokenizer's model, other stretches to the whole tokenizer, joined by
+    a special token whose id parts the result again.
     The store of stretches is emptied when it holds ``_CACHED`` of them, so
     memory stays bounded.
     """
@@ -60,6 +64,7 @@ class WordIds:
         self._bar_id, bar = min(added.items())
         self._bar = bar.content
         self._marks = [t.content.encode("utf-8") for t in added.values()]
+        self._letters = str.maketrans(byte_letters())
         self._ids: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -77,18 +82,26 @@ class WordIds:
         return [b"".join([known[w] for w in words]) for words in split]
 
     def _learn(self, words: list[bytes]) -> None:
-        alone = [w for w in words if any(m in w for m in self._marks)]
-        for w in alone:
-            ids = self._tokenizer.encode(w.decode("utf-8"), add_special_tokens=False).ids
-            self._ids[w] = np.array(ids, dtype="<u4").tobytes()
-        plain = [w for w in words if w not in self._ids] if alone else words
-        for at in range(0, len(plain), 5000):
-            part = plain[at : at + 5000]
-            text = self._bar.join([w.decode("utf-8") for w in part])
+        """Look new stretches up: plain lower-case words straight in the model, others by the whole tokenizer."""
+        rest = []
+        model = self._tokenizer.model
+        for w in words:
+            word = w.decode("utf-8")
+            if word.isalpha() and word == word.lower() and (word.isascii() or is_normalized("NFC", word)):
+                ids = [t.id for t in model.tokenize(w.decode("latin-1").translate(self._letters))]
+                self._ids[w] = pack_ids(f"<{len(ids)}I", *ids)
+            elif any(m in w for m in self._marks):
+                ids = self._tokenizer.encode(word, add_special_tokens=False).ids
+                self._ids[w] = pack_ids(f"<{len(ids)}I", *ids)
+            else:
+                rest.append((w, word))
+        for at in range(0, len(rest), 5000):
+            part = rest[at : at + 5000]
+            text = self._bar.join([word for _, word in part])
             ids = np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
             cuts = np.flatnonzero(ids == self._bar_id)
             raw, start = ids.tobytes(), 0
-            for w, cut in zip(part, [*(4 * cuts).tolist(), len(raw)], strict=True):
+            for (w, _), cut in zip(part, [*(4 * cuts).tolist(), len(raw)], strict=True):
                 self._ids[w] = raw[start:cut]
                 start = cut + 4
 
