@@ -1,4 +1,4 @@
-"""Behavioural rules per player, distribution and simulation tests, and scoring."""
+"""Behavioural rules per player, the distribution test, and scoring."""
 
 from __future__ import annotations
 
@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from tallyscope.functions.columns import ratio, top_rounds
 from tallyscope.functions.normal import normal_sf
 from tallyscope.functions.ranks import bh_select, quantile_values, robust_bounds
-from tallyscope.functions.tasks import draw_sums
 from tallyscope.operators.timing import is_hot_session, number_sessions, sequence_rounds
 from tallyscope.settings import FEATURE_BUY_TYPES, PLAYER, Thresholds
 
@@ -156,9 +155,6 @@ def distribution_test(
     return out.withColumn("selected", F.col("selected") & (F.col("z") > 0) & (F.col("shift") >= min_shift))
 
 
-# --- simulation of a player's return under the stated outcome table ---------------
-
-
 def rtp_screen(daily: DataFrame, min_rounds: int = 200, min_rtp: float = 1.05) -> DataFrame:
     """Players whose return over the daily totals is high enough to test."""
     g = daily.groupBy(*PLAYER).agg(
@@ -168,76 +164,6 @@ def rtp_screen(daily: DataFrame, min_rounds: int = 200, min_rtp: float = 1.05) -
     return g.where(F.col("rtp") >= min_rtp)
 
 
-def stake_table(rounds: DataFrame, players: DataFrame) -> DataFrame:
-    """Stakes of the given players as counts per (table, stake)."""
-    return rounds.join(players.select(*PLAYER), PLAYER, "left_semi").groupBy(*PLAYER, "table_id", "bet").agg(
-        F.count(F.lit(1)).alias("n"))
-
-
-def simulate_returns(
-    stakes: DataFrame, observed: DataFrame, bands: DataFrame, *, sims: int = 20000, seed: int = 11,
-    max_win: float = 1e9, block: int = 1000, chunk: int = 20000,
-) -> DataFrame:
-    """Null distribution of each player's return; one row per player.
-
-    Work is split into (player, table, stake, part of the rounds, simulation
-    block) rows, so a heavy player spreads over many tasks; partial sums meet in
-    one small aggregation per (player, simulation). Seeds derive from the row.
-    """
-    spark = stakes.sparkSession
-    table = bands.orderBy("table_id", "lo", "hi").toPandas()  # the outcome tables: a fixed specification
-    spec = {}
-    for tid, b in table.groupby("table_id"):
-        w = b["weight"].to_numpy(float)
-        spec[tid] = (b["lo"].to_numpy(float), b["hi"].to_numpy(float), np.cumsum(w) / w.sum())
-    tables = spark.sparkContext.broadcast(spec)
-    blocks = max(1, -(-sims // block))
-    parts = F.ceil(F.col("n") / chunk).cast("int")
-    work = (
-        stakes.withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
-        .withColumn("_n", F.least(F.lit(chunk), F.col("n") - F.col("_part") * chunk).cast("int"))
-        .withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        .withColumn("_seed", F.xxhash64(F.lit(seed), *PLAYER, "table_id", "bet", "_part", "_block"))
-        .select(*PLAYER, "table_id", "bet", "_block", "_n", "_seed")
-        .repartition(*PLAYER, "table_id", "bet", "_block")
-    )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = tables.value
-        for pdf in batches:
-            for parent, uid, table_id, bet, at, n, mark in pdf.itertuples(index=False, name=None):
-                lo, hi, cum = known[table_id]
-                rng = np.random.default_rng(int(mark) & 0xFFFFFFFFFFFFFFFF)
-                k = min(block, sims - int(at) * block)
-                sums = draw_sums(rng, lo, hi, cum, max_win, int(n), k) * float(bet)
-                yield pd.DataFrame({
-                    "parent": parent, "uid": uid, "sim": np.arange(k, dtype="int64") + int(at) * block, "won": sums})
-
-    partial = work.mapInPandas(run, "parent string, uid string, sim bigint, won double")
-    per_sim = partial.groupBy(*PLAYER, "sim").agg(F.sum("won").alias("won"))
-    j = per_sim.join(observed.select(*PLAYER, "turnover", "rtp"), PLAYER).withColumn("_r", F.col("won") / F.col("turnover"))
-    return j.groupBy(*PLAYER).agg(
-        F.first("rtp").alias("rtp"), F.count(F.lit(1)).alias("sims"), F.count_if(F.col("_r") >= F.col("rtp")).alias("ge"),
-        F.median("_r").alias("null_median"), F.percentile("_r", 0.99).alias("null_p99"), F.max("_r").alias("null_max"),
-    ).withColumn("p_value", (1 + F.col("ge")) / (F.col("sims") + 1)).withColumn("at_floor", F.col("ge") == 0)
-
-
-def simulation_select(results: DataFrame, q: float = 0.05) -> DataFrame:
-    """BH over simulated p-values, through the equivalent normal score."""
-    from tallyscope.functions.normal import normal_ppf
-
-    z = results.withColumn("_u", F.greatest(1 - F.col("p_value"), F.lit(1e-12))).withColumn("_z", normal_ppf("_u"))
-    return bh_select(z, [], "_z", q).drop("_u", "_z")
-
-
-def refine_sims(candidates: int, sims: int, q: float) -> int | None:
-    """Simulations needed so that the smallest p-value can pass BH, if more are needed."""
-    need = q / max(candidates, 1)
-    if 1.0 / (sims + 1) <= need:
-        return None
-    return int(max(sims, np.ceil(4.0 / need)))
-
-
 # --- fusing directions and scoring against labels ----------------------------------
 
 

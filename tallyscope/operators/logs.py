@@ -40,7 +40,7 @@ def parse_entries(entries: DataFrame, salt: str = "") -> DataFrame:
         F.coalesce(_text("params.gameId"), _text("params.gameID")).alias("game_id"),
         _text("params.sm_tag").alias("sm_tag"), _text("params.currency").alias("currency"),
         F.when(token.isNotNull(), F.substring(F.sha2(F.concat(F.lit(salt), token), 256), 1, 12)).alias("player_key"),
-        F.substring(F.coalesce(_text("data.message"), F.lit("")), 1, 200).alias("message"),
+        F.coalesce(_text("data.message"), F.lit("")).alias("message"),
     )
 
 
@@ -212,18 +212,21 @@ def code_histogram(recs: DataFrame) -> DataFrame:
 
 
 def evidence_pull(
-    evidence: DataFrame, records: DataFrame, now: str, *, pad_s: int = 60, per_case: int = 10,
+    evidence: DataFrame, records: DataFrame, now: str, *, pad_s: int = 60, per_case: int | None = None,
     retention_days: int = 30,
 ) -> DataFrame:
     """Log index per evidence round: entries, containers and response count.
 
+    All evidence of a case is pulled; ``per_case`` keeps its first keys only.
+
     Joined on the round id with a time range; rounds past retention are reported
     as skipped, never silently empty.
     """
-    w = Window.partitionBy("case_id").orderBy("key")
+    if per_case is not None:
+        w = Window.partitionBy("case_id").orderBy("key")
+        evidence = evidence.withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= per_case)
     wanted = (
-        evidence.withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= per_case)
-        .select("case_id", "gsid", F.try_to_timestamp("utc", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        evidence.select("case_id", "gsid", F.try_to_timestamp("utc", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'"))
                 .cast("timestamp_ntz").alias("round_time"))
     )
     floor = F.expr(f"timestamp_ntz'{now}' - interval {int(retention_days)} days")

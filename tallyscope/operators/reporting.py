@@ -149,15 +149,20 @@ def group_status(members: DataFrame) -> DataFrame:
         F.min_by("severity", severity_rank()).alias("severity"))
 
 
-def member_rounds(members: DataFrame, evidence: DataFrame, per_account: int = 2, cap: int = 24) -> DataFrame:
-    """Round evidence shown for a group: two rounds per account, 24 in all."""
+def member_rounds(
+    members: DataFrame, evidence: DataFrame, per_account: int | None = None, cap: int | None = None
+) -> DataFrame:
+    """Round evidence of a group's accounts, in order; a screen may ask for some per account and in all."""
     a = Window.partitionBy("group_id", "case_id").orderBy("key")
     g = Window.partitionBy("group_id").orderBy("uid", "key")
     j = members.where("group_id IS NOT NULL").select("group_id", "case_id", "uid").join(evidence, "case_id", "left")
+    if per_account is not None:
+        j = j.withColumn("_a", F.row_number().over(a)).where(F.col("_a") <= per_account)
+    j = j.withColumn("pos", F.row_number().over(g))
+    if cap is not None:
+        j = j.where(F.col("pos") <= cap)
     return (
-        j.withColumn("_a", F.row_number().over(a)).where(F.col("_a") <= per_account)
-        .withColumn("pos", F.row_number().over(g)).where(F.col("pos") <= cap)
-        .select("group_id", "pos", "uid", F.coalesce("key", F.lit("no round key on file")).alias("key"))
+        j.select("group_id", "pos", "uid", F.coalesce("key", F.lit("no round key on file")).alias("key"))
     )
 
 
@@ -194,10 +199,11 @@ def collapse_days(events: DataFrame) -> DataFrame:
     ).select(F.col("case").alias("case_id"), "_e.*", "occurrences", "first_seen", "last_seen")
 
 
-def list_events(events: DataFrame, limit: int = 200, **filters) -> DataFrame:
-    """The event screen: filtered, collapsed, worst and most recent first."""
+def list_events(events: DataFrame, limit: int | None = None, **filters) -> DataFrame:
+    """The event screen: filtered, collapsed, worst and most recent first; ``limit`` pages it."""
     rows = collapse_days(filter_events(events, **filters))
-    return rows.orderBy(severity_rank(), F.desc("last_seen"), "case_id").limit(limit)
+    rows = rows.orderBy(severity_rank(), F.desc("last_seen"), "case_id")
+    return rows if limit is None else rows.limit(limit)
 
 
 def daily_summary(events: DataFrame, alerts: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ register("L3_6_cadence_correlation", lambda s, d: _timed(s, d, co.cadence_prints
          hp AS (SELECT parent, uid, [{_HP}] AS p FROM r GROUP BY 1, 2 HAVING count(*) >= 5),
          hi AS (SELECT parent, skeleton, p, row_number() OVER (PARTITION BY parent, skeleton ORDER BY uid) AS i
            FROM hp JOIN acc USING (parent, uid) JOIN big USING (parent, skeleton)),
-         hx AS (SELECT parent, skeleton, i, unnest(range(24)) AS h, CAST(unnest(p) AS DOUBLE) AS v FROM hi WHERE i <= 40)""")
+         hx AS (SELECT parent, skeleton, i, unnest(range(24)) AS h, CAST(unnest(p) AS DOUBLE) AS v FROM hi)""")
 register("L3_7_variance_spread_money",
          lambda s, d: (lambda r: co.money_prints(
              co.accounts(cells(r)), cells(r), ft.cell_constants(r), fx.catalog(s), T))(lineitem(s, d)),
@@ -104,16 +104,14 @@ register("L3_8_scale_outlier", _groups, "parent skeleton median_rounds:f parent_
 register("L3_9_proposals", lambda s, d: co.proposals(_groups(s, d), T.but(cohort_min_agreeing=1)),
          "parent skeleton members:i cohort_id",
          """SELECT parent, skeleton, any_value(members) AS members,
-         'cohort_' || substr(sha256(parent || '|' || skeleton || '|' || string_agg(uid, ',' ORDER BY uid)), 1, 12) AS cohort_id
-         FROM (SELECT *, row_number() OVER (PARTITION BY parent, skeleton ORDER BY uid) AS i,
-         count(*) OVER (PARTITION BY parent, skeleton) AS members FROM acc) WHERE i <= 50 AND members >= 3 GROUP BY 1, 2""",
+         'cohort_' || substr(sha256(parent || '|' || skeleton), 1, 12) AS cohort_id
+         FROM (SELECT *, count(*) OVER (PARTITION BY parent, skeleton) AS members FROM acc) WHERE members >= 3 GROUP BY 1, 2""",
          _ACC)
 register("JN_8_cohort_membership",
          lambda s, d: co.membership(_groups(s, d), cells(accounts(s, d))), "parent uid cohort_id",
          """SELECT parent, uid, cohort_id FROM acc JOIN (SELECT parent, skeleton,
-         'cohort_' || substr(sha256(parent || '|' || skeleton || '|' || string_agg(uid, ',' ORDER BY uid)), 1, 12) AS cohort_id
-         FROM (SELECT *, row_number() OVER (PARTITION BY parent, skeleton ORDER BY uid) AS i,
-         count(*) OVER (PARTITION BY parent, skeleton) AS members FROM acc) WHERE i <= 50 AND members >= 3 GROUP BY 1, 2)
+         'cohort_' || substr(sha256(parent || '|' || skeleton), 1, 12) AS cohort_id
+         FROM (SELECT *, count(*) OVER (PARTITION BY parent, skeleton) AS members FROM acc) WHERE members >= 3 GROUP BY 1, 2)
          USING (parent, skeleton)""", _ACC)
 
 # --- unsupervised discovery ------------------------------------------------------
@@ -231,11 +229,11 @@ register("FLT_3_recency_window",
              _cases(s, d).withColumn("last_active_utc", F.lit(None).cast("string")), "2000-06-01 00:00:00", 365),
          f"{_CASE} latest_evidence_utc",
          "SELECT * FROM fz WHERE latest_evidence_utc >= '1999-06-02T00:00:00Z'", _FZ)
-register("SRT_2_candidate_ranking", lambda s, d: fu.ranked(_cases(s, d)).limit(100),
+register("SRT_2_candidate_ranking", lambda s, d: fu.ranked(_cases(s, d)),
          "case_id escalation severity independent_families:i max_abs_value:f",
          """SELECT * FROM fz ORDER BY CASE escalation WHEN 'human_review' THEN 0 WHEN 'enhanced' THEN 1 ELSE 2 END,
          CASE severity WHEN 'Critical' THEN 0 WHEN 'High' THEN 1 WHEN 'Medium' THEN 2 ELSE 3 END,
-         independent_families DESC, max_abs_value DESC, case_id LIMIT 100""", _FZ)
+         independent_families DESC, max_abs_value DESC, case_id""", _FZ)
 register("SET_2_signal_union",
          lambda s, d: (lambda a: a.where("layer = 1").unionByName(a.where("layer = 2")).unionByName(a.where("layer = 3")))(
              fx.signals_from_lineitem(s, d)).groupBy("layer", "signal_id", "family").agg(F.count("*").alias("n")),

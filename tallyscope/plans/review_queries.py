@@ -55,7 +55,7 @@ register("WIN_11_case_lifecycle", lambda s, d: rp.collapse_days(review_events(s,
 _SEV = "CASE severity WHEN 'Critical' THEN 0 WHEN 'High' THEN 1 WHEN 'Medium' THEN 2 ELSE 3 END"
 for _name in ("RL_9_list_events", "SRT_3_event_ranking"):
     register(_name, lambda s, d: rp.list_events(review_events(s, d)), _ROW,
-             f"SELECT * FROM ({_COLLAPSED}) ORDER BY {_SEV}, last_seen DESC, case_id LIMIT 200", _RE)
+             f"SELECT * FROM ({_COLLAPSED}) ORDER BY {_SEV}, last_seen DESC, case_id", _RE)
 
 
 def _alerts(s, d):
@@ -195,9 +195,9 @@ for _name in ("RL_7_member_rounds", "SRT_5_member_rounds"):
     register(_name, lambda s, d: rp.member_rounds(
         rp.group_members(_breaches(s, d)), fu.case_evidence(_cased(s, d))), "group_id pos:i uid key",
         """SELECT group_id, uid, key, pos FROM (SELECT *, row_number() OVER (PARTITION BY group_id ORDER BY uid, key) AS pos FROM (
-        SELECT br.group_id, be.uid, x.key, row_number() OVER (PARTITION BY br.group_id, be.case_id ORDER BY x.key) AS a
+        SELECT br.group_id, be.uid, x.key
         FROM be JOIN br USING (day, sm_tag, breach) JOIN (SELECT DISTINCT ep, eu, key FROM en WHERE NOT isg) x
-        ON x.ep = be.operator AND x.eu = be.uid) WHERE a <= 2) WHERE pos <= 24""", _BE)
+        ON x.ep = be.operator AND x.eu = be.uid))""", _BE)
 
 
 def _series(s, d):
@@ -357,13 +357,3 @@ register("ST_9_distribution_test", lambda s, d: bh.distribution_test(
     lineitem(s, d).where("win > 0").select("parent", "uid", F.col("game_id").alias("table_id"), multiple().alias("outcome_x")),
     bh.band_moments(_bands(s, d, 0.1)), 0.1, 10, 1.0), "parent uid n_wins:i z:f shift:f selected",
     f"SELECT * REPLACE (selected AND z > 0 AND shift >= 1.0 AS selected) FROM {q.bh('tst', '', 'z', '0.1')}", _DIST)
-
-
-def _simulated(s, d):
-    screened = materialise(bh.rtp_screen(_daily(s, d), 20, 0.9), "screened")
-    stakes = bh.stake_table(lineitem(s, d).withColumn("table_id", F.col("game_id")), screened)
-    return bh.simulation_select(bh.simulate_returns(stakes, screened, _bands(s, d, 0.0), sims=400, block=200), 0.1)
-
-
-register("ST_10_simulated_returns", _simulated,
-         "parent uid rtp:f sims:i ge:i p_value:f null_median:f null_p99:f selected")

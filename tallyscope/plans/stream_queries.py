@@ -387,7 +387,7 @@ register("LG_9_monitor_alerts", _monitor, "case_id action escalation severity")
 
 
 def _pulled(s, d):
-    ev = events(s, d).where("serial % 40 = 0").selectExpr(
+    ev = events(s, d).selectExpr(
         "concat('P_', uid) AS case_id", "concat(game_seq_id, '@', date_format(game_time, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")) AS key",
         "game_seq_id AS gsid", "date_format(game_time, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS utc")
     return lg.evidence_pull(ev, _records(s, d), "2024-02-10 00:00:00", pad_s=3600).withColumn(
@@ -395,9 +395,7 @@ def _pulled(s, d):
             e["key"], F.lit("="), e["value"].cast("string"))), ";"))
 
 
-_PULL = f"""{EV}, {_LOGS}, wanted AS (SELECT * FROM (SELECT 'P_' || uid AS case_id, game_seq_id AS g, game_time,
-    row_number() OVER (PARTITION BY uid ORDER BY game_seq_id || '@' || strftime(game_time, '%Y-%m-%dT%H:%M:%SZ')) AS i
-    FROM r WHERE serial % 40 = 0) WHERE i <= 10),
+_PULL = f"""{EV}, {_LOGS}, wanted AS (SELECT 'P_' || uid AS case_id, game_seq_id AS g, game_time FROM r),
   pl AS (SELECT case_id, g, game_time, container, count(rec.ts) AS n, count(*) FILTER (container = 'spin-server' AND
     contains(payload, 'Response')) AS rr FROM wanted LEFT JOIN rec ON rec.gsid = g AND game_time >= TIMESTAMP '2024-01-11'
     AND rec.ts BETWEEN game_time - INTERVAL 1 HOUR AND game_time + INTERVAL 1 HOUR GROUP BY 1, 2, 3, 4)"""
@@ -418,22 +416,37 @@ def _texts(s, d):
         "ELSE concat(text, ' eyJ', doc_id, ' tail') END AS text")
 
 
-_TAG = "'REDACTED:{k}:sha256=' || substr(sha256('s' || {v}), 1, 12)"
-_FRESH = "NOT regexp_matches(text, 'eyJ') AND NOT regexp_matches(text, '(?i)(bearer|authorization)\\s*[:=]\\s*\\S')"
-register("LG_11_redact_text", lambda s, d: rd.redact_text(
-    _texts(s, d).join(fx.table(s, d, "documents").where(
-        r"NOT rlike(text, 'eyJ') AND NOT rlike(text, '(?i)(bearer|authorization)\\s*[:=]\\s*\\S')").select("doc_id"), "doc_id"),
-    "text", "s"),
-    "doc_id:i text n_jwt:i n_bearer:i n_b64_blob:i",
-    f"""SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || ' token ' || {_TAG.format(k='jwt', v=_JWT)} || ' end'
-    WHEN doc_id % 3 = 1 THEN {_TAG.format(k='bearer', v="'Authorization: key' || doc_id")} || ' ' || text
-    ELSE text || ' ' || {_TAG.format(k='b64_blob', v="'eyJ' || doc_id")} || ' tail' END AS text,
-    CASE WHEN doc_id % 3 = 0 THEN 1 ELSE 0 END AS n_jwt, CASE WHEN doc_id % 3 = 1 THEN 1 ELSE 0 END AS n_bearer,
-    CASE WHEN doc_id % 3 = 2 THEN 1 ELSE 0 END AS n_b64_blob FROM documents WHERE {_FRESH}""")
+# The SQL form weaves digests between the pieces around each match, one pattern after the other.
+_RX = [(k, rx) for k, rx in rd.PATTERNS]
+
+
+def _redacted_sql(source: str) -> str:
+    steps, last = [], source
+    for i, (kind, rx) in enumerate(_RX):
+        hit = f"regexp_extract_all(text, '{rx}')"
+        tag = f"'REDACTED:{kind}:sha256=' || substr(sha256('s' || m), 1, 12)"
+        pieces = f"regexp_split_to_array(text, '{rx}')"
+        counts = "".join(f", n_{k}" for k, _ in _RX[:i])
+        steps.append(
+            f"rd{i} AS (SELECT doc_id, array_to_string(list_transform(list_zip(pieces, tags), lambda z: z[1] || coalesce(z[2], '')), '') "
+            f"AS text{counts}, n_{kind} FROM (SELECT doc_id{counts}, {pieces} AS pieces, "
+            f"list_transform({hit}, lambda m: {tag}) AS tags, len({hit}) AS n_{kind} FROM {last}))")
+        last = f"rd{i}"
+    return ", ".join(steps)
+
+
+register("LG_11_redact_text", lambda s, d: rd.redact_text(_texts(s, d), "text", "s"),
+         "doc_id:i text n_jwt:i n_bearer:i n_b64_blob:i", "SELECT * FROM rd2",
+         f"""tx AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN text || ' token ' || {_JWT} || ' end'
+         WHEN doc_id % 3 = 1 THEN 'Authorization: key' || doc_id || ' ' || text ELSE text || ' eyJ' || doc_id || ' tail' END AS text
+         FROM documents), {_redacted_sql("tx")}""")
 register("LG_11_redact_json", lambda s, d: rd.redact_json(
     fx.table(s, d, "documents").select("doc_id", F.to_json(F.struct(
         F.col("source").alias("token"), F.struct(F.lit("eyJabc").alias("blob"), F.col("doc_id").alias("n")).alias("body")))
-        .alias("payload")), "payload", "s"), "doc_id:i payload redactions:i")
+        .alias("payload")), "payload", "s"), "doc_id:i payload redactions:i",
+    """SELECT doc_id, '{"token":"REDACTED:token_field:sha256=' || substr(sha256('s' || source), 1, 12)
+    || '","body":{"blob":"REDACTED:b64_blob:sha256=' || substr(sha256('seyJabc'), 1, 12) || '","n":' || doc_id || '}}' AS payload,
+    2 AS redactions FROM documents""")
 register("LG_12_fail_closed_gate",
          lambda s, d: rd.assert_clean(rd.redact_text(_texts(s, d), "text", "s"), ["text"]).select("doc_id"),
          "doc_id:i", "SELECT doc_id FROM documents")

@@ -111,7 +111,6 @@ class Thresholds:
     cohort_duty_share: float = 0.8
     cohort_corr_min: float = 0.8
     cohort_min_shared_hours: int = 12
-    cohort_corr_members: int = 40
     cohort_scale_factor: float = 20.0
     cohort_rtp_spread: float = 0.02
     cohort_null_sigma: float = 1.0

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,17 +10,10 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for intermediate tables: the cluster's setting, else a local one.
-
-    A temporary folder is made only on a local master, where it is shared.
-    """
-    current = spark.sparkContext.getCheckpointDir()
-    named = spark.conf.get(_SETTING, None) or current
+    """Folder for intermediate tables, as the cluster names it."""
+    named = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set(_SETTING, named)
+        raise RuntimeError(f"set {_SETTING} to a folder every executor can reach")
     return named
 
 

@@ -19,12 +19,8 @@ FINDING_COLUMNS = (
 def candidate_documents(
     cases: DataFrame, cased_signals: DataFrame, window_start: str, window_end: str
 ) -> DataFrame:
-    """One document per case with its signals nested.
-
-    A case holds at most one signal per rule, cell and day of its own entity;
-    per-request log signals are read as rows through :func:`findings` instead.
-    """
-    nested = cased_signals.where(~F.startswith("signal_id", F.lit("LOG-"))).groupBy("case_key").agg(
+    """One document per case with all its signals nested."""
+    nested = cased_signals.groupBy("case_key").agg(
         F.array_sort(F.collect_list(F.struct(
             "signal_id", "family", "layer", "metric", "value", "threshold", "threshold_method", "baseline_source",
             "p_value", "effect", "effect_unit", "n", "persistence", "description", "evidence"))).alias("signals"))
@@ -66,11 +62,13 @@ def emit_findings(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").option("header", True).csv(path)
 
 
-def case_queue(cases: DataFrame, cased_signals: DataFrame) -> DataFrame:
-    """Queue table in investigation order with up to four evidence keys."""
+def case_queue(cases: DataFrame, cased_signals: DataFrame, keys_per_case: int | None = None) -> DataFrame:
+    """Queue table in investigation order with the evidence keys, all unless a number is given."""
     keys = cased_signals.select("case_key", F.explode("evidence").alias("k")).distinct()
-    w = Window.partitionBy("case_key").orderBy("k")
-    top = keys.withColumn("_i", F.row_number().over(w)).where("_i <= 4").groupBy("case_key").agg(
+    if keys_per_case is not None:
+        w = Window.partitionBy("case_key").orderBy("k")
+        keys = keys.withColumn("_i", F.row_number().over(w)).where(F.col("_i") <= keys_per_case)
+    top = keys.groupBy("case_key").agg(
         F.array_join(F.array_sort(F.collect_list("k")), "<br>").alias("evidence"))
     return ranked(cases.join(top, "case_key", "left")).select(
         "case_id", "grain", "escalation", "severity", "independent_families",

@@ -89,16 +89,23 @@ def test_redaction_of_text_and_json(spark):
     texts = [f"a {jwt} b {jwt}", "Authorization: abc next", "eyJ0ZXN0 eyJ0ZXN0Mg==", "clean text", f"bearer={jwt}", ""]
     df = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, text string")
     got = {r["i"]: r["text"] for r in rd.redact_text(df, "text", "s").collect()}
-    from tallyscope.functions.tasks import secret_tag
+    import hashlib
+
+    def tagged(kind, secret):
+        return f"REDACTED:{kind}:sha256=" + hashlib.sha256(("s" + secret).encode()).hexdigest()[:12]
 
     for i, x in enumerate(texts):
         for kind, rx in rd.PATTERNS:
-            x = re.sub(rx, lambda m, k=kind: secret_tag("s", k, m.group(0)), x)
+            x = re.sub(rx, lambda m, k=kind: tagged(k, m.group(0)), x)
         assert got[i] == x
     doc = json.dumps({"token": "abc", "inner": {"note": jwt, "n": 1, "list": [{"Password": "x"}]}})
     j = rd.redact_json(spark.createDataFrame([(doc,), (None,)], "payload string"), "payload", "s").collect()
     clean = json.loads(j[0]["payload"])
     assert clean["token"].startswith("REDACTED:token_field") and clean["inner"]["note"].startswith("REDACTED:jwt")
     assert clean["inner"]["list"][0]["Password"].startswith("REDACTED:token_field") and j[0]["redactions"] == 3
+    plain = '{"a": "Bearer: x\\n y", "token" : "q\\"q", "a": 1.50, "session": "", "b": "authorization=z"}'
+    row = rd.redact_json(spark.createDataFrame([(plain,)], "payload string"), "payload", "s").first()
+    assert row["redactions"] == 3 and '"a": 1.50, "session": ""' in row["payload"]
+    assert row["payload"].startswith('{"a": "REDACTED:bearer') and '\\n y", "token" : "' + tagged("token_field", 'q\\"q') in row["payload"]
     with pytest.raises(ValueError):
         rd.assert_clean(df, ["text"])
