@@ -7,17 +7,15 @@ table of bin totals. No group is ever collected or sorted as a whole.
 
 from __future__ import annotations
 
-from statistics import NormalDist
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyscope.functions.columns import join_keys
 from tallyscope.functions.normal import normal_sf
+from tallyscope.sources.durable import materialise
 
 _BINS = 64
 _ONE = "_one"
-_MAX_Q = 0.1
-_FEW_VALUES = 500_000
 
 
 def value_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:
@@ -52,7 +50,7 @@ def _counted_stats(vc: DataFrame, keys: list[str], picks: dict[str, float | Colu
     edges = vc.groupBy(*keys).agg(
         F.percentile_approx("_v", cuts, 1000).alias("_edges"), F.sum("_c").alias("n")
     )
-    binned = vc.join(edges, keys).withColumn(
+    binned = join_keys(vc, edges, keys, "inner").withColumn(
         "_bin", F.size(F.filter("_edges", lambda e: e < F.col("_v")))
     ).drop("_edges")
     w_bins = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
@@ -71,8 +69,7 @@ def _counted_stats(vc: DataFrame, keys: list[str], picks: dict[str, float | Colu
             wanted = wanted | ((F.col("_start") <= at) & (at < F.col("_start") + F.col("_bc")))
     w_in = Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     ranked = (
-        binned.drop("n")
-        .join(totals.where(wanted).select(*keys, "_bin", "_start", "n"), keys + ["_bin"])
+        join_keys(binned.drop("n"), totals.where(wanted).select(*keys, "_bin", "_start", "n"), keys + ["_bin"], "inner")
         .withColumn("_s", F.col("_start") + F.coalesce(F.sum("_c").over(w_in), F.lit(0)))
     )
     aggs = [F.max("n").alias("n")]
@@ -103,80 +100,46 @@ def robust_bounds(
 
     MAD = 0 falls back to the values above the median, then to their population
     standard deviation, then to no bound. ``quantile`` adds that quantile of the
-    values. Runs a few jobs over distinct values with counts; only one row per
-    group (a metric or a currency) reaches the driver, the values never do. The
-    built-in percentile is used only when the distinct values were counted and
-    are few enough for one task.
+    values. All steps are joins of per-group frames over distinct values with
+    counts; nothing reaches the driver.
     """
     keys = list(groups) or [_ONE]
     if not groups:
         df = df.withColumn(_ONE, F.lit(1))
-    spark = df.sparkSession
-    key_types = {f.name: f.dataType.simpleString() for f in df.select(*keys).schema}
-    vc = value_counts(df, keys, value).persist()
-    few = vc.count() <= _FEW_VALUES
-
-    def at(counted: DataFrame, p: float) -> dict[tuple, tuple[int, float]]:
-        if few:
-            stats = counted.groupBy(*keys).agg(
-                F.sum("_c").alias("n"), F.expr(f"percentile(_v, {p!r}D, _c)").alias("med"))
-        else:
-            merged = counted.groupBy(*keys, "_v").agg(F.sum("_c").alias("_c"))
-            stats = _counted_stats(merged, keys, {"med": p})
-        return {tuple(r[k] for k in keys): (r["n"], r["med"]) for r in stats.collect()}
-
-    def medians(counted: DataFrame) -> dict[tuple, tuple[int, float]]:
-        return at(counted, 0.5)
-
-    def centred(counted: DataFrame, centre: dict[tuple, tuple[int, float]]) -> DataFrame:
-        ddl = ", ".join(f"`{k}` {key_types[k]}" for k in keys) + ", _m double"
-        small = spark.createDataFrame([(*k, float(m)) for k, (_, m) in centre.items()], ddl)
-        return counted.join(F.broadcast(small), keys)
-
-    def spread(frame: DataFrame) -> DataFrame:
-        return frame.select(*keys, F.abs(F.col("_v") - F.col("_m")).alias("_v"), "_c")
-
-    try:
-        med = medians(vc)
-        extra = at(vc, quantile) if quantile is not None else {}
-        mad = medians(spread(centred(vc, med)))
-        flat = {k: med[k] for k, (_, m) in mad.items() if m == 0 and med[k][0] >= min_members}
-        nz_med, nz_mad, nz_sd = {}, {}, {}
-        if flat:
-            upper = centred(vc, flat).where("_v > _m").drop("_m")
-            nz_med = medians(upper)
-            if nz_med:
-                nz_mad = medians(spread(centred(upper, nz_med)))
-                mean = {
-                    tuple(r[k] for k in keys): (0, r["m"])
-                    for r in upper.groupBy(*keys).agg((F.sum(F.col("_c") * F.col("_v")) / F.sum("_c")).alias("m")).collect()
-                }
-                nz_sd = {
-                    tuple(r[k] for k in keys): r["sd"]
-                    for r in centred(upper, mean).groupBy(*keys)
-                    .agg(F.sqrt(F.sum(F.col("_c") * (F.col("_v") - F.col("_m")) ** 2) / F.sum("_c")).alias("sd"))
-                    .collect()
-                }
-    finally:
-        vc.unpersist()
-
-    out = []
-    for k, (n, m) in med.items():
-        bound, branch = None, "degenerate_disabled"
-        if n < min_members:
-            branch = "insufficient_population"
-        elif mad[k][1] > 0:
-            bound, branch = m + n_mad * mad[k][1], "median+N*MAD"
-        elif k in nz_med and nz_med[k][0] >= min_members:
-            if nz_mad[k][1] > 0:
-                bound, branch = nz_med[k][1] + n_mad * nz_mad[k][1], "MAD=0->nonzero median+N*MAD"
-            elif nz_sd[k] > 0:
-                bound, branch = nz_med[k][1] + n_mad * nz_sd[k], "MAD=0->nonzero sd"
-        out.append((*k, n, bound, branch, extra[k][1] if extra else None))
-    ddl = ", ".join(f"`{k}` {key_types[k]}" for k in keys)
-    ddl += ", n bigint, bound double, branch string, quantile double"
-    names = ["n", "bound", "branch"] + (["quantile"] if quantile is not None else [])
-    return spark.createDataFrame(out, ddl).select(*groups, *names)
+    vc = materialise(value_counts(df, keys, value), "values")
+    picks: dict[str, float | Column] = {"med": 0.5}
+    if quantile is not None:
+        picks["quantile"] = quantile
+
+    def spread(counted: DataFrame, centre: DataFrame, name: str) -> DataFrame:
+        """Median distance from each group's centre ``_m``."""
+        away = join_keys(counted, centre, keys, "inner").select(*keys, F.abs(F.col("_v") - F.col("_m")).alias("_v"), "_c")
+        return _counted_stats(away.groupBy(*keys, "_v").agg(F.sum("_c").alias("_c")), keys, {name: 0.5}).drop("n")
+
+    base = _counted_stats(vc, keys, picks)
+    mad = spread(vc, base.select(*keys, F.col("med").alias("_m")), "mad")
+    base = materialise(join_keys(base, mad, keys), "bounds")
+    flat = base.where((F.col("mad") == 0) & (F.col("n") >= min_members)).select(*keys, F.col("med").alias("_m"))
+    upper = join_keys(vc, flat, keys, "inner").where("_v > _m").drop("_m")
+    nz = _counted_stats(upper, keys, {"nz_med": 0.5}).withColumnRenamed("n", "nz_n")
+    nz_mad = spread(upper, nz.select(*keys, F.col("nz_med").alias("_m")), "nz_mad")
+    mean = upper.groupBy(*keys).agg((F.sum(F.col("_c") * F.col("_v")) / F.sum("_c")).alias("_m"))
+    nz_sd = join_keys(upper, mean, keys, "inner").groupBy(*keys).agg(
+        F.sqrt(F.sum(F.col("_c") * (F.col("_v") - F.col("_m")) ** 2) / F.sum("_c")).alias("nz_sd"))
+    out = join_keys(join_keys(join_keys(base, nz, keys), nz_mad, keys), nz_sd, keys)
+    few = F.col("n") < min_members
+    usual = ~few & (F.col("mad") > 0)
+    high = ~few & (F.col("nz_n") >= min_members)
+    branch = (
+        F.when(few, "insufficient_population").when(usual, "median+N*MAD")
+        .when(high & (F.col("nz_mad") > 0), "MAD=0->nonzero median+N*MAD")
+        .when(high & (F.col("nz_sd") > 0), "MAD=0->nonzero sd").otherwise("degenerate_disabled"))
+    bound = (
+        F.when(branch == "median+N*MAD", F.col("med") + n_mad * F.col("mad"))
+        .when(branch == "MAD=0->nonzero median+N*MAD", F.col("nz_med") + n_mad * F.col("nz_mad"))
+        .when(branch == "MAD=0->nonzero sd", F.col("nz_med") + n_mad * F.col("nz_sd")))
+    extra = ["quantile"] if quantile is not None else []
+    return out.select(*groups, "n", bound.alias("bound"), branch.alias("branch"), *extra)
 
 
 def bh_cuts(df: DataFrame, family: list[str], z: str, q: Column | float) -> DataFrame:
@@ -184,9 +147,8 @@ def bh_cuts(df: DataFrame, family: list[str], z: str, q: Column | float) -> Data
 
     Only p <= q can pass, so just that tail is ranked; equal z share the rank
     of the last of them, which is the textbook procedure under ties. A Column
-    ``q`` may vary by family up to ``_MAX_Q``.
+    ``q`` may vary by family.
     """
-    tail_z = NormalDist().inv_cdf(1.0 - (_MAX_Q if isinstance(q, Column) else float(q))) - 1e-9
     fam = list(family) or [_ONE]
     if not family:
         df = df.withColumn(_ONE, F.lit(1))
@@ -196,10 +158,11 @@ def bh_cuts(df: DataFrame, family: list[str], z: str, q: Column | float) -> Data
     )
     sizes = base.groupBy(*fam).agg(F.count(F.lit(1)).alias("m"), F.max("_q").alias("_q"))
     tail = (
-        base.where(F.col("_z") >= tail_z)
+        base.where(normal_sf("_z") <= F.col("_q"))
         .groupBy(*fam, "_z")
         .agg(F.count(F.lit(1)).alias("_c"))
-        .withColumn("_bin", F.least(F.floor(F.col("_z") * 64), F.lit(64 * 40)))
+        .withColumn("_bin", F.when(F.col("_z") < 40, F.floor(F.col("_z") * 64)).otherwise(
+            64 * 40 + F.floor(F.log2(F.col("_z") / 40) * 64)))
     )
     above = Window.partitionBy(*fam).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
     bins = (

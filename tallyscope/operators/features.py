@@ -131,15 +131,16 @@ def cell_constants(rounds: DataFrame) -> DataFrame:
         F.max(m).alias("max_multiple_observed"),
         F.min("game_time").alias("first_round_utc"), F.max("game_time").alias("last_round_utc"),
     )
-    # Pooled sd: between-player part uses the spread of player means.
+    # The spread of player means is taken around the cell's own mean, so nothing cancels.
+    means = per_player.groupBy(*CELL).agg(*[
+        (F.sum(F.col(n) * F.col(mean)) / F.sum(n)).alias(f"_c{mean}") for n, mean in (("_mn", "_mm"), ("_ln", "_lm"))])
+    per_player = join_keys(per_player, means, CELL)
+
     def pooled(n: str, mean: str, var: str) -> tuple[Column, Column]:
         c = F.col
         total = F.sum(n)
-        avg = F.sum(c(n) * c(mean)) / total
-        within = F.sum(c(n) * c(var))
-        weighted_sq = F.sum(c(n) * c(mean) * c(mean))
-        ss = within + weighted_sq - F.pow(F.sum(c(n) * c(mean)), 2) / total
-        return avg, F.when(total > 1, F.sqrt(F.greatest(ss, F.lit(0.0)) / (total - 1)))
+        ss = F.sum(c(n) * (c(var) + F.pow(c(mean) - c(f"_c{mean}"), 2)))
+        return F.max(c(f"_c{mean}")), F.when(total > 1, F.sqrt(ss / (total - 1)))
 
     _, sigma = pooled("_mn", "_mm", "_mv")
     mean_log, sd_log = pooled("_ln", "_lm", "_lv")

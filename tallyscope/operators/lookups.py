@@ -22,22 +22,21 @@ def with_certified(df: DataFrame, catalog: DataFrame) -> DataFrame:
     an unknown play type only, the base row. The cap falls back to the largest
     cap of the game. A sheet id without its type letter still matches.
     """
-    cat = catalog.select(F.trim("game_id").alias("_gid"), "play_type", "rtp", "max_multiplier")
-    order = F.monotonically_increasing_id()
+    # the first row of a stem is by its line in the sheet; rows without a line go by id
+    line = F.col("line") if "line" in catalog.columns else F.lit(0)
+    cat = catalog.select(F.trim("game_id").alias("_gid"), "play_type", "rtp", "max_multiplier", line.alias("_line"))
     games = cat.groupBy("_gid").agg(
         F.max(F.when(F.col("play_type").isNull(), F.col("rtp"))).alias("_rtp_untyped"),
         F.max(F.when(F.col("play_type") == 0, F.col("rtp"))).alias("_rtp_base"),
         F.max("max_multiplier").alias("_cap_game"),
     )
     stems = (
-        cat.select(_stem("_gid").alias("_stem"), "_gid", order.alias("_o"))
+        cat.select(_stem("_gid").alias("_stem"), "_gid", F.struct("_line", "_gid").alias("_o"))
         .where(F.col("_stem").isNotNull())
         .groupBy("_stem").agg(F.min_by("_gid", "_o").alias("_stem_gid"))
     )
-    typed = cat.where(F.col("play_type").isNotNull()).select(
-        F.col("_gid"), F.col("play_type").alias("_pt"), F.col("rtp").alias("_rtp_exact"),
-        F.col("max_multiplier").alias("_cap_exact"),
-    )
+    typed = cat.where(F.col("play_type").isNotNull()).groupBy("_gid", F.col("play_type").alias("_pt")).agg(
+        F.max("rtp").alias("_rtp_exact"), F.max("max_multiplier").alias("_cap_exact"))
     known = games.select(F.col("_gid").alias("_known"))
     out = (
         df.withColumn("_live", F.trim("game_id"))

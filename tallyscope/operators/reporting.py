@@ -103,14 +103,23 @@ def breach_events(cased_signals: DataFrame, days: Column) -> DataFrame:
     ).select("case_id", "day", F.col("parent").alias("operator"), "uid", "_b.*")
 
 
+def _named(column: str) -> Column:
+    """A part of a group id; a missing build tag or cell field names a group as well."""
+    return F.coalesce(F.col(column).cast("string"), F.lit("none"))
+
+
+def _group_id(*parts) -> Column:
+    return F.regexp_replace(F.concat(*parts), "[^A-Za-z0-9_.@-]", "-")
+
+
 def cell_rollup(breaches: DataFrame) -> DataFrame:
     """At least two accounts sharing one breach on a cell: one platform case."""
     keys = ["day", "operator", "game_id", "play_type", "sm_tag", "breach"]
     g = breaches.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("accounts"), F.max("value").alias("peak"), F.max("threshold").alias("cap"))
-    gid = F.regexp_replace(F.concat(
-        F.lit("G_"), "operator", F.lit("_"), "game_id", F.lit("_pt"), F.col("play_type").cast("string"), F.lit("_"),
-        "sm_tag", F.lit("_"), "breach", F.lit("@"), F.col("day").cast("string")), "[^A-Za-z0-9_.@-]", "-")
+    gid = _group_id(
+        F.lit("G_"), _named("operator"), F.lit("_"), _named("game_id"), F.lit("_pt"), _named("play_type"), F.lit("_"),
+        _named("sm_tag"), F.lit("_"), "breach", F.lit("@"), F.col("day").cast("string"))
     return g.where("accounts >= 2").withColumn("group_id", gid)
 
 
@@ -124,8 +133,7 @@ def build_rollup(breaches: DataFrame) -> DataFrame:
         F.sum("_cells").alias("cells"), F.count(F.lit(1)).alias("operators"), F.sum("_n").alias("accounts"),
         F.max("_peak").alias("peak"), F.max("_cap").alias("cap"),
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("operator", "_n")))).alias("accounts_per_operator"))
-    gid = F.regexp_replace(F.concat(F.lit("B_"), "sm_tag", F.lit("_"), "breach", F.lit("@"), F.col("day").cast("string")),
-                           "[^A-Za-z0-9_.@-]", "-")
+    gid = _group_id(F.lit("B_"), _named("sm_tag"), F.lit("_"), "breach", F.lit("@"), F.col("day").cast("string"))
     return g.where("cells >= 2").withColumn("group_id", gid)
 
 
@@ -135,8 +143,9 @@ def group_members(breaches: DataFrame) -> DataFrame:
     cell = cell_rollup(breaches).select(
         "day", "operator", "game_id", "play_type", "sm_tag", "breach", F.col("group_id").alias("_c"))
     return (
-        breaches.join(build, ["day", "sm_tag", "breach"], "left")
-        .join(cell, ["day", "operator", "game_id", "play_type", "sm_tag", "breach"], "left")
+        join_keys(
+            join_keys(breaches, build, ["day", "sm_tag", "breach"]), cell,
+            ["day", "operator", "game_id", "play_type", "sm_tag", "breach"])
         .withColumn("group_id", F.coalesce("_b", "_c")).drop("_b", "_c")
     )
 

@@ -24,8 +24,8 @@ def load_rounds(source: DataFrame) -> DataFrame:
 
 def _store(rounds: DataFrame, path: str, mode: str) -> None:
     dated = rounds.withColumn("event_date", F.to_date("game_time"))
-    # Spread each day over tasks by account, so one large day is not one task.
-    spread = dated.repartition("event_date", F.pmod(F.xxhash64("parent", "uid"), F.lit(16)))
+    # Ranges end inside a day, or an account, wherever it is large; their number follows the data.
+    spread = dated.repartitionByRange("event_date", "parent", "uid", "serial")
     spread.sortWithinPartitions("event_date", "parent", "uid").write.mode(mode).partitionBy("event_date").parquet(path)
 
 

@@ -96,11 +96,11 @@ def parse_sheet(raw: DataFrame) -> DataFrame:
 def catalog_rows(parsed: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
     """Usable rows; overrides (game_id, play_type, rtp, max_multiplier) win where set."""
     rows = parsed.where("kept").select(
-        "game_id", "play_type", "game_name", "playway", "rtp", "max_multiplier", "buy_price_x")
+        "line", "game_id", "play_type", "game_name", "playway", "rtp", "max_multiplier", "buy_price_x")
     if overrides is None:
         return rows
-    o = overrides.select(F.col("game_id").alias("_g"), F.col("play_type").alias("_p"),
-                         F.col("rtp").alias("_r"), F.col("max_multiplier").alias("_m"))
+    o = overrides.groupBy(F.col("game_id").alias("_g"), F.col("play_type").alias("_p")).agg(
+        F.max("rtp").alias("_r"), F.max("max_multiplier").alias("_m"))
     on = (F.col("game_id") == F.col("_g")) & F.col("play_type").eqNullSafe(F.col("_p"))
     return rows.join(o, on, "left").withColumns({
         "rtp": F.coalesce("_r", "rtp"), "max_multiplier": F.coalesce("_m", "max_multiplier"),
