@@ -260,29 +260,52 @@ def _thresholds(s, d):
     return p, bh.behaviour_thresholds(p, 1.0)
 
 
-register("BH_4_robust_thresholds", lambda s, d: s.createDataFrame(
-    [(k, float(v[0])) for k, v in _thresholds(s, d)[1].items()], "measure string, bound double"), "measure bound:f",
-    """SELECT measure, greatest(fl, CASE WHEN mad > 0 THEN med + mad WHEN nn < 20 THEN p999 WHEN nzmad > 0 THEN nzmed + nzmad
-    WHEN nzsd > 0 THEN nzmed + nzsd ELSE mx END) AS bound FROM rbj""",
-    _BSEQ + """, lg AS (SELECT unnest(['buy_share', 'trigger_share', 'dup_share', 'same_second_share']) AS measure,
+_THR = """lg AS (SELECT unnest(['buy_share', 'trigger_share', 'dup_share', 'same_second_share']) AS measure,
     unnest([0.03, 0.05, 0.05, 0.20]) AS fl, unnest([buy_share, trigger_share, dup_share, same_second_share]) AS v FROM bf),
     lm AS (SELECT measure, max(fl) AS fl, median(v) AS med, quantile_cont(v, 0.999) AS p999, max(v) AS mx FROM lg GROUP BY 1),
     ld AS (SELECT lg.measure, v, med FROM lg JOIN lm USING (measure)),
     la AS (SELECT measure, median(abs(v - med)) AS mad FROM ld GROUP BY 1),
     lz AS (SELECT measure, count(*) AS nn, median(v) AS nzmed, stddev_pop(v) AS nzsd FROM ld WHERE v > med GROUP BY 1),
     ly AS (SELECT measure, median(abs(v - nzmed)) AS nzmad FROM ld JOIN lz USING (measure) WHERE v > med GROUP BY 1),
-    rbj AS (SELECT * FROM lm LEFT JOIN la USING (measure) LEFT JOIN lz USING (measure) LEFT JOIN ly USING (measure))""")
+    rbj AS (SELECT * FROM lm LEFT JOIN la USING (measure) LEFT JOIN lz USING (measure) LEFT JOIN ly USING (measure)),
+    th AS (SELECT measure, greatest(fl, CASE WHEN mad > 0 THEN med + mad WHEN nn < 20 THEN p999 WHEN nzmad > 0 THEN nzmed + nzmad
+    WHEN nzsd > 0 THEN nzmed + nzsd ELSE mx END) AS bound FROM rbj)"""
+register("BH_4_robust_thresholds", lambda s, d: s.createDataFrame(
+    [(k, float(v[0])) for k, v in _thresholds(s, d)[1].items()], "measure string, bound double"), "measure bound:f",
+    "SELECT * FROM th", f"{_BSEQ}, {_THR}")
+
+
+def _bands(rounds, width):
+    m = multiple()
+    return rounds.groupBy(F.col("game_id").alias("table_id"), F.round(m, 4).alias("x")).agg(
+        F.count(F.lit(1)).cast("double").alias("weight")).select(
+        "table_id", (F.col("x") * (1 - width)).alias("lo"), (F.col("x") * (1 + width)).alias("hi"), "weight")
+
+
+_DIST_STEPS = """bn AS (SELECT game_id, x * 0.9 AS lo, x * 1.1 AS hi, c AS w FROM (SELECT game_id, round(win / valid_bet, 4) AS x,
+    count(*) AS c FROM r GROUP BY 1, 2) WHERE x > 0),
+  mo AS (SELECT game_id, sum(w * (ln(lo) + ln(hi)) / 2) / sum(w) AS m,
+    sum(w * (pow((ln(lo) + ln(hi)) / 2, 2) + pow(ln(hi) - ln(lo), 2) / 12)) / sum(w) AS s2 FROM bn GROUP BY 1),
+  tst AS (SELECT parent, uid, count(*) AS n_wins, (sum(ln(win / valid_bet)) - sum(m)) / sqrt(sum(s2 - m * m)) AS z,
+    exp((sum(ln(win / valid_bet)) - sum(m)) / count(*)) AS shift FROM r JOIN mo USING (game_id) WHERE win > 0
+    GROUP BY 1, 2 HAVING count(*) >= 10)"""
+
+
+def _inflated(rounds):
+    """Players whose wins are larger than their tables' outcomes explain."""
+    wins = rounds.where("win > 0").select("parent", "uid", F.col("game_id").alias("table_id"), multiple().alias("outcome_x"))
+    return bh.distribution_test(wins, bh.band_moments(_bands(rounds, 0.1)), 0.1, 10, 1.0)
 
 
 def _flagged(s, d):
-    p, _ = _thresholds(s, d)
-    return bh.behaviour_rules(p, {"buy_share": (0.15, ""), "trigger_share": (0.25, ""), "dup_share": (0.2, ""),
-                                  "same_second_share": (0.2, "")})
+    return bh.behaviour_rules(*_thresholds(s, d))
 
 
-_FLAG = """fl AS (SELECT *, list_filter([CASE WHEN buy_share >= 0.15 THEN 'BEH_1' END, CASE WHEN trigger_share >= 0.25 THEN 'BEH_2' END,
-    CASE WHEN gap_sd <= 1 AND rounds >= 500 THEN 'BEH_3' END, CASE WHEN same_second_share >= 0.2 AND rounds >= 500 THEN 'BEH_3b' END,
-    CASE WHEN dup_share >= 0.2 AND dup_rounds >= 20 THEN 'BEH_4' END, CASE WHEN hot_small >= 3 THEN 'BEH_5' END],
+_LIMIT = "(SELECT bound FROM th WHERE measure = '{}')"
+_FLAG = f"""{_THR}, fl AS (SELECT *, list_filter([CASE WHEN buy_share >= {_LIMIT.format('buy_share')} THEN 'BEH_1' END,
+    CASE WHEN trigger_share >= {_LIMIT.format('trigger_share')} THEN 'BEH_2' END,
+    CASE WHEN gap_sd <= 1 AND rounds >= 500 THEN 'BEH_3' END, CASE WHEN same_second_share >= {_LIMIT.format('same_second_share')} AND rounds >= 500 THEN 'BEH_3b' END,
+    CASE WHEN dup_share >= {_LIMIT.format('dup_share')} AND dup_rounds >= 20 THEN 'BEH_4' END, CASE WHEN hot_small >= 3 THEN 'BEH_5' END],
     lambda x: x IS NOT NULL) AS rules FROM bf)"""
 register("BH_5_behaviour_rules", _flagged, "parent uid rules:o n_rules:i",
          "SELECT parent, uid, rules, len(rules) AS n_rules FROM fl WHERE len(rules) > 0", f"{_BSEQ}, {_FLAG}")
@@ -291,14 +314,11 @@ register("BH_6_multi_rule_findings", lambda s, d: _flagged(s, d).where("n_rules
 
 
 def _directions(s, d):
-    f = _flagged(s, d)
-    return bh.fuse_directions(behavioural=f, distribution=f.where("array_contains(rules, 'BEH_5')"),
-                              rtp_montecarlo=_players(s, d).where("buy_share >= 0.2"))
+    return bh.fuse_directions(behavioural=_flagged(s, d), distribution=_inflated(accounts(s, d)).where("selected"))
 
 
-_DIR = f"""{_BSEQ}, {_FLAG}, di AS (SELECT parent, uid, 'behavioural' AS x FROM fl WHERE len(rules) > 0 UNION ALL
-    SELECT parent, uid, 'distribution' FROM fl WHERE list_contains(rules, 'BEH_5') UNION ALL
-    SELECT parent, uid, 'rtp_montecarlo' FROM bf WHERE buy_share >= 0.2),
+_DIR = f"""{_BSEQ}, {_FLAG}, {_DIST_STEPS}, di AS (SELECT parent, uid, 'behavioural' AS x FROM fl WHERE len(rules) > 0 UNION ALL
+    SELECT parent, uid, 'distribution' FROM {q.bh('tst', '', 'z', '0.1')} WHERE selected AND z > 0 AND shift >= 1.0),
   dd AS (SELECT parent, uid, list_sort(list(DISTINCT x)) AS directions, count(DISTINCT x) AS n_directions,
     count(DISTINCT x) >= 2 AS corroborated FROM di GROUP BY 1, 2)"""
 register("BH_7_direction_fusion", _directions, "parent uid directions:o n_directions:i corroborated", "SELECT * FROM dd", _DIR)
@@ -339,21 +359,6 @@ register("BH_9_rtp_screen", lambda s, d: bh.rtp_screen(_daily(s, d), 20, 0.9), "
          _SCREEN, LI)
 
 
-def _bands(s, d, width):
-    m = multiple()
-    return lineitem(s, d).groupBy(F.col("game_id").alias("table_id"), F.round(m, 4).alias("x")).agg(
-        F.count(F.lit(1)).cast("double").alias("weight")).select(
-        "table_id", (F.col("x") * (1 - width)).alias("lo"), (F.col("x") * (1 + width)).alias("hi"), "weight")
-
-
-_DIST = f"""{LI}, bn AS (SELECT game_id, x * 0.9 AS lo, x * 1.1 AS hi, c AS w FROM (SELECT game_id, round(win / valid_bet, 4) AS x,
-    count(*) AS c FROM r GROUP BY 1, 2) WHERE x > 0),
-  mo AS (SELECT game_id, sum(w * (ln(lo) + ln(hi)) / 2) / sum(w) AS m,
-    sum(w * (pow((ln(lo) + ln(hi)) / 2, 2) + pow(ln(hi) - ln(lo), 2) / 12)) / sum(w) AS s2 FROM bn GROUP BY 1),
-  tst AS (SELECT parent, uid, count(*) AS n_wins, (sum(ln(win / valid_bet)) - sum(m)) / sqrt(sum(s2 - m * m)) AS z,
-    exp((sum(ln(win / valid_bet)) - sum(m)) / count(*)) AS shift FROM r JOIN mo USING (game_id) WHERE win > 0
-    GROUP BY 1, 2 HAVING count(*) >= 10)"""
-register("ST_9_distribution_test", lambda s, d: bh.distribution_test(
-    lineitem(s, d).where("win > 0").select("parent", "uid", F.col("game_id").alias("table_id"), multiple().alias("outcome_x")),
-    bh.band_moments(_bands(s, d, 0.1)), 0.1, 10, 1.0), "parent uid n_wins:i z:f shift:f selected",
-    f"SELECT * REPLACE (selected AND z > 0 AND shift >= 1.0 AS selected) FROM {q.bh('tst', '', 'z', '0.1')}", _DIST)
+register("ST_9_distribution_test", lambda s, d: _inflated(lineitem(s, d)), "parent uid n_wins:i z:f shift:f selected",
+         f"SELECT * REPLACE (selected AND z > 0 AND shift >= 1.0 AS selected) FROM {q.bh('tst', '', 'z', '0.1')}",
+         f"{LI}, {_DIST_STEPS}")

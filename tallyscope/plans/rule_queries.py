@@ -123,8 +123,10 @@ register("ST_3_normal_tail",
          f"SELECT c_custkey, c_acctbal / 1000 AS z, {normal_sf_sql('c_acctbal / 1000')} AS p FROM customer")
 register("ST_4_expected_max_z",
          lambda s, d: lineitem(s, d).groupBy("game_id").agg(F.count_distinct("uid").alias("n")).withColumn(
-             "p", 1 - 1 / F.greatest(F.col("n"), F.lit(2))).withColumn("expected_max_z", normal_ppf("p")),
-         "game_id n:i expected_max_z:f")
+             "p", 1 - 1 / F.greatest(F.col("n"), F.lit(2))).withColumn("z", normal_ppf("p")).withColumn("tail", normal_sf("z")),
+         "game_id n:i tail:f",
+         # the quantile has no SQL form; the tail beyond it has to be one in n
+         "SELECT game_id, count(DISTINCT uid) AS n, 1 / greatest(count(DISTINCT uid), 2) AS tail FROM r GROUP BY 1", LI)
 register("AGG_19_quantiles",
          lambda s, d: order_stats(lineitem(s, d), ["parent"], "bet", {"med": 0.5, "p90": 0.9, "p999": 0.999}),
          "parent n:i med:f p90:f p999:f",
@@ -267,9 +269,7 @@ def _validation(s, d):
     return cal.validate(m, cal.fit(m, T), T)
 
 
-register("ST_7_validate", _validation,
-         "metric segment_key segment_value eligible:i n_fired:i rate:f breach",
-         f"""SELECT *, CASE WHEN k = 'overall' AND rate > 0.05 THEN 'saturation'
+_VALID = f"""SELECT *, CASE WHEN k = 'overall' AND rate > 0.05 THEN 'saturation'
          WHEN k = 'overall' AND rate > 0.05 THEN 'ceiling'
          WHEN k != 'overall' AND eligible >= 20 AND rate > greatest(0.05 * 10.0, 1.0 / eligible) THEN 'segment' END AS breach
          FROM (SELECT 'excess_turnover_z' AS metric, k, k AS segment_key, v AS segment_value, count(*) AS eligible,
@@ -278,9 +278,14 @@ register("ST_7_validate", _validation,
          unnest(['all', game_id, CAST(play_type AS VARCHAR), currency, sm_tag, parent,
            CASE WHEN rounds <= t1 THEN 'low' WHEN rounds <= t2 THEN 'mid' ELSE 'high' END]) AS v
          FROM ({_MONEY_EVAL}) e, (SELECT quantile_cont(rounds, 1/3::DOUBLE) AS t1,
-           quantile_cont(rounds, 2/3::DOUBLE) AS t2 FROM mny)) GROUP BY 1, 2, 3, 4)""",
+           quantile_cont(rounds, 2/3::DOUBLE) AS t2 FROM mny)) GROUP BY 1, 2, 3, 4)"""
+register("ST_7_validate", _validation,
+         "metric segment_key segment_value eligible:i n_fired:i rate:f breach",
+         _VALID,
          f"{_MONEY_CTES}, mny AS ({_MONEY_SQL})")
-register("ST_8_calibration_verdict", lambda s, d: cal.verdict(_validation(s, d)), "verdict breaches:i")
+register("ST_8_calibration_verdict", lambda s, d: cal.verdict(_validation(s, d)), "verdict breaches:i",
+         f"""SELECT CASE WHEN count(*) FILTER (breach = 'saturation') > 0 THEN 'FAIL' WHEN count(breach) > 0 THEN 'WARN'
+         ELSE 'PASS' END AS verdict, count(breach) AS breaches FROM ({_VALID})""", f"{_MONEY_CTES}, mny AS ({_MONEY_SQL})")
 
 # --- layer 1 ------------------------------------------------------------------------
 _SIG = "signal_id family layer:i grain parent uid game_id play_type:i currency sm_tag metric value:f"
@@ -351,7 +356,7 @@ register("L1_8_beta_in_prod", lambda s, d: l1.beta_signals(ft.cell_constants(eve
 def _persist(s, d):
     r = lineitem(s, d)
     mid = cells(r.where("game_time <= timestamp_ntz'1998-06-01 00:00:00'"))
-    m = _all_metrics(s, d, r).where("metric = 'excess_turnover_z' AND value > 0.5")
+    m = _all_metrics(s, d, r).where("metric = 'excess_turnover_z'")
     fired = m.withColumn("bound", F.lit(None).cast("double"))
     return l1.with_persistence(fired, T.but(half_window_z=0.2), player_cell=cells(r), half_player_cell=mid)
 
@@ -360,7 +365,7 @@ register("L1_9_split_half_persistence", _persist, f"{PC_KEYS} value:f persistenc
          f"""SELECT m.*, CASE WHEN h1.parent IS NULL THEN 'not_computable'
          WHEN (h1.w - rtp_cert * h1.b) / (sigma_spin * sqrt(h1.q)) >= 0.2 AND h2.q > 0
           AND (h2.w - rtp_cert * h2.b) / (sigma_spin * sqrt(h2.q)) >= 0.2 THEN 'held' ELSE 'failed' END AS persistence
-         FROM (SELECT * FROM ({_MONEY_SQL}) WHERE value > 0.5) m
+         FROM ({_MONEY_SQL}) m
          LEFT JOIN h1 USING ({q.PC}) LEFT JOIN h2 USING ({q.PC})""",
          _MONEY_CTES + "".join(
              f", {n} AS (SELECT {q.PC}, sum(win) AS w, sum(valid_bet) AS b, sum(valid_bet * valid_bet) AS q FROM r "

@@ -234,14 +234,14 @@ register("SNK_3_case_queue", lambda s, d: sk.case_queue(*_cased(s, d)),
 def _alert_log(s, d):
     path = _place(s, "alerts")
     c = fx.candidates_from_events(s, d)
-    for scan in ("s01", "s02"):
+    for scan in (f"s{i:02d}" for i in range(1, 11)):
         sk.write_alerts(cg.alerts_of(cg.gate_step(cg.empty_state(s), c.where(F.col("scan") == scan), scan)), path)
     return s.read.json(path)
 
 
 register("SNK_4_write_alerts", _alert_log, "case_id action scan severity",
          f"""SELECT case_id, 'opened' AS action, printf('s%02d', seq) AS scan, severity FROM
-         (SELECT {fx.CANDIDATE_COLUMNS} FROM ({fx.CANDIDATE_SHAPE}) b WHERE n_err >= 1) WHERE seq <= 2""")
+         (SELECT {fx.CANDIDATE_COLUMNS} FROM ({fx.CANDIDATE_SHAPE}) b WHERE n_err >= 1) WHERE seq <= 10""")
 
 def _written_proposals(s, d):
     r = fx.rounds_from_events(s, d, None)
