@@ -17,6 +17,7 @@ PARTS = 3
 DISTANCE = 2
 SAMPLE = 4096
 TILE = 4000
+PAIR_COST = 0.01
 
 
 def fingerprint_of(text: str | None) -> int:
@@ -86,24 +87,27 @@ def plan(sample: np.ndarray, total: int, n_parts: int = PARTS, distance: int = D
 
     If two fingerprints differ in at most ``distance`` bits, some part differs in
     at most its threshold: were every part beyond, at least sum(t_i + 1) =
-    distance + 1 bits would differ. Cost of a threshold: candidates, scaled from
-    the pairs of the sample to all, plus the keys probed. Dynamic programming
-    over the parts and the budget spent.
+    distance + 1 bits would differ. Cost of a threshold: the keys stored and
+    probed, which are shuffled, and the false candidates, which are only
+    compared (``PAIR_COST`` of a key each), scaled from the pairs of the sample
+    to all. Links themselves are candidates under any plan and don't count.
+    Dynamic programming over the parts and the budget spent.
     """
     parts = group_bits(sample, n_parts)
     ones = np.bitwise_count
     n = max(len(sample), 1)
     cost = np.zeros((n_parts, distance + 2))
+    linked = sum(int((ones(sample[at : at + 512, None] ^ sample[None]) <= distance).sum()) for at in range(0, len(sample), 512))
     for i, bits in enumerate(parts):
         own = sample & np.uint64(_mask(bits))
         pairs = np.zeros(distance + 1)
         for at in range(0, len(own), 512):
             d = ones(own[at : at + 512, None] ^ own[None])
             pairs += [(d <= t).sum() for t in range(distance + 1)]
-        pairs = (pairs - len(own)).clip(0) / 2 * (total / n) ** 2
+        pairs = (pairs - linked).clip(0) / 2 * (total / n) ** 2
         for t in range(distance + 1):
             keys = sum(_choose(len(bits), k) for k in range(t + 1))
-            cost[i, t + 1] = pairs[t] + total * (1 + keys)
+            cost[i, t + 1] = PAIR_COST * pairs[t] + total * (1 + keys)
     # spent: thresholds plus one each, so a part left out spends nothing
     budget = distance + 1
     best: dict[int, tuple[float, tuple[int, ...]]] = {0: (0.0, ())}
