@@ -54,15 +54,17 @@ def starts_of(frame: pd.DataFrame, keys: list[str]) -> np.ndarray:
     return np.append(np.flatnonzero(change), len(frame))
 
 
-def tiled(rows: DataFrame, keys: list[str], member: str, size: int) -> DataFrame:
+def tiled(rows: DataFrame, keys: list[str], member: str, size: int, counted: DataFrame | None = None) -> DataFrame:
     """Rows with ``tile``, ``tile_lo`` and ``tile_hi``, so that a large key is many bounded groups.
 
     A key of n rows has ceil(n / size) tiles by the hash of ``member``; a row goes
     to each pair of tiles that its own belongs to. Two members of a key meet in
     exactly one group (keys, tile_lo, tile_hi), which holds about 2 * size rows.
+    ``counted`` may give the keys of the rows alone, where that is cheaper. The
+    table of large keys is stored, so Spark knows whether it is small.
     """
-    hot = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_")).where(F.col("n_") > size)
-    hot = hot.select(*keys, F.ceil(F.col("n_") / size).cast("int").alias("n_tiles"))
+    hot = (rows if counted is None else counted).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_")).where(F.col("n_") > size)
+    hot = materialise(hot.select(*keys, F.ceil(F.col("n_") / size).cast("int").alias("n_tiles")), "hot")
     n = F.coalesce(F.col("n_tiles"), F.lit(1))
     tile = F.pmod(F.xxhash64(F.lit("tile"), F.col(member)), n).cast("int")
     out = rows.join(hot, keys, "left").withColumn("n_tiles", n).withColumn("tile", tile)
@@ -88,6 +90,17 @@ def local_components(adjacent: np.ndarray) -> np.ndarray:
     return seed
 
 
+def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the components of ``a`` and ``b`` in an array of roots, in place; the smaller root stays."""
+    while True:
+        one, other = label[a], label[b]
+        if (one == other).all():
+            return
+        np.minimum.at(label, np.maximum(one, other), np.minimum(one, other))
+        while (label[label] != label).any():
+            label[:] = label[label]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Smallest id reachable from each id that has a link: columns ``id``, ``component_id``.
 
