@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 16
 SAMPLE_PER_LANGUAGE = 2000
 UNDETERMINED = "und"
-_STEP = 1 << 21  # characters looked at in one go
+_STEP = 1 << 18  # characters looked at in one go
 
 ALPHA, BETA, L1, L2, EPOCHS, SCALE = 0.3, 1.0, 0.02, 0.05, 2, 30.0
 
