@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyscope.sources.durable import materialise
+
 BUCKETS = 1 << 16
 SAMPLE_PER_LANGUAGE = 2000
 UNDETERMINED = "und"
@@ -158,17 +160,24 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | Non
     """Learn from rows (text, lang); None without a labelled text.
 
     Document frequencies cover all rows. The classifier itself is fitted on at
-    most ``per_language`` rows of each language, the first by hash of the text:
-    this bound is the documented sample. A fifth of them sets the temperature.
-    Training runs in one task over the sample; its weights, a table fixed by the
-    buckets and languages, come to the driver.
+    most ``per_language`` distinct texts of each language, the first by hash: this
+    bound is the documented sample. Only hashes are ranked, and only the chosen
+    texts are shuffled. A fifth of them sets the temperature. Training runs in
+    one task over the sample's counts; its weights, a table fixed by the buckets
+    and languages, come to the driver.
     """
     labelled = docs.select("text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     frequency = document_frequency(labelled)
     n_docs = frequency.max() if len(frequency) else 0
     idf = np.log((1 + n_docs) / (1 + frequency)) + 0.1
-    first = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("text"), "text"))
-    sample = labelled.withColumn("place_", first).where(F.col("place_") <= per_language).select("text", "lang")
+    hashed = labelled.withColumn("hash_", F.xxhash64("text"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("hash_"))
+    ranked = hashed.select("lang", "hash_").distinct().withColumn("place_", first)
+    last = materialise(
+        ranked.where(F.col("place_") <= per_language).groupBy("lang").agg(F.max("hash_").alias("last_")), "last"
+    )
+    chosen = hashed.join(last, "lang").where(F.col("hash_") <= F.col("last_"))
+    sample = chosen.groupBy("lang", "hash_").agg(F.min("text").alias("text")).select("text", "lang")
 
     def features(batches):
         for batch in batches:
@@ -210,7 +219,7 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | Non
 
     rows = (
         sample.mapInArrow(features, "lang string, order_ long, at array<long>, n array<long>")
-        .coalesce(1).mapInPandas(train, "lang string, weights binary, bias double, temperature double").collect()
+        .repartition(1).mapInPandas(train, "lang string, weights binary, bias double, temperature double").collect()
     )
     if not rows:
         return None

@@ -30,8 +30,13 @@ def words(text: str | None) -> np.ndarray:
     return np.unique(np.fromiter(map(crc32, found), dtype=np.int64, count=len(found)) % BUCKETS)
 
 
-def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Texts with the categories of :data:`CATEGORIES`, from labels (doc_id, quality, toxic); unlabelled rows drop out."""
+def labelled(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
+    """Texts with the categories of :data:`CATEGORIES`, from labels (doc_id, quality, toxic).
+
+    At most ``per_class`` documents of each value of toxic, the first by hash of
+    the id: this bound is the documented sample. They are chosen among the labels
+    and stored, so that the texts need no shuffle where the sample is small.
+    """
     marks = labels.where(F.col("toxic").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"), F.min("quality").alias("quality")
     )
@@ -39,6 +44,8 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         "doc_id", (F.col("quality") == 0).cast("int").alias("poor"), F.col("toxic").cast("int").alias("toxic"),
         ((F.col("toxic") == 1) & (F.col("quality") == 0)).cast("int").alias("toxic_poor"),
     )
+    first = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
+    marks = materialise(marks.withColumn("place_", first).where(F.col("place_") <= per_class).drop("place_"), "marks")
     return docs.select("doc_id", "text").join(marks, "doc_id")
 
 
@@ -94,19 +101,15 @@ def _trainer(category: str):
     return train
 
 
-def fit(samples: DataFrame, categories: tuple[str, ...] = CATEGORIES, per_class: int = SAMPLE_PER_CLASS) -> list[np.ndarray] | None:
+def fit(samples: DataFrame, categories: tuple[str, ...] = CATEGORIES) -> list[np.ndarray] | None:
     """Weights of the chain, one vector a category; None without labelled rows.
 
-    ``samples`` has text and the category columns. At most ``per_class`` rows of
-    each value of the toxic column are used, the first by hash: this bound is
-    the documented sample. For each category one task a fold trains on the
+    ``samples`` has doc_id, text and the category columns and is bounded, as
+    :func:`labelled` returns it. For each category one task a fold trains on the
     other folds and predicts its own, and one task trains on all; its inputs
     are the words and the out-of-fold probabilities of earlier categories, so
     later models see inputs like those of unseen documents.
     """
-    spark = samples.sparkSession
-    first = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("text"), "doc_id"))
-    chosen = samples.withColumn("place_", first).where(F.col("place_") <= per_class)
 
     def features(batches):
         for batch in batches:
@@ -121,7 +124,7 @@ def fit(samples: DataFrame, categories: tuple[str, ...] = CATEGORIES, per_class:
             )
 
     schema = "doc_id long, order_ long, words array<long>, " + ", ".join(f"{c} int" for c in categories)
-    rows = chosen.select("doc_id", "text", *categories).mapInArrow(features, schema)
+    rows = samples.select("doc_id", "text", *categories).mapInArrow(features, schema)
     # a text keeps to one fold, or its copies would give its label away
     rows = materialise(rows.withColumn("fold", (F.col("order_") % FOLDS).cast("int")), "sample")
     chain: list[np.ndarray] = []
