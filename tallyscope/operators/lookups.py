@@ -93,8 +93,9 @@ def exclusion_reason(df: DataFrame, x: Exclusions) -> Column:
             hit = hit & F.col("uid").rlike(f"^(?:{pattern})")
         fleet = fleet | F.coalesce(hit, never)
     if x.accounts and {"parent", "uid"} <= has:
-        for p, u in x.accounts:
-            account = account | F.coalesce((F.col("parent") == p) & (F.col("uid") == u), never)
+        # one set lookup, however long the list
+        key = F.concat(F.col("parent"), F.lit("\x01"), F.col("uid"))
+        account = F.coalesce(key.isin([f"{p}\x01{u}" for p, u in x.accounts]), never)
     if x.parents and "parent" in has:
         parent = F.coalesce(F.col("parent").isin(*x.parents), never)
     if x.games and "game_id" in has:

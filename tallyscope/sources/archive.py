@@ -53,7 +53,9 @@ def merged_rounds(archive: DataFrame, increment: DataFrame) -> DataFrame:
     """Upsert on ``serial``: a strictly newer source row replaces, a new one is added."""
     newest = increment.groupBy("serial").agg(
         F.max_by(F.struct(*_COLUMNS), F.struct("last_modify_time", "game_time")).alias("_new"))
-    old = archive.select("serial", F.struct(*_COLUMNS).alias("_old"))
+    # A merge that broke off may have left a moved round in two days; the newer version counts.
+    old = archive.groupBy("serial").agg(
+        F.max_by(F.struct(*_COLUMNS), F.struct("last_modify_time", "game_time")).alias("_old"))
     j = old.join(newest, "serial", "full")
     newer = F.col("_new").isNotNull() & (
         F.col("_old").isNull() | (F.col("_new.last_modify_time") > F.col("_old.last_modify_time")))
