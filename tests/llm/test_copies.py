@@ -10,7 +10,6 @@ from xxhash import xxh64_intdigest
 from tallyscope.llm import rows as helpers
 from tallyscope.llm import simhash, suffixes, vectors
 from tallyscope.llm.queries import QUERIES
-from tests.conftest import DATA
 from tests.llm.conftest import DOCUMENT, documents
 
 SF = "/root/testdata/sf0.01"
