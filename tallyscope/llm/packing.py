@@ -19,7 +19,7 @@ from tallyscope.llm.rows import texts_of
 
 END_ID = 2
 MAX_LENGTH = 4096
-_CACHED = 700_000
+_CACHED = 400_000
 
 PIECES = (
     "doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, bucket int"
