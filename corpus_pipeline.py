@@ -30,9 +30,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each component, the one that names it; repeated rows and rows without an id go."""
-    found = simhash.near_duplicates(docs).where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi").select(*COLUMNS).dropDuplicates(["doc_id"])
+    """Keep exactly one row of each component: the least id (nulls last), then the least hash of text and row."""
+    return simhash.one_of_each(docs.select(*COLUMNS))
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

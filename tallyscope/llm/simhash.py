@@ -190,6 +190,15 @@ def links(prints: DataFrame, found: Plan, distance: int = DISTANCE, tile: int =
     return dealt.mapInPandas(forest, "u long, v long").where("u <> v")
 
 
+def with_roots(nodes: DataFrame, distance: int = DISTANCE, n_parts: int = PARTS) -> DataFrame:
+    """Stored rows of distinct ``fp`` with ``root``, the same for all of a component."""
+    total = nodes.count()
+    sample = nodes.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toPandas()["fp"].to_numpy(dtype=np.int64).view(np.uint64)
+    edges = links(nodes.select("fp"), plan(sample, total, n_parts, distance), distance)
+    member = components(edges).select(F.col("id").alias("fp"), F.col("component_id").alias("root"))
+    return nodes.join(member, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def near_duplicates(docs: DataFrame, distance: int = DISTANCE, n_parts: int = PARTS) -> DataFrame:
     """Every document with its ``fingerprint`` (16 hex digits) and ``component_id``.
 
@@ -205,14 +214,28 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, n_parts: int = PA
     """
     prints = materialise(docs.select("doc_id", fingerprint(F.col("text")).alias("fp")), "prints")
     nodes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    total = nodes.count()
-    sample = nodes.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toPandas()["fp"].to_numpy(dtype=np.int64).view(np.uint64)
-    found = plan(sample, total, n_parts, distance)
-    edges = links(nodes.select("fp"), found, distance)
-    member = components(edges).select(F.col("id").alias("fp"), F.col("component_id").alias("root"))
-    rooted = nodes.join(member, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    rooted = with_roots(nodes, distance, n_parts)
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialise(rooted.join(names, "root").select("fp", "component_id"), "named")
     return prints.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, distance: int = DISTANCE, n_parts: int = PARTS) -> DataFrame:
+    """Exactly one row of each component, null ids and repeated ids included.
+
+    It is the first by (doc_id with nulls last, SHA-256 of the text, SHA-256 of
+    the whole row). The last is the key of a row: rows that share it are equal
+    in every column, so the result does not depend on how rows are dealt out.
+    """
+    others = [c for c in docs.columns if c != "text"]
+    text_hash = F.sha2(F.col("text").cast("binary"), 256)
+    row_key = F.sha2(F.to_json(F.struct(*others, text_hash.alias("text_hash_"))).cast("binary"), 256)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), text_hash, row_key.alias("row_key_"))
+    prints = docs.select(fingerprint(F.col("text")).alias("fp"), order.alias("first_"))
+    nodes = materialise(prints.groupBy("fp").agg(F.min("first_").alias("first_")), "nodes")
+    chosen = with_roots(nodes, distance, n_parts).groupBy("root").agg(F.min("first_").alias("first_"))
+    chosen = materialise(chosen.select("first_.row_key_"), "chosen")
+    # equal rows become one before the join, so that a row repeated often is no hot key of it
+    return docs.withColumn("row_key_", row_key).dropDuplicates(["row_key_"]).join(chosen, "row_key_", "left_semi").drop("row_key_")

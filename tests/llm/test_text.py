@@ -279,5 +279,25 @@ def test_stages_follow_each_other(spark):
     assert {r["doc_id"] for r in pieces.select("doc_id").distinct().collect()} == {d for d, _ in texts}
 
 
+def test_near_copies_keep_one_row_of_each_component(spark):
+    rng = random.Random(3)
+
+    def text():
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(200))
+
+    a, b, c, d = (text() for _ in range(4))
+    rows = [(i, t, "en", "s", len(t)) for i, t in (
+        (1, a), (9, a), (9, b),  # 9 repeats with a near copy of 1 and the only text of its group
+        (None, c), (None, c), (None, d), (5, d),  # a group without ids, and one with
+        (7, d), (7, d),
+    )]
+    want = [(1, a), (5, d), (9, b), (None, c)]
+    for order in (rows, rows[::-1]):
+        docs = spark.createDataFrame(order, DOCUMENT).repartition(3)
+        got = corpus_pipeline.near_copy_stage(spark, docs, SF)
+        assert got.columns == docs.columns
+        assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
 def test_pipeline_runs_whole(spark):
     assert corpus_pipeline.run(spark, DATA).count() > 0
