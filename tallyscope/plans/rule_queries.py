@@ -372,6 +372,138 @@ register("L1_9_split_half_persistence", _persist, f"{PC_KEYS} value:f persistenc
              f"WHERE game_time {op} TIMESTAMP '1998-06-01' GROUP BY {q.PC})"
              for n, op in (("h1", "<="), ("h2", ">"))))
 
+# --- all eight metrics and all segments, where the queries above show one metric ---------
+
+
+def _every_metric(s, d, r=None):
+    return materialise(_all_metrics(s, d, lineitem(s, d) if r is None else r, segments=True), "metrics")
+
+
+def _tertiles(name: str, src: str) -> str:
+    return f"""{name} AS (SELECT x.*, CASE WHEN NOT (mn < t1 AND t1 < t2 AND t2 < mx) THEN 'all' WHEN rounds <= t1 THEN 'low'
+    WHEN rounds <= t2 THEN 'mid' ELSE 'high' END AS volume_group FROM {src} x, (SELECT min(rounds) AS mn, max(rounds) AS mx,
+    quantile_cont(rounds, 1/3::DOUBLE) AS t1, quantile_cont(rounds, 2/3::DOUBLE) AS t2 FROM {src}) e)"""
+
+
+def _rows_sql(metric: str, src: str, value: str = "value") -> str:
+    kind = mt.METRIC_RULES[metric][2]
+    cell = q.PC.replace("parent, uid, ", "") if kind == "Z" else (
+        "NULL AS game_id, NULL AS play_type, NULL AS currency, NULL AS sm_tag")
+    lift = "lift" if metric.endswith("_rate_z") else "NULL AS lift"
+    p0 = "p0_frozen" if metric.endswith("_rate_z") else "NULL AS p0_frozen"
+    money = ("effect_rtp_points, sigma_spin, rtp_cert" if metric == "excess_turnover_z" else
+             "NULL AS effect_rtp_points, NULL AS sigma_spin, NULL AS rtp_cert")
+    return (f"SELECT '{metric}' AS metric, parent, uid, {cell}, rounds, CAST({value} AS DOUBLE) AS value, {lift}, "
+            f"{p0}, {money}, volume_group FROM {src}")
+
+
+_EVERY = " UNION ALL ".join([
+    _rows_sql("buy_share_turnover", "bv WHERE value IS NOT NULL"),
+    *[_rows_sql(m, f"tv WHERE {gate}", e) for m, e, gate in _TIMING_METRICS.values()],
+    _rows_sql("trigger_rate_z", f"({_rate_sql('n_trigger').replace('FROM pc JOIN', 'FROM pv pc JOIN')})"),
+    _rows_sql("hit_rate_z", f"({_rate_sql('n_win').replace('FROM pc JOIN', 'FROM pv pc JOIN')})"),
+    _rows_sql("excess_turnover_z", "mv WHERE value IS NOT NULL"),
+])
+_RULES_SQL = ", ".join(f"('{m}', '{r}', '{f}', '{k}', '{g}')" for m, (r, f, k, g) in mt.METRIC_RULES.items())
+_EVERY_CTES = f"""{_MONEY_CTES}, {_CO_CTE}, {_BUY_SRC}, {_PT_CTE}, {_tertiles('bv', 'b')},
+  tj AS (SELECT * FROM pt LEFT JOIN mg USING (parent, uid) LEFT JOIN mm USING (parent, uid)), {_tertiles('tv', 'tj')},
+  p0 AS (SELECT * FROM pc WHERE play_type = 0 AND rounds >= 5), {_tertiles('pv', 'p0')},
+  mny AS ({_MONEY_SQL}), {_tertiles('mv', 'mny')},
+  ru AS (SELECT * FROM (VALUES {_RULES_SQL}) v(metric, rule, family, kind, grain)),
+  am AS (SELECT ru.*, a.* EXCLUDE (metric) FROM ({_EVERY}) a JOIN ru USING (metric)),
+  ar AS (SELECT * FROM am WHERE kind = 'ROBUST'), az AS (SELECT * FROM am WHERE kind = 'Z'),
+  {q.robust('rb', 'ar', 'metric', 'value', 2.0, 5)},
+  cl AS (SELECT metric, quantile_cont(value, 0.95) AS ceiling_bound FROM ar GROUP BY 1),
+  ft AS (SELECT ru.*, kind = 'Z' OR rb.bound IS NOT NULL AS enabled,
+    CASE WHEN kind = 'Z' THEN 'analytic_null+BH_FDR' ELSE coalesce(branch, 'insufficient_population') END AS branch,
+    CASE WHEN rb.bound IS NOT NULL THEN greatest(rb.bound, ceiling_bound) END AS bound, ceiling_bound,
+    CASE WHEN kind = 'Z' THEN 0.1 END AS fdr_q, CASE WHEN metric IN ('trigger_rate_z', 'hit_rate_z') THEN 1.0 END AS min_lift,
+    CASE WHEN metric = 'excess_turnover_z' THEN 1.0 END AS min_effect_rtp_points
+    FROM ru LEFT JOIN rb ON rb.g = ru.metric LEFT JOIN cl USING (metric)),
+  ev AS (SELECT a.*, ft.bound, ft.enabled, coalesce(ft.enabled AND (CASE WHEN a.kind = 'ROBUST' THEN a.value > ft.bound ELSE
+    a.selected AND (min_lift IS NULL OR lift IS NULL OR lift >= min_lift)
+    AND (min_effect_rtp_points IS NULL OR effect_rtp_points >= min_effect_rtp_points) END), FALSE) AS fired
+    FROM (SELECT *, FALSE AS selected FROM ar UNION ALL SELECT * FROM {q.bh('az', 'metric', 'value', '0.1')}) a
+    JOIN ft USING (metric)),
+  sr AS (SELECT metric, k AS segment_key, v AS segment_value, count(*) AS eligible, count(*) FILTER (fired) AS n_fired,
+    count(*) FILTER (fired) / count(*) AS rate FROM (SELECT metric, fired,
+      unnest(['overall', 'game_id', 'play_type', 'currency', 'sm_tag', 'parent', 'volume_group']) AS k,
+      unnest(['all', game_id, CAST(play_type AS VARCHAR), currency, sm_tag, parent, volume_group]) AS v
+      FROM ev WHERE enabled) WHERE v IS NOT NULL GROUP BY 1, 2, 3),
+  vl AS (SELECT *, CASE WHEN segment_key = 'overall' AND rate > {T.saturation_abort} THEN 'saturation'
+    WHEN segment_key = 'overall' AND rate > 0.05 THEN 'ceiling' WHEN segment_key != 'overall' AND eligible >= 20
+    AND rate > greatest({T.alert_ceiling * T.segment_factor}, 1.0 / eligible) THEN 'segment' END AS breach FROM sr)"""
+
+
+def _every_evaluated(s, d):
+    m = _every_metric(s, d)
+    return cal.evaluate(m, cal.fit(m, T))
+
+
+def _every_validation(s, d):
+    m = _every_metric(s, d)
+    return cal.validate(m, cal.fit(m, T), T)
+
+
+register("ST_5_fit_every_metric", lambda s, d: cal.fit(_every_metric(s, d), T),
+         "metric rule kind enabled branch bound:f ceiling_bound:f fdr_q:f min_lift:f min_effect_rtp_points:f "
+         "train_eligible:i train_fire_rate:f",
+         """SELECT ft.*, coalesce(n, 0) AS train_eligible, coalesce(fired_share, 0) AS train_fire_rate FROM ft LEFT JOIN (
+         SELECT metric, count(*) AS n, avg(CASE WHEN fired THEN 1.0 ELSE 0 END) AS fired_share FROM ev GROUP BY 1)
+         USING (metric)""", _EVERY_CTES)
+register("ST_6_evaluate_every_metric", _every_evaluated,
+         f"metric rule kind {PC_KEYS} rounds:i value:f lift:f effect_rtp_points:f fired", "SELECT * FROM ev", _EVERY_CTES)
+register("AGG_16_segment_rates_every_metric", lambda s, d: cal.segment_rates(_every_evaluated(s, d)),
+         "metric segment_key segment_value eligible:i n_fired:i rate:f", "SELECT * FROM sr", _EVERY_CTES)
+register("ST_7_validate_every_metric", _every_validation,
+         "metric segment_key segment_value eligible:i n_fired:i rate:f breach", "SELECT * FROM vl", _EVERY_CTES)
+register("ST_8_calibration_verdict_every_metric", lambda s, d: cal.verdict(_every_validation(s, d)), "verdict breaches:i",
+         """SELECT CASE WHEN count(*) FILTER (breach = 'saturation') > 0 THEN 'FAIL' WHEN count(breach) > 0 THEN 'WARN'
+         ELSE 'PASS' END AS verdict, count(breach) AS breaches FROM vl""", _EVERY_CTES)
+register("L1_1_calibrated_signals_every_metric",
+         lambda s, d: (lambda m: l1.calibrated_signals(m, cal.fit(m, T), T))(_every_metric(s, d)),
+         f"{_SIG} threshold:f effect:f effect_unit n:i p_value:f persistence",
+         f"""SELECT rule AS signal_id, family, 1 AS layer, grain, {q.PC}, metric, value, bound AS threshold,
+         coalesce(lift, effect_rtp_points) AS effect, CASE WHEN metric IN ('trigger_rate_z', 'hit_rate_z') THEN 'lift'
+         ELSE 'rtp_points' END AS effect_unit, rounds AS n, CASE WHEN kind = 'Z' THEN {normal_sf_sql('value')} END AS p_value,
+         CASE WHEN metric IN ('buy_share_turnover', 'modal_share', 'concurrent_rounds', 'max_rounds_per_minute')
+         THEN 'not_computable' ELSE 'not_evaluated' END AS persistence FROM ev WHERE fired""", _EVERY_CTES)
+
+
+def _persist_every(s, d):
+    r = lineitem(s, d)
+    half = r.where("game_time <= timestamp_ntz'1998-06-01 00:00:00'")
+    return l1.with_persistence(
+        _every_evaluated(s, d), T.but(half_window_z=0.2), player_cell=cells(r), half_player_cell=cells(half),
+        player_timing=tm.player_timing(r, T), half_player_timing=tm.player_timing(half, T))
+
+
+def _half_z(h: str) -> str:
+    return f"""CASE metric WHEN 'excess_turnover_z' THEN CASE WHEN {h}.q > 0 THEN
+    ({h}.w - rtp_cert * {h}.b) / (sigma_spin * sqrt({h}.q)) END
+    ELSE ((CASE metric WHEN 'trigger_rate_z' THEN {h}.t ELSE {h}.h END) / greatest({h}.n, 1) - p0_frozen)
+      / sqrt(p0_frozen * (1 - p0_frozen) / greatest({h}.n, 1)) END"""
+
+
+_HALF = f"""SELECT {q.PC}, count(*) AS n, count(*) FILTER (triggered) AS t, count(*) FILTER (win > 0) AS h,
+    sum(win) AS w, sum(valid_bet) AS b, sum(valid_bet * valid_bet) AS q FROM"""
+_PERSIST_CTES = f"""{_EVERY_CTES}, hr AS (SELECT * FROM r WHERE game_time <= TIMESTAMP '1998-06-01'),
+  h1 AS ({_HALF} hr GROUP BY {q.PC}), hw AS ({_HALF} r GROUP BY {q.PC}),
+  h2 AS (SELECT {q.PC}, {', '.join(f'hw.{c} - coalesce(h1.{c}, 0) AS {c}' for c in 'nthwbq')} FROM hw LEFT JOIN h1 USING ({q.PC})),
+  g1 AS (SELECT parent, uid, count(gap_s) AS n_gaps, count(*) FILTER (gap_s = 0) AS zero FROM (SELECT parent, uid,
+    date_diff('second', lag(game_time) OVER (PARTITION BY parent, uid ORDER BY game_time, serial), game_time) AS gap_s FROM hr)
+    GROUP BY 1, 2 HAVING count(*) >= 5),
+  g2 AS (SELECT parent, uid, pt.n_gaps - coalesce(g1.n_gaps, 0) AS n_gaps, same_second_gaps - coalesce(g1.zero, 0) AS zero
+    FROM pt LEFT JOIN g1 USING (parent, uid))"""
+register("L1_9_split_half_persistence_every_metric", _persist_every, f"metric {PC_KEYS} value:f persistence",
+         f"""SELECT ev.*, CASE WHEN kind = 'Z' THEN CASE WHEN h1.parent IS NULL THEN 'not_computable'
+         WHEN {_half_z('h1')} >= 0.2 AND {_half_z('h2')} >= 0.2 THEN 'held' ELSE 'failed' END
+         WHEN metric = 'same_second_share' THEN CASE WHEN g1.parent IS NULL THEN 'not_computable'
+         WHEN g1.zero / greatest(g1.n_gaps, 1) > bound AND g2.zero / greatest(g2.n_gaps, 1) > bound THEN 'held' ELSE 'failed' END
+         ELSE 'not_computable' END AS persistence FROM ev
+         LEFT JOIN h1 USING ({q.PC}) LEFT JOIN h2 USING ({q.PC}) LEFT JOIN g1 USING (parent, uid) LEFT JOIN g2 USING (parent, uid)""",
+         _PERSIST_CTES)
+
 # --- layer 2 ---------------------------------------------------------------------------
 _GD_CTE = f"""gd AS (SELECT {q.CELL}, CAST(game_time AS DATE) AS event_date, count(*) AS rounds,
     sum(valid_bet) AS turnover, sum(win) AS total_win, sum(valid_bet * valid_bet) AS sumsq_valid_bet,

@@ -261,7 +261,7 @@ register("SNK_5_write_proposals", _written_proposals, "parent members:i cohorts:
 
 
 def _frozen_table(s, d):
-    m = rq._kept_metrics(s, d, "'excess_turnover_z'")
+    m = rq._every_metric(s, d)
     frozen = cal.fit(m, rq.T)
     path = _place(s, "frozen")
     cal.write_frozen(frozen, cal.validate(m, frozen, rq.T), path, train_as_of="1999-01-01", validated_as_of="2001-12-31")

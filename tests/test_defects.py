@@ -14,6 +14,7 @@ from tallyscope.operators.cohorts import cadence_prints
 from tallyscope.schema import ROUND
 from tallyscope.settings import Thresholds
 from tallyscope.sources import archive as ar
+from tests.conftest import DATA
 from tests.test_jobs import DAY, round_row
 
 
@@ -92,3 +93,14 @@ def test_cadence_uses_every_member(spark):
             if ((a > 0) & (b > 0)).sum() >= t.cohort_min_shared_hours:
                 want.append(np.corrcoef(a, b)[0, 1])
     assert math.isclose(got, float(np.mean(want)), rel_tol=1e-9)
+
+
+def test_calibration_queries_hold_all_metrics_and_segments(spark):
+    import __spark_entry__ as entry_module
+    from tallyscope.settings import METRIC_RULES, SEGMENT_KEYS
+
+    queries = entry_module.queries()
+    frozen = queries["SNK_6_frozen_parameters"](spark, DATA).where("train_eligible > 0")
+    assert {r["metric"] for r in frozen.collect()} == set(METRIC_RULES)
+    rates = queries["AGG_16_segment_rates_every_metric"](spark, DATA).collect()
+    assert {r["segment_key"] for r in rates} == {"overall", *SEGMENT_KEYS}
