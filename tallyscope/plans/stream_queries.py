@@ -482,3 +482,23 @@ register("CS_9_stream_gate", _streamed, "parent uid action escalation severity",
          CASE WHEN bool_or(mx) THEN 'Critical' ELSE 'High' END AS severity FROM (
          SELECT *, coalesce(max_multiple > cap_cert, FALSE) AS mx FROM {q.certified('pc')})
          WHERE balance_violations > 0 OR dup_seq_rounds > 0 OR mx GROUP BY 1, 2""", f"{EV}, {q.catalog()}, {_PC_CTE}")
+
+
+def _streamed_batches(s, d):
+    """Four files, one a batch, rounds dealt by serial, so twins fall in different batches."""
+    source, state = _place(s, "stream"), _place(s, "state")
+    rounds = materialise(events(s, d), "rounds")
+    for i in range(4):
+        rounds.where(F.pmod("serial", F.lit(4)) == i).coalesce(1).write.mode("append").parquet(source)
+    store = cg.GateStore(s, state)
+    run = jobs.start_integrity(
+        s, source, fx.catalog(s), store, f"{state}/checkpoint", files_per_batch=1, available_now=True)
+    run.awaitTermination()
+    return s.read.json(f"{state}/alerts").groupBy("parent", "uid").agg(F.max(
+        F.when(F.col("severity") == "Critical", 4).when(F.col("severity") == "High", 3).otherwise(0)).alias("severity"))
+
+
+register("CS_9_stream_gate_batches", _streamed_batches, "parent uid severity:i",
+         f"""SELECT parent, uid, CASE WHEN bool_or(mx) THEN 4 ELSE 3 END AS severity FROM (
+         SELECT *, coalesce(max_multiple > cap_cert, FALSE) AS mx FROM {q.certified('pc')})
+         WHERE balance_violations > 0 OR dup_seq_rounds > 0 OR mx GROUP BY 1, 2""", f"{EV}, {q.catalog()}, {_PC_CTE}")

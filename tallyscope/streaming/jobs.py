@@ -2,7 +2,9 @@
 
 Each micro-batch is one scan. The case gate needs to see absent cases, so it
 runs in ``foreachBatch`` over a stored state table; the batch id is the scan id
-and a repeated batch is not taken twice.
+and a repeated batch is not taken twice. Every batch is stored beside that
+state, and a later one is judged with the earlier rows of its round ids, so
+twins that fall in different batches are paired however far apart they are.
 """
 
 from __future__ import annotations
@@ -32,19 +34,37 @@ def gate_candidates(signals: DataFrame, store: GateStore, scan_id: str, risk_typ
     return store.ingest(scan_id, cases)
 
 
+def with_earlier(batch: DataFrame, batch_id: int, key: str, store: GateStore, name: str) -> DataFrame:
+    """The batch and the rows of earlier batches that share its values of ``key``; stores the batch."""
+    path = f"{store.path}/{name}"
+    batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    spark = batch.sparkSession
+    stored = spark.read.schema(f"{_ddl(batch)}, batch_id bigint").parquet(path)
+    own = stored.where(F.col("batch_id") == batch_id).drop("batch_id")
+    keys = own.where(F.col(key).isNotNull()).select(key).distinct()
+    earlier = stored.where(F.col("batch_id") < batch_id).drop("batch_id").join(keys, key, "left_semi")
+    return own.unionByName(earlier)
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def integrity_batch(
     store: GateStore, catalog: DataFrame, history: Callable[[], DataFrame] | None = None, t: Thresholds = Thresholds()
 ) -> Callable[[DataFrame, int], None]:
-    """Batch function: absolute rules over new rounds and the margin before them."""
+    """Batch function: absolute rules over new rounds, their twins in earlier batches and, given a
+    ``history`` of rounds before the stream, the margin before them."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        rounds = batch
+        rounds = with_earlier(batch, batch_id, "game_seq_id", store, "rounds")
         if history is not None:
             low = batch.agg(F.min("serial").alias("s")).first()["s"]
             if low is not None:
                 before = history().where(
                     (F.col("serial") >= low - t.serial_margin) & (F.col("serial") < low)).select(*batch.columns)
-                rounds = batch.unionByName(before)
+                seen = rounds.select("serial", "game_seq_id").distinct()  # an archive may hold earlier batches too
+                rounds = rounds.unionByName(before.join(seen, ["serial", "game_seq_id"], "left_anti").select(*batch.columns))
         gate_candidates(fast_signals(rounds, catalog, t), store, scan_id_of(batch_id), "integrity", t)
 
     return run
@@ -67,13 +87,15 @@ def log_batch(store: GateStore, salt: str, t: Thresholds = Thresholds(),
               overlap: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
     """Batch function: parse, detect, fuse and gate one micro-batch of entries.
 
-    ``overlap`` may add the entries just before the batch, so a failure and its
-    later settlement that straddle two batches are still paired.
+    Records of earlier batches with the batch's round ids are added, so a failure
+    and its later settlement that straddle batches are paired. ``overlap`` may add
+    entries from before the stream.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         entries = batch if overlap is None else overlap(batch)
-        gate_candidates(log_signals(materialise(parse_entries(entries, salt), "log_records")), store, scan_id_of(batch_id), "log", t)
+        records = with_earlier(parse_entries(entries, salt), batch_id, "gsid", store, "records")
+        gate_candidates(log_signals(materialise(records, "log_records")), store, scan_id_of(batch_id), "log", t)
 
     return run
 

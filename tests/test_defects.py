@@ -104,3 +104,29 @@ def test_calibration_queries_hold_all_metrics_and_segments(spark):
     assert {r["metric"] for r in frozen.collect()} == set(METRIC_RULES)
     rates = queries["AGG_16_segment_rates_every_metric"](spark, DATA).collect()
     assert {r["segment_key"] for r in rates} == {"overall", *SEGMENT_KEYS}
+
+
+def test_streams_pair_twins_of_different_batches(spark, place):
+    import json
+
+    from tallyscope.operators.casegate import GateStore
+    from tallyscope.schema import LOG_ENTRY
+    from tallyscope.sources import fixtures as fx
+    from tallyscope.streaming import jobs
+
+    store = GateStore(spark, f"{place}/rounds-state")
+    run = jobs.integrity_batch(store, fx.catalog(spark))
+    for i, (serial, gsid) in enumerate(((900_000, "x"), (5, "y"), (9, "x"))):
+        run(spark.createDataFrame([round_row(serial, DAY + dt.timedelta(seconds=i), gsid=gsid)], ROUND), i)
+        assert store.state().count() == (i == 2)
+
+    def entry(second, code):
+        payload = "Spin-Server Response info " + json.dumps({"resCode": code, "response": {"gameSeqId": "g"}})
+        row = {"ts": DAY + dt.timedelta(seconds=second), "container": "spin-server", "payload": payload}
+        return spark.createDataFrame([tuple(row.get(f.name) for f in LOG_ENTRY.fields)], LOG_ENTRY)
+
+    store = GateStore(spark, f"{place}/log-state")
+    run = jobs.log_batch(store, "salt")
+    for i, (second, code) in enumerate(((0, 802), (4000, 1000))):
+        run(entry(second, code), i)
+        assert store.state().count() == i
