@@ -14,11 +14,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyscope.functions.columns import ratio
+from tallyscope.functions.columns import join_keys, ratio
 from tallyscope.functions.ranks import quantile_values, volume_group
 from tallyscope.functions.signals import signals
 from tallyscope.functions.tasks import depth_norm, grow_tree
-from tallyscope.settings import FEATURE_BUY_TYPES, PLAYER, Thresholds
+from tallyscope.settings import CELL, FEATURE_BUY_TYPES, PLAYER, Thresholds
 
 FEATURES = [
     "buy_share_turnover", "trigger_rate", "hit_rate", "rtp", "same_second_share", "modal_share",
@@ -28,16 +28,17 @@ _CONTEXT = ["game_id", "currency"]
 
 
 def player_features(player_cell: DataFrame, timing: DataFrame) -> DataFrame:
-    """Ten behavioural features per player; the first cell in key order names its context."""
+    """Ten behavioural features per player; the first cell in key order, nulls last, names its context."""
     buy = F.col("play_type").isin(*FEATURE_BUY_TYPES)
     zero = F.lit(0.0)
+    cell = F.struct(*[x for c in CELL for x in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))])
     f = player_cell.groupBy(*PLAYER).agg(
         F.sum("rounds").alias("rounds"), F.sum("turnover").alias("turnover"), F.sum("total_win").alias("_win"),
         F.sum("n_win").alias("_hits"), F.sum("n_trigger").alias("_triggers"),
         F.max("bet_levels").cast("double").alias("bet_levels"),
         F.sum("balance_violations").cast("double").alias("balance_violations"),
         F.sum(F.when(buy, F.col("turnover")).otherwise(0.0)).alias("_buy"),
-        F.min(F.struct("game_id", "play_type", "currency", "sm_tag")).alias("_cell"),
+        F.min(cell).alias("_cell"),
     )
     t = timing.select(*PLAYER, "n_gaps", "same_second_gaps", "modal_share", "hours_of_day_covered")
     f = f.join(t, PLAYER, "left")
@@ -55,10 +56,10 @@ def player_features(player_cell: DataFrame, timing: DataFrame) -> DataFrame:
 
 
 def normalised(features: DataFrame) -> DataFrame:
-    """z scores within (game, currency); zero spread or a missing value gives 0."""
+    """z scores within (game, currency), null a value like any other; zero spread or a missing value gives 0."""
     moments = features.groupBy(*_CONTEXT).agg(
         *[F.avg(c).alias(f"_m_{c}") for c in FEATURES], *[F.stddev_samp(c).alias(f"_s_{c}") for c in FEATURES])
-    j = features.join(moments, _CONTEXT)
+    j = join_keys(features, moments, _CONTEXT)
     z = lambda c: F.coalesce(
         ratio(F.col(c) - F.col(f"_m_{c}"), F.nullif(F.col(f"_s_{c}"), F.lit(0.0))), F.lit(0.0))
     return j.select(*PLAYER, "rounds", *_CONTEXT, "sm_tag", *[z(c).alias(c) for c in FEATURES])

@@ -130,3 +130,21 @@ def test_streams_pair_twins_of_different_batches(spark, place):
     for i, (second, code) in enumerate(((0, 802), (4000, 1000))):
         run(entry(second, code), i)
         assert store.state().count() == i
+
+
+def test_players_without_a_game_or_currency_are_scored(spark):
+    from tallyscope.operators import anomaly as an
+    from tallyscope.operators import timing as tm
+
+    rows = []
+    for i, (uid, game, currency) in enumerate((
+        ("a", None, "USD"), ("a", "g1", "USD"), ("b", "g1", None), ("b", "g2", "USD"), ("c", None, None), ("d", "g1", "USD"),
+    )):
+        row = list(round_row(i, DAY + dt.timedelta(seconds=i), uid=uid))
+        row[6], row[8] = game, currency
+        rows.append(tuple(row))
+    r = spark.createDataFrame(rows, ROUND)
+    cells = ft.player_cell_features(r, min_rounds=1, evidence=False)
+    z = an.normalised(an.player_features(cells, tm.player_timing(r)))
+    got = {x["uid"]: (x["game_id"], x["currency"]) for x in z.collect()}
+    assert got == {"a": ("g1", "USD"), "b": ("g1", None), "c": (None, None), "d": ("g1", "USD")}
