@@ -95,7 +95,9 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS,
     """Shard, and place in the shard, of every document; sizes of shards come out near equal.
 
     Records are hashed by doc_id (without one: by text) into ``n_slots`` virtual
-    slots, bytes are summed per slot, and the slot map is edited until no move
+    slots. A key repeated beyond the mean slot's bytes or rows has a salt by
+    stored row number, as many values as it fills mean slots, so no slot holds
+    more copies than a move can level. Then bytes are summed per slot, and the slot map is edited until no move
     narrows the spread. Only the sums of the slots, a number fixed by
     ``n_slots``, reach the driver; places are counted within slots and shifted
     by the slots before, so no task holds a whole shard.
@@ -105,21 +107,29 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS,
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    slot = F.pmod(F.xxhash64(F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text"))), F.lit(n_slots))
-    records = materialise(
+    key = F.xxhash64(F.col("doc_id"), F.when(F.col("doc_id").isNull(), F.col("text")))
+    stored = materialise(
         docs.select(
-            F.col("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"),
-            F.crc32(text).alias("text_crc32"), slot.cast("int").alias("virtual_slot"),
+            F.col("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+            key.alias("key"), F.monotonically_increasing_id().alias("row"),
         ),
         "records",
     )
+    total = stored.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("b")).first()
+    fill = F.greatest(F.col("n") * n_slots / max(total["n"], 1), F.col("b") * n_slots / max(total["b"], 1))
+    # fewer than 2 * n_slots keys fill a mean slot
+    heavy = stored.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b")).where((F.col("n") > 1) & (fill > 1))
+    heavy = materialise(heavy.select("key", F.least(F.ceil(fill), F.col("n"), F.lit(n_slots)).cast("int").alias("salts")), "heavy")
+    salted = F.xxhash64(F.col("key"), F.pmod(F.xxhash64(F.col("row")), F.col("salts")))
+    slot = F.pmod(F.when(F.col("salts") > 1, salted).otherwise(F.col("key")), F.lit(n_slots)).cast("int")
+    records = stored.join(F.broadcast(heavy), "key", "left").withColumn("virtual_slot", slot).drop("key", "row", "salts")
     sums = records.groupBy("virtual_slot").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("b")).collect()
     slot_bytes, slot_rows = np.zeros(n_slots), np.zeros(n_slots, dtype=np.int64)
     for r in sums:
         slot_bytes[r["virtual_slot"]], slot_rows[r["virtual_slot"]] = r["b"], r["n"]
     start = first_map(n_shards, n_slots)
     final = rebalance(start, slot_bytes)
-    map_path = map_path or f"{shared_dir(spark)}/slot-map-{records.inputFiles()[0].rsplit('/', 2)[-2] if sums else 'empty'}"
+    map_path = map_path or f"{shared_dir(spark)}/slot-map-{stored.inputFiles()[0].rsplit('/', 2)[-2] if sums else 'empty'}"
     for version in (start, final):
         save_map(spark, map_path, version)
     shard = np.array(final.shard)

@@ -121,6 +121,14 @@ def test_op3_odd_rows(spark, odd, none):
     assert sharding.shard_documents(none).count() == 0
 
 
+def test_op3_levels_copies_of_one_key(spark):
+    rows = [(7 if i % 3 == 0 else i, f"text {i} " * 20) for i in range(3000)] + [(None, "the same text " * 10)] * 1000
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = sharding.shard_documents(docs).collect()
+    _check_shards(docs.collect(), out, 400)
+    assert max(Counter(r["virtual_slot"] for r in out).values()) < 20
+
+
 def test_maps_are_versions(spark, place):
     first = sharding.first_map(4, 64)
     size = np.arange(64.0)
