@@ -33,9 +33,10 @@ def words(text: str | None) -> np.ndarray:
 def labelled(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
     """Texts with the categories of :data:`CATEGORIES`, from labels (doc_id, quality, toxic).
 
-    At most ``per_class`` documents of each value of toxic, the first by hash of
-    the id: this bound is the documented sample. They are chosen among the labels
-    and stored, so that the texts need no shuffle where the sample is small.
+    At most ``per_class`` rows of each value of toxic: this bound is the
+    documented sample. Ids are chosen among the labels, the first by hash, and
+    stored. Of their rows those equal in id and text count once, and the bound
+    is applied again, by hash of id and text, as an id may have many texts.
     """
     marks = labels.where(F.col("toxic").isNotNull() & F.col("quality").isNotNull()).groupBy("doc_id").agg(
         F.max("toxic").alias("toxic"), F.min("quality").alias("quality")
@@ -46,7 +47,10 @@ def labelled(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLA
     )
     first = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id"))
     marks = materialise(marks.withColumn("place_", first).where(F.col("place_") <= per_class).drop("place_"), "marks")
-    return docs.select("doc_id", "text").join(marks, "doc_id")
+    text_hash = F.sha2(F.col("text").cast("binary"), 256)
+    rows = docs.select("doc_id", "text").join(marks, "doc_id").withColumn("hash_", text_hash).dropDuplicates(["doc_id", "hash_"])
+    first = F.row_number().over(Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", "hash_"), "doc_id", "hash_"))
+    return rows.withColumn("place_", first).where(F.col("place_") <= per_class).drop("place_", "hash_")
 
 
 def train_one(rows: list[np.ndarray], extra: np.ndarray, y: np.ndarray) -> np.ndarray:

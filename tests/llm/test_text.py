@@ -148,6 +148,14 @@ def test_op7_odd_rows(spark, odd, none):
     assert toxicity.score(odd, labels.where("toxic > 5")).where("flagged").count() == 0
 
 
+def test_op7_sample_is_bounded_by_rows(spark):
+    rows = [(1, f"text {i}") for i in range(60)] + [(2, "same")] * 50 + [(3, None)] * 5 + [(None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    got = sorted((r["doc_id"], r["toxic"], r["poor"]) for r in toxicity.labelled(docs, labels, 40).collect())
+    assert got == [(1, 1, 0)] * 40 + [(2, 0, 0), (3, 0, 1)]
+
+
 # chat
 
 
