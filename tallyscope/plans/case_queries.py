@@ -9,7 +9,11 @@ from tallyscope.operators import casegate as cg
 from tallyscope.operators import cohorts as co
 from tallyscope.operators import features as ft
 from tallyscope.operators import fusion as fu
+from tallyscope.operators import layer1 as l1
+from tallyscope.operators import layer2 as l2
 from tallyscope.operators import timing as tm
+from tallyscope.operators.calibration import fit
+from tallyscope.plans import scan as sc
 from tallyscope.plans import sqltext as q
 from tallyscope.plans.registry import register
 from tallyscope.plans.rule_queries import _GAPS, _PC_CTE, accounts, cells, lineitem
@@ -146,9 +150,25 @@ def _flags(s, d):
 register("L3_11_isolation_forest", _flags, "parent uid score:f flag")
 register("L3_12_segment_stability", lambda s, d: an.segment_gate(_flags(s, d), T, T.forest_contamination),
          "segment_key segment_value players:i rate:f concentrated")
-register("L3_13_discovery_signals",
-         lambda s, d: an.discovery_signals(_flags(s, d), lineitem(s, d).where("uid LIKE 's1%'")),
-         "signal_id family parent uid value:f")
+
+
+def _rule_signals(s, d):
+    """Signals of layers 1 and 2 at their policy, which is what discovery leaves out."""
+    t = Thresholds()
+    r, cat = lineitem(s, d), fx.catalog(s)
+    a = sc.extract(r, "9999-12-31 00:00:00", t)
+    m = sc._metrics(a, cat, t, sc.DEFAULT_EXCLUSIONS)
+    return l1.layer1_signals(
+        m, fit(m, t), a.gated(t), a.player_timing, a.cell_constants, cat, t, ungated_player_cell=a.player_cell,
+    ).unionByName(l2.layer2_signals(a.game_day, cat, t))
+
+
+def _discovered(s, d):
+    touched = _rule_signals(s, d).where("parent IS NOT NULL AND uid IS NOT NULL").select("parent", "uid")
+    return an.discovery_signals(_flags(s, d), materialise(touched.distinct(), "touched"))
+
+
+register("L3_13_discovery_signals", _discovered, "signal_id family parent uid value:f")
 register("JN_9_rule_flagged_anti_join",
          lambda s, d: co.accounts(cells(lineitem(s, d))).join(
              cells(lineitem(s, d)).where("balance_violations > 0").select("parent", "uid").distinct(),
@@ -249,6 +269,21 @@ def _annotated(s, d):
 
 register("FU_9_cohort_annotation", _annotated, f"{_CASE} cohort_id escalation",
          "SELECT *, CASE WHEN uid LIKE '%7' THEN 'cohort_x' END AS cohort_id FROM fz", _FZ)
+_TWO = T.but(cohort_min_members=2)
+
+
+def _annotated_members(s, d):
+    """Cases with the cohorts found on the same rounds."""
+    people = co.accounts(cells(lineitem(s, d)))
+    groups = materialise(co.structural_groups(people, _TWO).join(co.cohort_ids(people), co.GROUP), "cohorts")
+    return fu.fuse(fx.signals_from_lineitem(s, d), cohort_members=co.membership(groups, cells(lineitem(s, d))))
+
+
+register("FU_9_cohort_annotation_members", _annotated_members, f"{_CASE} cohort_id escalation",
+         "SELECT fz.*, mb.cohort_id FROM fz LEFT JOIN mb ON fz.parent = mb.parent AND fz.uid = mb.uid",
+         f"""{_FZ}, {q.rounds_lineitem()}, pl AS (SELECT DISTINCT parent, uid, {_SKEL} AS skeleton FROM r),
+         mb AS (SELECT parent, uid, CASE WHEN count(*) OVER (PARTITION BY parent, skeleton) >= 2 THEN
+         'cohort_' || substr(sha256(parent || '|' || skeleton), 1, 12) END AS cohort_id FROM pl)""")
 register("FU_11_scan_summary", lambda s, d: fu.summary(_cases(s, d)), "escalation cases:i mean_families:f high_share:f",
          """SELECT escalation, count(*) AS cases, avg(independent_families) AS mean_families,
          count(*) FILTER (severity IN ('Critical', 'High')) / count(*) AS high_share FROM fz GROUP BY 1""", _FZ)
@@ -317,14 +352,12 @@ register("CS_4_debounce", lambda s, d: cg.replay_scans(
 
 # --- the composed scan ---------------------------------------------------------------
 def _scan(s, d):
-    from tallyscope.operators.calibration import fit
-    from tallyscope.plans import scan as sc
     from tallyscope.plans.rule_queries import T as small
 
     t = small.but(detection_window_days=0, cohort_min_members=3)
     r, cat = fx.rounds_from_events(s, d, None), fx.catalog(s)
     trained = sc._metrics(sc.extract(r, "2024-01-15 00:00:00", t), cat, t, sc.DEFAULT_EXCLUSIONS)
-    return sc.scan(r, cat, fit(trained, t), "2024-01-31 00:00:00", t, discover=False).cases
+    return sc.scan(r, cat, fit(trained, t), "2024-01-31 00:00:00", t, persistence_mid="2024-01-16 00:00:00").cases
 
 
 register("FU_11_scan", _scan, "case_id grain escalation severity independent_families:i n_signals:i")

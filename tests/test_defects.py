@@ -14,6 +14,7 @@ from tallyscope.operators.cohorts import cadence_prints
 from tallyscope.schema import ROUND
 from tallyscope.settings import Thresholds
 from tallyscope.sources import archive as ar
+from tallyscope.sources import fixtures as fx
 from tests.conftest import DATA
 from tests.test_jobs import DAY, round_row
 
@@ -111,7 +112,6 @@ def test_streams_pair_twins_of_different_batches(spark, place):
 
     from tallyscope.operators.casegate import GateStore
     from tallyscope.schema import LOG_ENTRY
-    from tallyscope.sources import fixtures as fx
     from tallyscope.streaming import jobs
 
     store = GateStore(spark, f"{place}/rounds-state")
@@ -148,3 +148,21 @@ def test_players_without_a_game_or_currency_are_scored(spark):
     z = an.normalised(an.player_features(cells, tm.player_timing(r)))
     got = {x["uid"]: (x["game_id"], x["currency"]) for x in z.collect()}
     assert got == {"a": ("g1", "USD"), "b": ("g1", None), "c": (None, None), "d": ("g1", "USD")}
+
+
+def test_discovery_and_scan_take_real_inputs(spark, monkeypatch):
+    from tallyscope.plans import case_queries as cq
+    from tallyscope.plans import scan as sc
+    from tallyscope.plans.registry import QUERIES
+
+    players = fx.rounds_from_lineitem(spark, DATA).select("parent", "uid").distinct()
+    flags = players.withColumns({"flag": F.lit(True), "score": F.lit(0.9), "currency": F.lit("USD")})
+    one = players.orderBy("parent", "uid").first()
+    monkeypatch.setattr(cq, "_flags", lambda s, d: flags)
+    monkeypatch.setattr(cq, "_rule_signals", lambda s, d: players.where(F.col("uid") == one["uid"]))
+    got = {(r["parent"], r["uid"]) for r in QUERIES["L3_13_discovery_signals"](spark, DATA).collect()}
+    assert got == {(r["parent"], r["uid"]) for r in players.where(F.col("uid") != one["uid"]).collect()}
+    given = {}
+    monkeypatch.setattr(sc, "scan", lambda *a, **k: given.update(k) or type("S", (), {"cases": None}))
+    cq._scan(spark, DATA)
+    assert given.get("discover", True) and given["persistence_mid"]
