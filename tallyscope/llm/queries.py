@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscope.llm import bytepairs, chat, language, packing, quality, sharding, simhash, sqltext, suffixes, toxicity, vectors
+from tallyscope.llm import bytepairs, chat, language, manifest, packing, quality, sharding, simhash, sqltext, suffixes, toxicity, vectors
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -65,13 +65,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[F.col(f"cut.{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_near_vectors, op2_byte_pairs, op3_slot_shards, op4_binary_pieces, op5_simhash, op6_line_quality,
         op7_toxicity_chain, op8_role_repair, op9_language, op10_suffix_dedup,
+        op13_merkle_manifest,
     )
 }
 ORACLES: dict[str, str] = {
     "op1_near_vectors": sqltext.OP1, "op6_line_quality": sqltext.OP6, "op10_suffix_dedup": sqltext.OP10,
+    "op13_merkle_manifest": sqltext.OP13,
 }

@@ -78,3 +78,64 @@ SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(gone, 0) AS
   sha256(unhex(CASE WHEN n IS NULL THEN h ELSE kept || substr(h, 2 * last + 1) END)) AS kept_sha256
 FROM d LEFT JOIN cut USING (r)
 """
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text of ASCII characters: each byte is taken in, then eight bits are shifted out."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda b: [ascii(b), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    crc = "CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, 3988292384 * (c & 1)) END"
+    return f"xor(list_reduce(list_prepend(4294967295, list_transform({steps}, lambda x: CAST(x AS BIGINT))), lambda c, x: {crc}), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    def field(x: str) -> str:
+        return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen(CAST({x} AS VARCHAR)) || ':' || {x} END"
+
+    return "sha256(" + " || ".join(field(x) for x in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+OP13 = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, lang IS NOT NULL AS known, coalesce(lang, '') AS g, {_leaf("text")} AS leaf,
+    CASE WHEN text IS NOT NULL AND {_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0
+      THEN {_leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS forged
+  FROM documents
+), p AS (
+  SELECT *, row_number() OVER (PARTITION BY known, g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY known, g) AS n FROM d
+), nodes AS (
+  SELECT 0 AS lvl, known, g, i, n, leaf AS h FROM p
+  UNION ALL
+  SELECT lvl + 1, known, g, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY lvl, known, g, i // 8, n
+), sub AS (
+  SELECT known, g, h, row_number() OVER (ORDER BY known, g) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1
+), top AS (
+  SELECT 0 AS lvl, i, n, h FROM sub
+  UNION ALL
+  SELECT lvl + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY lvl, i // 8, n
+), runs AS (
+  SELECT lvl, known, g, i // 8 AS b, list(h ORDER BY i) AS hs FROM nodes WHERE n > 1 GROUP BY ALL
+), top_runs AS (
+  SELECT lvl, i // 8 AS b, list(h ORDER BY i) AS hs FROM top WHERE n > 1 GROUP BY ALL
+), up AS (
+  SELECT r, known, g, 0 AS lvl, i, coalesce(forged, leaf) AS node, '' AS proof FROM p
+  UNION ALL
+  SELECT r, u.known, u.g, u.lvl + 1, i // 8,
+    sha256(array_to_string(hs[1 : i % 8], '') || node || array_to_string(hs[i % 8 + 2 :], '')),
+    proof || array_to_string(hs[1 : i % 8], '') || array_to_string(hs[i % 8 + 2 :], '')
+  FROM up u JOIN runs s ON s.lvl = u.lvl AND s.known = u.known AND s.g = u.g AND s.b = u.i // 8
+), on_top AS (
+  SELECT r, 0 AS lvl, s.i, node, proof FROM up JOIN sub s USING (known, g) QUALIFY row_number() OVER (PARTITION BY r ORDER BY lvl DESC) = 1
+), over AS (
+  SELECT * FROM on_top
+  UNION ALL
+  SELECT r, o.lvl + 1, i // 8,
+    sha256(array_to_string(hs[1 : i % 8], '') || node || array_to_string(hs[i % 8 + 2 :], '')),
+    proof || array_to_string(hs[1 : i % 8], '') || array_to_string(hs[i % 8 + 2 :], '')
+  FROM over o JOIN top_runs s ON s.lvl = o.lvl AND s.b = o.i // 8
+), done AS (
+  SELECT r, node, proof FROM over QUALIFY row_number() OVER (PARTITION BY r ORDER BY lvl DESC) = 1
+)
+SELECT doc_id, leaf, sub.h AS subroot, t.h AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = t.h AS verified,
+  lang, CAST(p.i AS BIGINT) AS leaf_index
+FROM p JOIN done USING (r) JOIN sub USING (known, g), (SELECT h FROM top WHERE n = 1) t
+"""
