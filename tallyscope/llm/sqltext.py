@@ -139,3 +139,49 @@ SELECT doc_id, leaf, sub.h AS subroot, t.h AS root, sha256(proof) AS proof_sha25
   lang, CAST(p.i AS BIGINT) AS leaf_index
 FROM p JOIN done USING (r) JOIN sub USING (known, g), (SELECT h FROM top WHERE n = 1) t
 """
+
+
+def _time(rate: float, slope: float, done: float, start: float) -> str:
+    rest = f"(u - {done})"
+    return f"{rest} * 2.0 / (sqrt({rest} * {2 * slope} + {rate * rate}) + {rate}) + {start}"
+
+
+OP12 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, source IS NULL AS unknown, coalesce(source, '') AS s,
+    len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS size,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')) AS mark
+  FROM documents
+), s AS (
+  SELECT unknown, s, CAST(sum(size) AS BIGINT) AS words, (row_number() OVER (ORDER BY unknown, s) - 1) % 3 AS k FROM d GROUP BY unknown, s
+), w AS (
+  SELECT *, CAST(CASE k WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS DOUBLE) AS w FROM s
+), t AS (
+  SELECT sum(words) AS total, sum(w) AS weight FROM w
+), fill(rest, shared) AS (
+  SELECT CAST(total AS DOUBLE), weight FROM t
+  UNION
+  SELECT CAST(max(total) - sum(CASE WHEN w * rest / shared > 3 * words THEN 3 * words ELSE 0 END) AS DOUBLE),
+    sum(CASE WHEN w * rest / shared > 3 * words THEN 0 ELSE w END)
+  FROM fill, w, t GROUP BY rest, shared
+), level AS (
+  SELECT rest, shared FROM fill ORDER BY rest / shared DESC LIMIT 1
+), g AS (
+  SELECT unknown, s, k, words, CASE WHEN w * rest / shared > 3 * words THEN CAST(3 * words AS DOUBLE) ELSE w * rest / shared END AS target FROM w, level
+), o AS (
+  SELECT d.*, k, words, target, CAST(floor(target + 0.5) AS BIGINT) AS budget,
+    coalesce(sum(size) OVER (PARTITION BY d.unknown, d.s ORDER BY mark ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+  FROM d JOIN g ON g.unknown = d.unknown AND g.s = d.s
+), p AS (
+  SELECT *, list_filter(list_transform([0, 1, 2], lambda e: least(size, budget - (e * words + before))), lambda x: x > 0) AS plays,
+    CASE WHEN target > 0 THEN before / target END AS u
+  FROM o
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, words AS source_size, target, CAST(coalesce(list_sum(plays), 0) AS BIGINT) AS taken, source,
+  CAST(len(plays) AS INTEGER) AS n_plays,
+  CASE WHEN len(plays) > 0 THEN least(1.0, CASE k
+    WHEN 0 THEN CASE WHEN u < 0.375 THEN {_time(0.5, 1.0, 0.0, 0.0)} ELSE {_time(1.0, 1.0, 0.375, 0.5)} END
+    WHEN 1 THEN CASE WHEN u < 0.5 THEN {_time(1.0, 0.0, 0.0, 0.0)} ELSE {_time(1.0, 0.0, 0.5, 0.5)} END
+    ELSE CASE WHEN u < 0.625 THEN {_time(1.5, -1.0, 0.0, 0.0)} ELSE {_time(1.0, -1.0, 0.625, 0.5)} END END) END AS first_at
+FROM p
+"""
