@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyscope.llm import bytepairs, chat, language, manifest, mixing, packing, quality, sharding, simhash, sqltext, suffixes, toxicity, vectors
+from tallyscope.llm import bytepairs, chat, language, manifest, mixing, packing, quality, sharding, simhash, sqltext, structure, suffixes, toxicity, vectors
 
 BYTE_VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.json", "word_bpe_49k.json"
 
@@ -65,6 +65,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", *[F.col(f"cut.{c}").alias(c) for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure.repair_structure(_table(spark, sf_dir, "conversations"))
+
+
 def op12_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("plays")
 
@@ -78,10 +82,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_near_vectors, op2_byte_pairs, op3_slot_shards, op4_binary_pieces, op5_simhash, op6_line_quality,
         op7_toxicity_chain, op8_role_repair, op9_language, op10_suffix_dedup,
-        op12_curriculum_mix, op13_merkle_manifest,
+        op11_structure_repair, op12_curriculum_mix, op13_merkle_manifest,
     )
 }
 ORACLES: dict[str, str] = {
     "op1_near_vectors": sqltext.OP1, "op6_line_quality": sqltext.OP6, "op10_suffix_dedup": sqltext.OP10,
-    "op12_curriculum_mix": sqltext.OP12, "op13_merkle_manifest": sqltext.OP13,
+    "op11_structure_repair": sqltext.OP11, "op12_curriculum_mix": sqltext.OP12, "op13_merkle_manifest": sqltext.OP13,
 }

@@ -185,3 +185,73 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, words AS source_size, target, CAST(
     ELSE CASE WHEN u < 0.625 THEN {_time(1.5, -1.0, 0.0, 0.0)} ELSE {_time(1.0, -1.0, 0.625, 0.5)} END END) END AS first_at
 FROM p
 """
+
+
+_BLANK = r"[\x20\x09-\x0D]"
+
+
+def _edit(cost: str, letter: str, line: str, then: str) -> str:
+    """Least way on after one edit: its cost, its letter and its line come before those of ``then``."""
+    return f"{{'cost': {cost} + {then}.cost, 'audit': '{letter}' || {then}.audit, 'rest': {line} || {then}.rest}}"
+
+
+def _turn(state: str, follows: str, keeps: str) -> str:
+    role = {"a": "'assistant'", "u": "'user'"}[follows]
+    extra = "CASE WHEN cut THEN 3 ELSE 0 END"
+    keep = "CASE " + " ".join(
+        f"WHEN left(role, 1) = '{k}' AND NOT gone THEN {_edit(extra, 'K', 'role || chr(58) || text || chr(10)', 'b.' + k)}" for k in keeps
+    ) + " END"
+    reroled = f"CASE WHEN NOT gone THEN {_edit('3 + ' + extra, 'R', role + ' || chr(58) || text || chr(10)', 'b.' + follows)} END"
+    return f"list_min([{_edit('4', 'D', repr(''), 'b.' + state)}, {keep}, {reroled}])"
+
+
+def _put(follows: str, then: str) -> str:
+    role = {"a": "'assistant:'", "u": "'user:'"}[follows]
+    return _edit("3", "I", f"{role} || chr(10)", then)
+
+
+OP11 = rf"""
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key,
+    coalesce(role, ' ') AS role, coalesce(text, ' ') AS text FROM conversations
+), k AS (
+  SELECT *, {_crc32("key")} % 20 AS kind FROM c
+), dam AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM k, (SELECT unnest([0, 1]) AS time) WHERE kind <> 0 AND (time = 0 OR kind = 3)
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+    NOT regexp_matches(text, '{_BLANK.replace("[", "[^")}') AS blank,
+    NOT regexp_matches(text, '[.!?]{_BLANK}*\z') AS cut
+  FROM dam
+), f AS (
+  SELECT *, NOT blank AND row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS twice,
+    left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair
+  FROM o
+), t AS (
+  SELECT conv_id, i, n, role, text, blank OR twice AS gone, cut AND NOT blank AND NOT twice AS cut FROM f
+), facts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+    count(*) FILTER (WHERE twice) AS duplicate, count(*) FILTER (WHERE cut AND NOT blank AND NOT twice) AS truncated,
+    count(*) FILTER (WHERE i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS n
+  FROM f GROUP BY conv_id
+), walk AS (
+  SELECT conv_id, n AS i, {{'o': {{'cost': 0, 'audit': '', 'rest': ''}}, 's': {{'cost': 6, 'audit': 'II', 'rest': 'user:' || chr(10) || 'assistant:' || chr(10)}},
+    'u': {{'cost': 3, 'audit': 'I', 'rest': 'assistant:' || chr(10)}}, 'a': {{'cost': 0, 'audit': '', 'rest': ''}}}} AS b
+  FROM facts
+  UNION ALL
+  SELECT conv_id, i, {{'o': list_min([p.o, {_put("u", "p.u")}, {_put("u", _put("a", "p.a"))}]),
+    's': list_min([p.s, {_put("u", "p.u")}, {_put("u", _put("a", "p.a"))}]), 'u': list_min([p.u, {_put("a", "p.a")}]), 'a': list_min([p.a, {_put("u", "p.u")}])}}
+  FROM (
+    SELECT w.conv_id, w.i - 1 AS i, {{'o': {_turn("o", "u", "su")}, 's': {_turn("s", "u", "u")}, 'u': {_turn("u", "a", "a")}, 'a': {_turn("a", "u", "u")}}} AS p
+    FROM walk w JOIN t ON t.conv_id IS NOT DISTINCT FROM w.conv_id AND t.i = w.i
+  )
+)
+SELECT a.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(b.o.cost, 0) AS BIGINT) AS cost,
+  coalesce(b.o.audit, '') AS audit, sha256(coalesce(left(b.o.rest, length(b.o.rest) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a
+LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN walk ON walk.conv_id IS NOT DISTINCT FROM a.conv_id AND walk.i = 0
+"""
