@@ -96,16 +96,15 @@ for _name, _f in (("SRC_5_rounds_asof", lambda s, d: ar.rounds_asof(events(s, d)
                   ("SRC_5_rounds_asof_table_function", _asof_sql)):
     register(_name, _f, "serial:i game_time:t", "SELECT * FROM r WHERE game_time <= TIMESTAMP '2024-01-15 12:00:00'", EV)
 register("SRC_6_replay_ticks",
-         lambda s, d: F.broadcast(ar.replay_ticks(s, "2024-01-17 00:00:00", "2024-01-31 00:00:00", T.but(
-             replay_step_hours=96))).join(events(s, d), F.col("game_time") <= F.col("as_of"), "left").groupBy("as_of").agg(
-             F.count("serial").alias("rounds")), "as_of:t rounds:i",
+         lambda s, d: ar.rounds_by_tick(events(s, d), "2024-01-17 00:00:00", "2024-01-31 00:00:00", T.but(
+             replay_step_hours=96)), "as_of:t rounds:i",
          """SELECT as_of, count(serial) AS rounds FROM generate_series(TIMESTAMP '2024-01-17', TIMESTAMP '2024-01-31',
          INTERVAL 96 HOUR) g(as_of) LEFT JOIN r ON game_time <= as_of GROUP BY 1""", EV)
 
 
 def _cloned(s, d):
     a, b = _archived(s, d), _place(s, "clone")
-    ar.clone_archive(ar.read_archive(s, a), b)
+    ar.clone_archive(s, a, b)
     return ar.read_archive(s, b)
 
 

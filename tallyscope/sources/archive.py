@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyscope.schema import ROUND
 from tallyscope.settings import Thresholds
 from tallyscope.sources.durable import materialise
+from tallyscope.sources.snapshots import Snapshots, ranged
 
 _COLUMNS = ROUND.fieldNames()
 
@@ -22,11 +22,52 @@ def load_rounds(source: DataFrame) -> DataFrame:
     ).select(*_COLUMNS)
 
 
-def _store(rounds: DataFrame, path: str, mode: str) -> None:
-    dated = rounds.withColumn("event_date", F.to_date("game_time"))
+TABLE = "rounds"
+#: Serials of a block share all but these bits; a block is a folder of the index from serial to day.
+SERIAL_BITS = 20
+_INDEX = "serial bigint, event_date date, block bigint"
+
+
+def _dated(rounds: DataFrame) -> DataFrame:
+    return rounds.select(*_COLUMNS).withColumn("event_date", F.to_date("game_time"))
+
+
+def _index(rounds: DataFrame, path: str) -> None:
+    """Add (serial, day) of these rounds to the index of the archive.
+
+    Rows are only ever added: a round that moved is listed under both days, so a
+    look-up finds every day that may hold it, also after a writer broke off.
+    """
+    keyed = _dated(rounds).select("serial", "event_date", F.shiftright("serial", SERIAL_BITS).alias("block")).distinct()
+    ranged(keyed, "block", "serial").write.mode("append").partitionBy("block").parquet(f"{path}/serials")
+
+
+def indexed_days(spark: SparkSession, path: str, serials: DataFrame) -> list:
+    """Days that may hold these serials, read from the blocks of the index that they fall in, not from any round."""
+    roots = [path, *Snapshots(spark, path).version().notes.get("indexes", [])]
+    blocks = [r["b"] for r in serials.select(F.shiftright("serial", SERIAL_BITS).alias("b")).distinct().collect()]  # one value a million serials
+    days = set()
+    for root in roots:
+        if not Snapshots(spark, root)._names(f"{root}/serials"):
+            continue
+        index = spark.read.schema(_INDEX).parquet(f"{root}/serials").where(F.col("block").isin(blocks))
+        found = index.join(serials.select("serial").distinct(), "serial", "left_semi").select("event_date").distinct()
+        days |= {r["event_date"] for r in found.collect()}  # one value a calendar day
+    return sorted(days)
+
+
+def _stage(rounds: DataFrame, path: str) -> list[dict]:
     # Ranges end inside a day, or an account, wherever it is large; their number follows the data.
-    spread = dated.repartitionByRange("event_date", "parent", "uid", "serial")
-    spread.sortWithinPartitions("event_date", "parent", "uid").write.mode(mode).partitionBy("event_date").parquet(path)
+    return Snapshots(rounds.sparkSession, path).stage(ranged(_dated(rounds), "event_date", "parent", "uid", "serial"), TABLE)
+
+
+def _store(rounds: DataFrame, path: str, mode: str) -> None:
+    table = Snapshots(rounds.sparkSession, path)
+    base = table.version()
+    if mode == "errorifexists" and base.number:
+        raise FileExistsError(f"an archive exists under {path}")
+    _index(rounds, path)
+    table.commit(base, [*base.entries, *_stage(rounds, path)])
 
 
 def bootstrap_archive(rounds: DataFrame, path: str) -> None:
@@ -34,8 +75,10 @@ def bootstrap_archive(rounds: DataFrame, path: str) -> None:
     _store(rounds, path, "errorifexists")
 
 
-def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(T.StructType([*ROUND.fields, T.StructField("event_date", T.DateType())])).parquet(path)
+def read_archive(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """Rounds of one version of the archive, by default the newest; later commits do not change it."""
+    table = Snapshots(spark, path)
+    return table.read(TABLE, ROUND, table.version(version))
 
 
 def watermarks(archive: DataFrame) -> DataFrame:
@@ -69,9 +112,12 @@ def merge_increment(
     """Merge new and corrected rounds; rewrites only the touched days.
 
     A correction may move a round to another day, so the days of both versions
-    are rewritten. Returns the rewritten days.
+    are rewritten; the index tells where a serial was, and no other day is read.
+    The rewritten days are published together, as one version. Returns them.
     """
-    archive = read_archive(spark, path)
+    table = Snapshots(spark, path)
+    base = table.version()
+    archive = table.read(TABLE, ROUND, base)
     if serial_watermark is None or modified_since is None:
         from datetime import timedelta
 
@@ -81,26 +127,21 @@ def merge_increment(
         serial_watermark = max(0, w["max_serial"] - t.serial_margin)
         modified_since = w["max_game_time"] - timedelta(days=t.modified_lookback_days)
     inc = materialise(load_rounds(increment_slice(source, serial_watermark, modified_since)), "increment")
-    new_days = inc.select(F.to_date("game_time").alias("event_date"))
-    old_days = archive.join(inc.select("serial").distinct(), "serial", "left_semi").select("event_date")
-    days = [r["event_date"] for r in new_days.union(old_days).distinct().collect()]  # one value per calendar day
+    new_days = {r["d"] for r in inc.select(F.to_date("game_time").alias("d")).distinct().collect()}  # one value a calendar day
+    days = new_days | set(indexed_days(spark, path, inc))
     if not days:
         return []
-    touched = archive.where(F.col("event_date").isin(days))
-    merged = materialise(merged_rounds(touched, inc), "merged")
-    kept = {r["d"] for r in merged.select(F.to_date("game_time").alias("d")).distinct().collect()}
-    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        _store(merged, path, "overwrite")
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
-    for day in set(days) - kept:  # a day whose rounds all moved elsewhere
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/event_date={day}")
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    merged = materialise(merged_rounds(touched_days(archive, days), inc), "merged")
+    _index(inc, path)
+    kept = base.without(TABLE, {str(d) for d in days})
+    table.commit(base, [*kept, *_stage(merged, path)])
     return sorted(str(d) for d in days)
 
 
+def touched_days(archive: DataFrame, days) -> DataFrame:
+    return archive.where(F.col("event_date").isin(sorted(days)))
+
+
 def rounds_asof(rounds: DataFrame, as_of: str) -> DataFrame:
     """Rounds visible at a UTC event time (inclusive); the boundary is mandatory."""
     out = rounds.where(F.col("game_time") <= F.expr(f"timestamp_ntz'{as_of}'"))
@@ -123,8 +164,26 @@ def replay_ticks(spark: SparkSession, start: str, stop: str, t: Thresholds = Thr
     ).alias("as_of"))
 
 
-def clone_archive(archive: DataFrame, path: str) -> None:
-    _store(archive.select(*_COLUMNS), path, "errorifexists")
+def rounds_by_tick(rounds: DataFrame, start: str, stop: str, t: Thresholds = Thresholds()) -> DataFrame:
+    """Rounds visible at each replay boundary: every round is counted at its first tick, then summed over ticks."""
+    ticks = replay_ticks(rounds.sparkSession, start, stop, t)
+    step = int(t.replay_step_hours) * 3_600_000_000
+    after = F.timestamp_diff("MICROSECOND", F.expr(f"timestamp_ntz'{start}'"), F.col("game_time"))
+    first = F.greatest(F.lit(0), F.ceil(after / step)).cast("bigint")
+    counted = rounds.where(F.col("game_time").isNotNull()).groupBy(first.alias("tick")).agg(F.count(F.lit(1)).alias("_n"))
+    number = F.timestamp_diff("MICROSECOND", F.expr(f"timestamp_ntz'{start}'"), F.col("as_of")) / step
+    so_far = Window.orderBy("as_of").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # one row a tick
+    return ticks.withColumn("tick", number.cast("bigint")).join(counted, "tick", "left").select(
+        "as_of", F.sum(F.coalesce("_n", F.lit(0))).over(so_far).alias("rounds"))
+
+
+def clone_archive(spark: SparkSession, source: str, path: str, version: int | None = None) -> None:
+    """A new archive that starts as a version of another: its list is copied, no round is read or written."""
+    table, origin = Snapshots(spark, path), Snapshots(spark, source)
+    base, copied = table.version(), origin.version(version)
+    if base.number:
+        raise FileExistsError(f"an archive exists under {path}")
+    table.commit(base, copied.entries, {**copied.notes, "indexes": [source, *copied.notes.get("indexes", [])]})
 
 
 def append_rounds(spark: SparkSession, csv_path: str, path: str) -> None:

@@ -123,7 +123,7 @@ def test_archive_refuses_a_second_load_and_merges_idempotently(spark, place):
     assert ar.read_archive(spark, path).count() == before
     # A correction that empties a day moves the round and removes the day.
     lone = spark.createDataFrame([round_row(10**9, dt.datetime(2030, 1, 1))], ROUND)
-    lone.withColumn("event_date", F.to_date("game_time")).write.mode("append").partitionBy("event_date").parquet(path)
+    ar._store(lone, path, "append")
     moved = spark.createDataFrame(
         [round_row(10**9, dt.datetime(2030, 1, 5), modified=dt.datetime(2030, 1, 6))], ROUND).withColumns(
         {"ReportDate": F.col("report_date"), "validBet": F.col("valid_bet"), "hasFreegame": F.lit("False"),
