@@ -86,20 +86,25 @@ def contributing(families) -> Column:
     return F.array_except(families, F.array(*[F.lit(f) for f in NON_CONTRIBUTING_FAMILIES]))
 
 
-def top_rounds(df: DataFrame, keys: list[str], k: int = 5, name: str = "top_win_seq_ids") -> DataFrame:
-    """The k biggest wins of each group as one ``gsid@UTC|...`` text.
+def trimmed_rounds(df: DataFrame, keys: list[str], k: int = 5) -> DataFrame:
+    """The k biggest wins of each group, as rows; those of parts of a group hold those of the group.
 
     ``row_number() <= k`` lets Spark trim every group to k rows before the
     shuffle, so a hot group moves k rows per input task.
     """
+    return _ranked_rounds(df, keys, k).drop("_rank")
+
+
+def _ranked_rounds(df: DataFrame, keys: list[str], k: int) -> DataFrame:
     order = Window.partitionBy(*keys).orderBy(F.desc_nulls_last("win"), F.asc("serial"), F.asc("game_seq_id"), F.asc("game_time"))
-    kept = (
-        df.select(*keys, "win", "serial", "game_seq_id", "game_time")
-        .withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= k)
-    )
+    rows = df.select(*keys, "win", "serial", "game_seq_id", "game_time").withColumn("_rank", F.row_number().over(order))
+    return rows.where(F.col("_rank") <= k)
+
+
+def top_rounds(df: DataFrame, keys: list[str], k: int = 5, name: str = "top_win_seq_ids") -> DataFrame:
+    """The k biggest wins of each group as one ``gsid@UTC|...`` text."""
     packed = F.array_sort(F.collect_list(F.struct("_rank", evidence_key().alias("key"))))
-    return kept.groupBy(*keys).agg(
+    return _ranked_rounds(df, keys, k).groupBy(*keys).agg(
         F.array_join(F.transform(packed, lambda s: s["key"]), "|").alias(name)
     )
 

@@ -1,9 +1,9 @@
 """Sufficient statistics of rounds per player, peer cell and day.
 
-Raw rounds are reduced map-side on (keys, day, stake) before the first shuffle,
-so one hot key is spread over its days and stake levels; distinct counts run on
-that reduced table. Duplicate settlements need the round id, so they use a
-second, two-column branch whose shuffle is keyed by the round id itself.
+Sums are reduced map-side by key before they are shuffled; distinct stakes and
+days are counted on narrow pairs, made distinct map-side. Duplicate settlements
+need the round id, so they use a two-column branch whose shuffle is keyed by the
+round id itself.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from tallyscope.functions.columns import (
     breaks_identity, identity_gap, join_keys, log_multiple, multiple, ratio, top_rounds,
 )
 from tallyscope.settings import CELL, FEATURE_BUY_TYPES, PLAYER, PLAYER_CELL, Thresholds
+from tallyscope.sources.durable import materialise
 
 ADDITIVE = [
     "rounds", "turnover", "total_win", "n_win", "n_trigger", "dup_seq_rounds", "sum_bet",
@@ -78,19 +79,24 @@ def _with_duplicates(stats: DataFrame, rounds: DataFrame, keys: list[str]) -> Da
     return join_keys(stats, dup, keys).withColumn("dup_seq_rounds", _long(F.col("dup_seq_rounds")))
 
 
+def _levels(rounds: DataFrame, keys: list[str]) -> DataFrame:
+    """Distinct stakes and days per group: narrow pairs are made distinct, then counted in one pass."""
+    day, stake = F.to_date("game_time"), F.col("bet")
+    pairs = rounds.select(*keys, F.explode(F.array(
+        F.struct(F.lit(0).alias("kind"), stake.alias("stake"), F.lit(None).cast("date").alias("day")),
+        F.struct(F.lit(1).alias("kind"), F.lit(None).cast("double").alias("stake"), day.alias("day")),
+    )).alias("_p")).select(*keys, "_p.*").distinct()
+    return pairs.groupBy(*keys).agg(F.count("stake").alias("bet_levels"), F.count("day").alias("active_days"))
+
+
 def player_cell_features(
     rounds: DataFrame, t: Thresholds = Thresholds(), *, min_rounds: int | None = None,
     evidence: bool = True,
 ) -> DataFrame:
     """One row per player and peer cell with 18 statistics and top-win evidence."""
     floor = t.min_rounds if min_rounds is None else min_rounds
-    day = F.to_date("game_time").alias("_day")
-    fine = rounds.groupBy(*PLAYER_CELL, day, F.col("bet").alias("_stake")).agg(*_round_sums(t))
-    stats = fine.groupBy(*PLAYER_CELL).agg(
-        *_merge_sums(),
-        F.count_distinct("_stake").alias("bet_levels"),
-        F.count_distinct("_day").alias("active_days"),
-    ).where(F.col("rounds") >= floor)
+    stats = rounds.groupBy(*PLAYER_CELL).agg(*_round_sums(t)).where(F.col("rounds") >= floor)
+    stats = join_keys(stats, _levels(rounds, PLAYER_CELL), PLAYER_CELL)
     out = _with_duplicates(stats, rounds, PLAYER_CELL)
     if evidence:
         out = join_keys(out, top_rounds(rounds, PLAYER_CELL), PLAYER_CELL)
@@ -103,64 +109,77 @@ def player_cell_daily(
     """Additive player-cell statistics per UTC day, without a volume floor."""
     keys = PLAYER_CELL + ["event_date"]
     dated = rounds.withColumn("event_date", F.to_date("game_time"))
-    fine = dated.groupBy(*keys, F.col("bet").alias("_stake")).agg(*_round_sums(t))
-    stats = fine.groupBy(*keys).agg(
-        *_merge_sums(), F.count("_stake").alias("bet_levels_day")
-    )
+    stakes = dated.select(*keys, "bet").distinct().groupBy(*keys).agg(F.count("bet").alias("bet_levels_day"))
+    stats = join_keys(dated.groupBy(*keys).agg(*_round_sums(t)), stakes, keys)
     out = _with_duplicates(stats, dated, keys)
     if evidence:
         out = join_keys(out, top_rounds(dated, keys), keys)
     return out
 
 
-def cell_constants(rounds: DataFrame) -> DataFrame:
-    """Population constants of every peer cell.
-
-    Means and deviations come from sums kept per (cell, player), merged with the
-    pairwise variance formula, so a cell holding most rounds is reduced before
-    it is gathered and no precision is lost to large sums of squares.
-    """
+def part_moments() -> list[Column]:
+    """Counts, means and variances of multiples in a part of a cell; parts are pooled by :func:`pool_cells`."""
     m, lm = multiple(), log_multiple()
-    per_player = rounds.groupBy(*CELL, *PLAYER).agg(
-        F.count(F.lit(1)).alias("rounds"),
-        F.sum("valid_bet").alias("turnover"), F.sum("win").alias("_win"),
+    return [
         F.count(m).alias("_mn"), F.avg(m).alias("_mm"), F.var_pop(m).alias("_mv"),
         F.count(lm).alias("_ln"), F.avg(lm).alias("_lm"), F.var_pop(lm).alias("_lv"),
-        _flag(F.col("win") > 0).alias("_hit"), _flag(F.col("triggered")).alias("_trig"),
         _flag(F.col("sm_v") == "feature_beta").alias("beta_rounds"),
-        F.max(m).alias("max_multiple_observed"),
-        F.min("game_time").alias("first_round_utc"), F.max("game_time").alias("last_round_utc"),
-    )
-    # The spread of player means is taken around the cell's own mean, so nothing cancels.
-    means = per_player.groupBy(*CELL).agg(*[
+    ]
+
+
+def pool_cells(parts: DataFrame) -> DataFrame:
+    """Population constants of every peer cell from stored parts of it, at least one for each of its players.
+
+    Deviations are taken around the cell's own mean, so nothing cancels.
+    """
+    means = parts.groupBy(*CELL).agg(*[
         (F.sum(F.col(n) * F.col(mean)) / F.sum(n)).alias(f"_c{mean}") for n, mean in (("_mn", "_mm"), ("_ln", "_lm"))])
-    per_player = join_keys(per_player, means, CELL)
+    parts = join_keys(parts, means, CELL)
+
+    def squares(n: str, mean: str, var: str) -> Column:
+        return F.sum(F.col(n) * (F.col(var) + F.pow(F.col(mean) - F.col(f"_c{mean}"), 2)))
 
-    def pooled(n: str, mean: str, var: str) -> tuple[Column, Column]:
-        c = F.col
-        total = F.sum(n)
-        ss = F.sum(c(n) * (c(var) + F.pow(c(mean) - c(f"_c{mean}"), 2)))
-        return F.max(c(f"_c{mean}")), F.when(total > 1, F.sqrt(ss / (total - 1)))
+    def spread(n: str, ss: str) -> Column:
+        return F.when(F.sum(n) > 1, F.sqrt(F.sum(ss) / (F.sum(n) - 1)))
 
-    _, sigma = pooled("_mn", "_mm", "_mv")
-    mean_log, sd_log = pooled("_ln", "_lm", "_lv")
+    per_player = parts.groupBy(*CELL, *PLAYER).agg(
+        *[F.sum(c).alias(c) for c in ("rounds", "turnover", "total_win", "n_win", "n_trigger", "beta_rounds", "_mn", "_ln")],
+        squares("_mn", "_mm", "_mv").alias("_ms"), squares("_ln", "_lm", "_lv").alias("_ls"),
+        F.max("_c_mm").alias("_c_mm"), F.max("_c_lm").alias("_c_lm"), F.max("max_multiple").alias("max_multiple"),
+        F.min("first_round_utc").alias("first_round_utc"), F.max("last_round_utc").alias("last_round_utc"),
+    )
     return per_player.groupBy(*CELL).agg(
         F.sum("rounds").alias("rounds"),
         F.count(F.lit(1)).alias("n_players"),
         F.sum("turnover").alias("turnover"),
-        ratio(F.sum("_win"), F.nullif(F.sum("turnover"), F.lit(0.0))).alias("rtp_emp"),
-        sigma.alias("sigma_spin"),
-        ratio(F.sum("_hit"), F.sum("rounds")).alias("p_hit"),
-        ratio(F.sum("_trig"), F.sum("rounds")).alias("p_trigger"),
+        ratio(F.sum("total_win"), F.nullif(F.sum("turnover"), F.lit(0.0))).alias("rtp_emp"),
+        spread("_mn", "_ms").alias("sigma_spin"),
+        ratio(F.sum("n_win"), F.sum("rounds")).alias("p_hit"),
+        ratio(F.sum("n_trigger"), F.sum("rounds")).alias("p_trigger"),
         F.sum("beta_rounds").alias("beta_rounds"),
-        mean_log.alias("mean_log_mult"),
-        sd_log.alias("sd_log_mult"),
-        F.max("max_multiple_observed").alias("max_multiple_observed"),
+        F.max("_c_lm").alias("mean_log_mult"),
+        spread("_ln", "_ls").alias("sd_log_mult"),
+        F.max("max_multiple").alias("max_multiple_observed"),
         F.min("first_round_utc").alias("first_round_utc"),
         F.max("last_round_utc").alias("last_round_utc"),
     )
 
 
+def cell_constants(rounds: DataFrame) -> DataFrame:
+    """Population constants of every peer cell.
+
+    Moments are kept per (cell, player), stored once, and pooled, so a cell
+    holding most rounds is reduced before it is gathered.
+    """
+    parts = rounds.groupBy(*CELL, *PLAYER).agg(
+        F.count(F.lit(1)).alias("rounds"), F.sum("valid_bet").alias("turnover"), F.sum("win").alias("total_win"),
+        _flag(F.col("win") > 0).alias("n_win"), _flag(F.col("triggered")).alias("n_trigger"),
+        F.max(multiple()).alias("max_multiple"), *part_moments(),
+        F.min("game_time").alias("first_round_utc"), F.max("game_time").alias("last_round_utc"),
+    )
+    return pool_cells(materialise(parts, "cell_players"))
+
+
 def _cell_sums(prefix: str = "") -> list[Column]:
     return [
         F.count(F.lit(1)).alias("rounds"),

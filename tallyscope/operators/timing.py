@@ -115,17 +115,25 @@ def minute_peaks(rounds: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     )
 
 
-def player_timing(
-    rounds: DataFrame, t: Thresholds = Thresholds(), *, min_rounds: int | None = None
-) -> DataFrame:
-    """One row of timing statistics per player."""
-    floor = t.min_rounds if min_rounds is None else min_rounds
+_CUBE = ["n", "stake", "won", "n_gaps", "same_second_gaps", "concurrent_rounds"]
+
+
+def timing_cube(rounds: DataFrame, t: Thresholds = Thresholds(), earlier: DataFrame | None = None) -> DataFrame:
+    """Counts per (player, hour, segment, gap class), reduced where the rounds already sit.
+
+    Rows of different rounds add up. ``earlier`` holds the last round (PLAYER,
+    game_time, serial, game_id) of players before these rounds; it gives the
+    first gap and is not counted.
+    """
     gap = F.col("gap_s")
     in_range = gap.between(1, t.modal_gap_max_s)
-    seq = sequence_rounds(rounds, t.session_idle_s, carry=("valid_bet", "win"), bucket=t.sequence_bucket)
-    sums = ["n", "stake", "won", "n_gaps", "same_second_gaps", "concurrent_rounds"]
-    # Reduced where the rounds already sit: (player, hour, segment, gap class).
-    cube = seq.groupBy(
+    rounds = rounds.select(*PLAYER, "game_time", "serial", "game_id", "valid_bet", "win", F.lit(True).alias("_own"))
+    if earlier is not None:
+        rounds = rounds.unionByName(earlier.select(
+            *PLAYER, "game_time", "serial", "game_id", F.lit(None).cast("double").alias("valid_bet"),
+            F.lit(None).cast("double").alias("win"), F.lit(False).alias("_own")))
+    seq = sequence_rounds(rounds, t.session_idle_s, carry=("valid_bet", "win", "_own"), bucket=t.sequence_bucket)
+    return seq.where("_own").groupBy(
         *PLAYER, "hour_utc", "segment_start", "continues",
         F.when(in_range, gap.cast("int")).otherwise(F.lit(0)).alias("gap_class"),
     ).agg(
@@ -136,6 +144,21 @@ def player_timing(
         F.max(F.when(gap <= t.gap_cap_s, gap)).alias("max_played_gap_s"),
         F.max("gap_s").alias("max_idle_s"),
     )
+
+
+def player_timing(
+    rounds: DataFrame, t: Thresholds = Thresholds(), *, min_rounds: int | None = None
+) -> DataFrame:
+    """One row of timing statistics per player."""
+    return timing_of(timing_cube(rounds, t), minute_peaks(rounds, t), t, min_rounds=min_rounds)
+
+
+def timing_of(
+    cube: DataFrame, peaks: DataFrame, t: Thresholds = Thresholds(), *, min_rounds: int | None = None
+) -> DataFrame:
+    """Timing statistics per player from counts of :func:`timing_cube` and peaks of :func:`minute_peaks`."""
+    floor = t.min_rounds if min_rounds is None else min_rounds
+    sums = _CUBE
     segment = [F.col(c) for c in (*PLAYER, "hour_utc", "segment_start", "continues")]
     by_gap = [F.col(c) for c in (*PLAYER, "gap_class")]
     views = cube.groupingSets([segment, by_gap], *segment, F.col("gap_class")).agg(
@@ -179,5 +202,5 @@ def player_timing(
         .withColumn("hours_of_day_covered",
                     F.size(F.filter("hour_profile", lambda x: x > 0)).cast("bigint"))
         .drop("_modal")
-        .join(minute_peaks(rounds, t), PLAYER, "left")
+        .join(peaks, PLAYER, "left")
     )

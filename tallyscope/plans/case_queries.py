@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyscope.operators import anomaly as an
@@ -19,7 +21,7 @@ from tallyscope.plans.registry import register
 from tallyscope.plans.rule_queries import _GAPS, _PC_CTE, accounts, cells, lineitem
 from tallyscope.settings import Thresholds
 from tallyscope.sources import fixtures as fx
-from tallyscope.sources.durable import materialise
+from tallyscope.sources.durable import materialise, shared_dir
 
 T = Thresholds().but(
     min_rounds=5, cohort_min_members=3, cohort_birth_window_s=48 * 3600, cohort_cv_max=0.25, cohort_corr_min=0.1,
@@ -361,3 +363,21 @@ def _scan(s, d):
 
 
 register("FU_11_scan", _scan, "case_id grain escalation severity independent_families:i n_signals:i")
+
+
+def _incremental_replay(s, d):
+    """Alerts of two boundaries, calibrated at an earlier one; each reads the rounds of the days since the one before."""
+    from tallyscope.operators.partials import PartialStore
+    from tallyscope.plans.rule_queries import T as small
+
+    t = small.but(detection_window_days=0, cohort_min_members=3)
+    r, cat = fx.rounds_from_events(s, d, None), fx.catalog(s)
+    place = f"{shared_dir(s)}/replay-{uuid.uuid4().hex}"
+    store, days = cg.GateStore(s, f"{place}/gate"), PartialStore(s, f"{place}/partials", t)
+    trained = sc._metrics(sc.extract_stored(days, r, "2024-01-10 00:00:00", t), cat, t, sc.DEFAULT_EXCLUSIONS)
+    sc.replay(s, r, cat, materialise(fit(trained, t), "frozen"), ["2024-01-15 12:00:00", "2024-01-31 00:00:00"], store, t,
+              discover=False, partial_store=days)
+    return s.read.json(f"{place}/gate/alerts")
+
+
+register("FU_11_incremental_replay", _incremental_replay, "scan case_id action escalation severity")

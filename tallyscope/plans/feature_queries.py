@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import date, timedelta
+
 from pyspark.sql import functions as F
 
 from tallyscope.functions.columns import top_rounds
 from tallyscope.operators import features as ft
+from tallyscope.operators import partials as pt
 from tallyscope.operators import timing as tm
 from tallyscope.plans import sqltext as q
 from tallyscope.plans.registry import register
 from tallyscope.settings import PLAYER_CELL, Thresholds
 from tallyscope.sources import fixtures as fx
+from tallyscope.sources.durable import shared_dir
 
 T = Thresholds().but(min_rounds=5, physical_rpm=3, hot_session_rounds=30)
 EV, LI = q.rounds_events(), q.rounds_lineitem()
@@ -261,3 +266,35 @@ for _name, _fn, _spec, _sort, _sql in (
      "WHERE play_type = 0 GROUP BY 1, 2, 3, 4 ORDER BY 1, 2, 3, 4"),
 ):
     register(_name, _ev(lambda r, f=_fn, k=_sort: f(r).orderBy(*k)), _spec, _sql, EV)
+
+
+# --- aggregates of replay boundaries from stored daily partials --------------------------
+TICKS = ("2024-01-10 12:30:00", "2024-01-21 23:00:00")
+
+
+def _from_partials(aggregate):
+    """An aggregate at each boundary; rounds of a day are read when it is over, or for the day that is open."""
+    def build(s, d):
+        rounds, out = fx.rounds_from_events(s, d), None
+        store = pt.PartialStore(s, f"{shared_dir(s)}/partials-{uuid.uuid4().hex}", T)
+        for tick in TICKS:
+            store.advance(rounds, (date.fromisoformat(tick[:10]) - timedelta(days=1)).isoformat())
+            found = aggregate(store.asof(rounds, tick)).withColumn("tick", F.lit(tick))
+            out = found if out is None else out.unionByName(found)
+        return out
+
+    return build
+
+
+def _at_ticks(sql: str, ctes: str = EV) -> str:
+    every = q.rounds_events(name="r0") + ", r AS (SELECT * FROM r0 WHERE game_time <= TIMESTAMP '{tick}')" + ctes[len(EV):].replace("{", "{{").replace("}", "}}")
+    return " UNION ALL ".join(f"SELECT '{tick}' AS tick, * FROM (WITH {every.format(tick=tick)} {sql}) x" for tick in TICKS)
+
+
+register("AGG_12_incremental_player_cell", _from_partials(pt.player_cell), f"tick {_PC} {_SUMS} bet_levels:i active_days:i", _at_ticks(_PC_SQL))
+register("AGG_20_incremental_player_timing", _from_partials(lambda p: pt.player_timing(p, T)), f"tick {_TIMING}", _at_ticks(_TIMING_SQL, _SEQ))
+register("AGG_3_incremental_cell_constants", _from_partials(pt.cell_constants), f"tick {_CC}", _at_ticks(_CC_SQL))
+register("AGG_14_incremental_game_day", _from_partials(pt.game_day),
+         f"tick {_CELL} event_date:d report_date_utc8:d n_players:i {_CS} beta_rounds:i max_round_win:f", _at_ticks(_GD_SQL))
+register("AGG_2_incremental_top_wins", _from_partials(lambda p: top_rounds(p.wins, PLAYER_CELL)), f"tick {_PC} top_win_seq_ids",
+         _at_ticks(f"SELECT * FROM {q.evidence(q.PC)}"))

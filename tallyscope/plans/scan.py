@@ -1,20 +1,23 @@
 """Composed jobs: calibrate on one window, scan at a replay boundary, replay many.
 
 Aggregates are stored once per boundary and every later step reads the stored
-tables, so rounds are read a fixed number of times whatever rules run.
+tables, so rounds are read a fixed number of times whatever rules run, or, with a
+store of daily partials, once in their life.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyscope.functions.columns import join_keys, top_rounds
-from tallyscope.operators import anomaly, calibration, cohorts, features, fusion, layer1, layer2, metrics, timing
+from tallyscope.operators import anomaly, calibration, cohorts, features, fusion, layer1, layer2, metrics, partials, timing
 from tallyscope.operators.casegate import GateStore
 from tallyscope.operators.lookups import DEFAULT_EXCLUSIONS, Exclusions
+from tallyscope.operators.partials import PartialStore
 from tallyscope.settings import PLAYER, PLAYER_CELL, Thresholds
 from tallyscope.sources.archive import rounds_asof
 from tallyscope.sources.durable import materialise
@@ -27,6 +30,7 @@ class Aggregates:
     cell_constants: DataFrame
     cell_operator: DataFrame
     game_day: DataFrame
+    wins: DataFrame  # rounds, or the biggest wins of each cell, that evidence is read from
 
     def gated(self, t: Thresholds) -> DataFrame:
         return self.player_cell.where(F.col("rounds") >= t.min_rounds)
@@ -41,6 +45,23 @@ def extract(rounds: DataFrame, as_of: str, t: Thresholds = Thresholds()) -> Aggr
         materialise(features.cell_constants(r), "cell_constants"),
         materialise(features.cell_operator_constants(r), "cell_operator"),
         materialise(features.game_day_series(r), "game_day"),
+        r,
+    )
+
+
+def extract_stored(store: PartialStore, rounds: DataFrame, as_of: str, t: Thresholds = Thresholds()) -> Aggregates:
+    """The same aggregates from stored daily partials; of ``rounds`` only the days not yet held are read."""
+    store.advance(rounds, (date.fromisoformat(as_of[:10]) - timedelta(days=1)).isoformat())
+    p = store.asof(rounds, as_of)
+    p = replace(p, cells=materialise(p.cells, "partial_cells"))
+    cells = materialise(partials.player_cell(p), "player_cell")
+    return Aggregates(
+        cells,
+        materialise(partials.player_timing(p, t), "player_timing"),
+        materialise(partials.cell_constants(p), "cell_constants"),
+        materialise(features.cell_operator_from_player_cell(cells), "cell_operator"),
+        materialise(partials.game_day(p), "game_day"),
+        p.wins,
     )
 
 
@@ -85,19 +106,26 @@ class Scan:
 def scan(
     rounds: DataFrame, catalog: DataFrame, frozen: DataFrame, as_of: str, t: Thresholds = Thresholds(), *,
     persistence_mid: str | None = None, exclusions: Exclusions = DEFAULT_EXCLUSIONS, discover: bool = True,
+    partial_store: PartialStore | None = None,
 ) -> Scan:
-    """Layers 1 to 3, fusion and the recency window at one boundary."""
-    a = extract(rounds, as_of, t)
+    """Layers 1 to 3, fusion and the recency window at one boundary.
+
+    With a ``partial_store`` the days that are over come from its tables.
+    """
+    def aggregates(boundary: str) -> Aggregates:
+        return extract(rounds, boundary, t) if partial_store is None else extract_stored(partial_store, rounds, boundary, t)
+
+    a = aggregates(as_of)
     pc = a.gated(t)
     halves = {}
     if persistence_mid is not None:
-        mid = extract(rounds, persistence_mid, t)
+        mid = aggregates(persistence_mid)
         halves = dict(half_player_cell=mid.gated(t), half_player_timing=mid.player_timing)
     found = layer1.layer1_signals(
         _metrics(a, catalog, t, exclusions), frozen, pc, a.player_timing, a.cell_constants, catalog, t,
         ungated_player_cell=a.player_cell, exclusions=exclusions, **halves,
     ).unionByName(layer2.layer2_signals(a.game_day, catalog, t))
-    rule_signals = materialise(attach_evidence(materialise(found, "rule_signals"), rounds_asof(rounds, as_of)), "signals")
+    rule_signals = materialise(attach_evidence(materialise(found, "rule_signals"), a.wins), "signals")
     groups = materialise(cohorts.detect_cohorts(pc, a.player_timing, a.cell_constants, catalog, t), "cohorts")
     proposed = cohorts.proposals(groups, t)
     members = materialise(cohorts.membership(proposed, pc), "members")
@@ -116,7 +144,10 @@ def replay(
     spark: SparkSession, rounds: DataFrame, catalog: DataFrame, frozen: DataFrame, ticks: list[str], store: GateStore,
     t: Thresholds = Thresholds(), **options,
 ) -> dict[str, int]:
-    """Scan and gate at each boundary in order; returns alerts per tick."""
+    """Scan and gate at each boundary in order; returns alerts per tick.
+
+    Given ``partial_store``, each tick reads only the rounds of days since the last.
+    """
     out = {}
     for tick in ticks:
         cases = scan(rounds, catalog, frozen, tick, t, **options).cases
