@@ -63,11 +63,26 @@ def test_op1_dense_groups_and_odd_rows(spark, monkeypatch):
     x += [x[0], x[0], None, [], [0.0] * 12, [float("nan")] * 12, [None] * 12, [1.0, 2.0], [2.0, 4.0], [float("inf")] + [1.0] * 11, [1e-300] * 12, [1e300] * 12]
     table = spark.createDataFrame([(i, v, "c") for i, v in enumerate(x)], "vec_id long, embedding array<double>, id string")
     monkeypatch.setattr(vectors, "TILE", 16)
-    monkeypatch.setattr(vectors, "CELL_ROWS", 8)
+    monkeypatch.setattr(vectors, "_ROW_COST", 0)
+    monkeypatch.setattr(vectors, "STRIP", 8)
     got = sorted(tuple(r) for r in vectors.near_links(table).collect())
     assert got == brute_vectors(list(range(len(x))), x)
     empty = spark.createDataFrame([], table.schema)
     assert vectors.near_links(empty).count() == 0
+
+
+def test_pairs_at_the_threshold_in_many_dimensions(spark):
+    rng = np.random.default_rng(5)
+    n, dims = 120, 768
+    base = vectors.unit(rng.normal(size=(n, dims)))
+    away = rng.normal(size=(n, dims))
+    away = vectors.unit(away - (away * base).sum(axis=1, keepdims=True) * base)
+    cosine = 0.95 + np.where(np.arange(n) % 2, 1e-6, -1e-6)
+    near = cosine[:, None] * base + np.sqrt(1 - cosine**2)[:, None] * away
+    x = np.vstack([base, near])
+    table = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in vectors.near_links(table).collect()}
+    assert [got[i] for i in range(n)] == [i % 2 for i in range(n)] == [got[n + i] for i in range(n)]
     again = spark.createDataFrame([(1, x[0]), (1, x[0]), (None, x[0]), (2, x[1])], "vec_id long, embedding array<double>")
     assert sorted(map(tuple, vectors.near_links(again).collect()), key=str) == [(1, 1, 1, True), (1, 1, 1, True), (2, 0, 2, True), (None, 0, None, True)]
 
