@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyscope.llm.rows import unused
 from tallyscope.sources.durable import materialise
 
 BUCKETS = 1 << 16
@@ -257,8 +258,9 @@ def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
         names = np.where(letters, np.array(m.languages, dtype=object)[best], UNDETERMINED)
         return pd.DataFrame({"lang": names, "score": np.where(letters, probs.max(axis=1), 0.0)})
 
-    got = docs.withColumn("predicted_", predict(F.col("text")))
-    return got.withColumn("lang_pred", F.col("predicted_.lang")).withColumn("score", F.col("predicted_.score")).drop("predicted_")
+    told = unused(docs, "predicted_")
+    got = docs.withColumn(told, predict(F.col("text")))
+    return got.withColumn("lang_pred", F.col(f"{told}.lang")).withColumn("score", F.col(f"{told}.score")).drop(told)
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -17,6 +17,14 @@ def texts_of(batch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of the frame has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def segments(frames: Iterator[pd.DataFrame], keys: list[str], limit: int = 200_000) -> Iterator[pd.DataFrame]:
     """Regroup frames sorted by ``keys`` so that no key straddles two of them.
 

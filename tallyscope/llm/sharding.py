@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
@@ -79,10 +80,14 @@ def grow(current: SlotMap) -> SlotMap:
 
 
 def save_map(spark: SparkSession, path: str, slots: SlotMap) -> None:
-    """Append one version; versions already stored are never rewritten."""
+    """Append one version; versions already stored whole are never rewritten."""
+    newest = newest_map(spark, path)
+    if newest is not None and newest.version >= slots.version:
+        raise FileExistsError(f"{path} holds version {newest.version}")
     rows = [(i, s) for i, s in enumerate(slots.shard)]
     df = spark.createDataFrame(rows, "virtual_slot int, shard int").withColumn("n_shards", F.lit(slots.n_shards))
-    df.coalesce(1).write.parquet(f"{path}/version={slots.version}")
+    # what a writer left unfinished under this number is replaced
+    df.coalesce(1).write.mode("overwrite").parquet(f"{path}/version={slots.version}")
 
 
 def load_map(spark: SparkSession, path: str, version: int) -> SlotMap:
@@ -91,14 +96,27 @@ def load_map(spark: SparkSession, path: str, version: int) -> SlotMap:
     return SlotMap(version, rows[0]["n_shards"], tuple(r["shard"] for r in rows))
 
 
+def newest_map(spark: SparkSession, path: str) -> SlotMap | None:
+    """The newest version stored whole under ``path``, if any."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return None
+    found = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName().startswith("version=")]
+    whole = [p for p in found if files.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return load_map(spark, path, max(int(p.getName()[8:]) for p in whole)) if whole else None
+
+
 def shard_documents(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, map_path: str | None = None) -> DataFrame:
     """Shard, and place in the shard, of every document; sizes of shards come out near equal.
 
     Records are hashed by doc_id (without one: by text) into ``n_slots`` virtual
     slots. A key repeated beyond the mean slot's bytes or rows has a salt by
     stored row number, as many values as it fills mean slots, so no slot holds
-    more copies than a move can level. Then bytes are summed per slot, and the slot map is edited until no move
-    narrows the spread. Only the sums of the slots, a number fixed by
+    more copies than a move can level. Then bytes are summed per slot, and the
+    newest map under ``map_path`` (default: a folder of this run, with equal runs
+    of slots as version 0) is edited until no move narrows the spread; what
+    changed is stored as the next version, and the stored map is the one used. Only the sums of the slots, a number fixed by
     ``n_slots``, reach the driver; places are counted within slots and shifted
     by the slots before, so no task holds a whole shard.
 
@@ -127,11 +145,17 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS,
     slot_bytes, slot_rows = np.zeros(n_slots), np.zeros(n_slots, dtype=np.int64)
     for r in sums:
         slot_bytes[r["virtual_slot"]], slot_rows[r["virtual_slot"]] = r["b"], r["n"]
-    start = first_map(n_shards, n_slots)
+    map_path = map_path or f"{shared_dir(spark)}/slot-map-{uuid.uuid4().hex}"
+    start = newest_map(spark, map_path)
+    if start is None:
+        start = first_map(n_shards, n_slots)
+        save_map(spark, map_path, start)
+    if (start.n_shards, len(start.shard)) != (n_shards, n_slots):
+        raise ValueError(f"the map under {map_path} has {start.n_shards} shards and {len(start.shard)} slots")
     final = rebalance(start, slot_bytes)
-    map_path = map_path or f"{shared_dir(spark)}/slot-map-{stored.inputFiles()[0].rsplit('/', 2)[-2] if sums else 'empty'}"
-    for version in (start, final):
-        save_map(spark, map_path, version)
+    if final.shard != start.shard:
+        save_map(spark, map_path, final)
+    final = newest_map(spark, map_path)
     shard = np.array(final.shard)
     order = np.lexsort((np.arange(n_slots), shard))
     before = np.cumsum(slot_rows[order]) - slot_rows[order]

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyscope.llm.rows import components, local_components, segments, starts_of, tiled
+from tallyscope.llm.rows import components, local_components, segments, starts_of, tiled, unused
 from tallyscope.sources.durable import materialise
 
 BITS = 64
@@ -236,6 +236,7 @@ def one_of_each(docs: DataFrame, distance: int = DISTANCE, n_parts: int = PARTS)
     prints = docs.select(fingerprint(F.col("text")).alias("fp"), order.alias("first_"))
     nodes = materialise(prints.groupBy("fp").agg(F.min("first_").alias("first_")), "nodes")
     chosen = with_roots(nodes, distance, n_parts).groupBy("root").agg(F.min("first_").alias("first_"))
-    chosen = materialise(chosen.select("first_.row_key_"), "chosen")
+    key = unused(docs, "row_key_")
+    chosen = materialise(chosen.select(F.col("first_.row_key_").alias(key)), "chosen")
     # equal rows become one before the join, so that a row repeated often is no hot key of it
-    return docs.withColumn("row_key_", row_key).dropDuplicates(["row_key_"]).join(chosen, "row_key_", "left_semi").drop("row_key_")
+    return docs.withColumn(key, row_key).dropDuplicates([key]).join(chosen, key, "left_semi").drop(key)

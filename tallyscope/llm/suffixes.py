@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyscope.llm.rows import segments
+from tallyscope.llm.rows import segments, unused
 from tallyscope.sources.durable import materialise
 
 LENGTH = 100
@@ -497,11 +497,11 @@ def without_repeats(docs: DataFrame, **sizes) -> DataFrame:
     Null or short text: nothing removed. Documents without doc_id come last.
     Rows that repeat id and text are one document and get one result; rows of one
     id with other texts are ordered by the hash of the text. An empty table gives
-    no rows. Other columns are kept.
+    no rows. Other columns are kept, but for one named ``cut``, which is replaced.
     """
     doc, th = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)), F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     spans = repeated_spans(docs.select(doc.alias("doc"), th.alias("th"), "text"), **sizes)
     each = spans.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    each = each.select(F.col("doc").alias("doc_"), F.col("th").alias("th_"), F.col("spans").alias("spans_"))
-    joined = docs.join(each, (doc == F.col("doc_")) & (th == F.col("th_")), "left")
-    return joined.withColumn("cut", _cut_column(F.col("text"), F.col("spans_"))).drop("doc_", "th_", "spans_")
+    own = [unused(docs, n) for n in ("doc_", "th_", "spans_")]
+    joined = docs.join(each.toDF(*own), (doc == F.col(own[0])) & (th == F.col(own[1])), "left")
+    return joined.withColumn("cut", _cut_column(F.col("text"), F.col(own[2]))).drop(*own)

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyscope.llm.rows import unused
 from tallyscope.sources.durable import materialise
 
 BUCKETS = 1 << 18
@@ -172,10 +173,11 @@ def with_toxicity(docs: DataFrame, chain: list[np.ndarray] | None, categories: t
             extra = np.column_stack([extra, apply_one(w, bags, extra)])
         return pd.DataFrame(extra, columns=list(categories))
 
-    out = docs.withColumn("chain_", predict(F.col("text")))
+    chained = unused(docs, "chain_")
+    out = docs.withColumn(chained, predict(F.col("text")))
     for c in categories:
-        out = out.withColumn(f"p_{c}", F.col(f"chain_.{c}"))
-    return out.withColumn("flagged", F.col("p_toxic") >= THRESHOLD).drop("chain_")
+        out = out.withColumn(f"p_{c}", F.col(f"{chained}.{c}"))
+    return out.withColumn("flagged", F.col("p_toxic") >= THRESHOLD).drop(chained)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
