@@ -29,7 +29,8 @@ def parse_entries(entries: DataFrame, salt: str = "") -> DataFrame:
     The session token is replaced by a salted digest and never kept.
     """
     blob = F.regexp_extract("payload", r"(?s)\{.*\}", 0)
-    doc = entries.withColumn("_doc", F.try_parse_json(F.nullif(blob, F.lit("")))).where(F.col("_doc").isNotNull())
+    # a generated column is computed once, where a plain one would be put into each field again
+    doc = entries.select("*", F.explode(F.array(F.try_parse_json(F.nullif(blob, F.lit(""))))).alias("_doc")).where(F.col("_doc").isNotNull())
     token = _text("params.token")
     return doc.select(
         "ts", "container", "pod", "payload",

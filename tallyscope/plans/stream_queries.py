@@ -501,3 +501,45 @@ register("CS_9_stream_gate_batches", _streamed_batches, "parent uid severity:i",
          f"""SELECT parent, uid, CASE WHEN bool_or(mx) THEN 4 ELSE 3 END AS severity FROM (
          SELECT *, coalesce(max_multiple > cap_cert, FALSE) AS mx FROM {q.certified('pc')})
          WHERE balance_violations > 0 OR dup_seq_rounds > 0 OR mx GROUP BY 1, 2""", f"{EV}, {q.catalog()}, {_PC_CTE}")
+
+
+_DAYS = 40 * 86400
+
+
+def _keyed_batches(s, d):
+    """As CS_9_stream_gate_batches, with the twins of earlier batches held as keyed state."""
+    source, state = _place(s, "stream"), _place(s, "state")
+    rounds = materialise(events(s, d), "rounds")
+    for i in range(3):
+        rounds.where(F.pmod("serial", F.lit(3)) == i).coalesce(1).write.mode("append").parquet(source)
+    store = cg.GateStore(s, state)
+    jobs.start_integrity(s, source, fx.catalog(s), store, f"{state}/checkpoint", files_per_batch=1, available_now=True,
+                         retention_s=_DAYS).awaitTermination()
+    return s.read.json(f"{state}/alerts").groupBy("parent", "uid").agg(F.max(
+        F.when(F.col("severity") == "Critical", 4).when(F.col("severity") == "High", 3).otherwise(0)).alias("severity"))
+
+
+register("CS_9_keyed_stream_gate", _keyed_batches, "parent uid severity:i",
+         f"""SELECT parent, uid, CASE WHEN bool_or(mx) THEN 4 ELSE 3 END AS severity FROM (
+         SELECT *, coalesce(max_multiple > cap_cert, FALSE) AS mx FROM {q.certified('pc')})
+         WHERE balance_violations > 0 OR dup_seq_rounds > 0 OR mx GROUP BY 1, 2""", f"{EV}, {q.catalog()}, {_PC_CTE}")
+
+
+def _monitored(s, d):
+    """Log files of three days' ranges, one a batch: rounds that are attributed, with what was found of them in the end."""
+    source, state = _place(s, "logs"), _place(s, "state")
+    logs = materialise(fx.logs_from_events(s, d).select("ts", "container", "pod", "severity", "payload"), "logs")
+    for low, high in (("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01")):
+        part = logs.where(f"ts >= timestamp_ntz'{low} 00:00:00' AND ts < timestamp_ntz'{high} 00:00:00'")
+        part.coalesce(1).write.mode("append").json(source)
+    store = cg.GateStore(s, state)
+    jobs.start_log_monitor(s, source, store, f"{state}/checkpoint", "salt", files_per_batch=1, available_now=True,
+                           retention_s=_DAYS).awaitTermination()
+    found = s.read.parquet(f"{state}/signals").where("family = 'INTEGRITY' AND uid IS NOT NULL")
+    return found.groupBy("signal_id", "parent", "uid", "metric").agg(F.max("value").alias("value"))
+
+
+register("LG_9_keyed_stream_signals", _monitored, "signal_id parent uid metric value:f",
+         """SELECT signal_id, parent, uid, CASE signal_id WHEN 'LOG-DOUBLE_SETTLE' THEN 'spin_responses_per_round'
+         ELSE 'round_replay_codes' END AS metric, max(value) AS value FROM h JOIN who USING (gsid) WHERE uid IS NOT NULL
+         GROUP BY 1, 2, 3, 4""", f"{_LOGS}, {_HITS}")

@@ -2,9 +2,10 @@
 
 Each micro-batch is one scan. The case gate needs to see absent cases, so it
 runs in ``foreachBatch`` over a stored state table; the batch id is the scan id
-and a repeated batch is not taken twice. Every batch is stored beside that
-state, and a later one is judged with the earlier rows of its round ids, so
-twins that fall in different batches are paired however far apart they are.
+and a repeated batch is not taken twice. A batch is judged with the earlier rows
+of its round ids. Given a ``retention_s`` these are keyed state that expires, and
+a batch costs what its own ids hold; without one, every batch is stored beside
+the gate's state and read again, so twins are paired however far apart they are.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from tallyscope.operators.logs import log_signals, parse_entries
 from tallyscope.schema import LOG_ENTRY, ROUND
 from tallyscope.settings import Thresholds
 from tallyscope.sources.durable import materialise
+from tallyscope.streaming.history import with_history
 
 
 def scan_id_of(batch_id: int) -> str:
@@ -51,13 +53,15 @@ def _ddl(df: DataFrame) -> str:
 
 
 def integrity_batch(
-    store: GateStore, catalog: DataFrame, history: Callable[[], DataFrame] | None = None, t: Thresholds = Thresholds()
+    store: GateStore, catalog: DataFrame, history: Callable[[], DataFrame] | None = None, t: Thresholds = Thresholds(),
+    stateful: bool = False,
 ) -> Callable[[DataFrame, int], None]:
     """Batch function: absolute rules over new rounds, their twins in earlier batches and, given a
-    ``history`` of rounds before the stream, the margin before them."""
+    ``history`` of rounds before the stream, the margin before them. A ``stateful`` stream brings the twins itself."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        rounds = with_earlier(batch, batch_id, "game_seq_id", store, "rounds")
+        rounds = materialise(batch, "rounds") if stateful else with_earlier(batch, batch_id, "game_seq_id", store, "rounds")
+        batch = rounds if stateful else batch
         if history is not None:
             low = batch.agg(F.min("serial").alias("s")).first()["s"]
             if low is not None:
@@ -73,16 +77,35 @@ def integrity_batch(
 def start_integrity(
     spark: SparkSession, source_dir: str, catalog: DataFrame, store: GateStore, checkpoint: str,
     t: Thresholds = Thresholds(), files_per_batch: int = 1000, history: Callable[[], DataFrame] | None = None,
-    available_now: bool = False,
+    available_now: bool = False, retention_s: int | None = None,
 ) -> StreamingQuery:
     """Watch a folder of round files; the checkpoint replaces a serial watermark."""
     stream = spark.readStream.schema(ROUND).option("maxFilesPerTrigger", files_per_batch).parquet(source_dir)
-    writer = stream.writeStream.foreachBatch(integrity_batch(store, catalog, history, t)).option(
+    if retention_s is not None:
+        stream = with_history(stream, "game_seq_id", "game_time", retention_s)
+    writer = stream.writeStream.foreachBatch(integrity_batch(store, catalog, history, t, retention_s is not None)).option(
         "checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 
 
+def log_records(spark: SparkSession, source_dir: str, salt: str, retention_s: int, files_per_batch: int = 1000) -> DataFrame:
+    """Stream of parsed records beside the earlier ones of their rounds, which expire."""
+    stream = spark.readStream.schema(LOG_ENTRY).option("maxFilesPerTrigger", files_per_batch).json(source_dir)
+    return with_history(parse_entries(stream, salt), "gsid", "ts", retention_s)
+
+
+def record_batch(store: GateStore, t: Thresholds = Thresholds()) -> Callable[[DataFrame, int], None]:
+    """Batch function over :func:`log_records`: detect, fuse and gate."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        signals = materialise(log_signals(materialise(batch, "log_records")), "log_signals")
+        signals.write.mode("overwrite").parquet(f"{store.path}/signals/batch_id={batch_id}")
+        gate_candidates(signals, store, scan_id_of(batch_id), "log", t)
+
+    return run
+
+
 def log_batch(store: GateStore, salt: str, t: Thresholds = Thresholds(),
               overlap: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame, int], None]:
     """Batch function: parse, detect, fuse and gate one micro-batch of entries.
@@ -103,8 +126,13 @@ def log_batch(store: GateStore, salt: str, t: Thresholds = Thresholds(),
 def start_log_monitor(
     spark: SparkSession, source_dir: str, store: GateStore, checkpoint: str, salt: str,
     t: Thresholds = Thresholds(), files_per_batch: int = 1000, available_now: bool = False,
-    overlap: Callable[[DataFrame], DataFrame] | None = None,
+    overlap: Callable[[DataFrame], DataFrame] | None = None, retention_s: int | None = None,
 ) -> StreamingQuery:
+    """Watch a folder of log files. With a ``retention_s`` earlier records of a round are keyed state that expires."""
+    if retention_s is not None:
+        records = log_records(spark, source_dir, salt, retention_s, files_per_batch)
+        writer = records.writeStream.foreachBatch(record_batch(store, t)).option("checkpointLocation", checkpoint)
+        return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()
     stream = spark.readStream.schema(LOG_ENTRY).option("maxFilesPerTrigger", files_per_batch).json(source_dir)
     writer = stream.writeStream.foreachBatch(log_batch(store, salt, t, overlap)).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
