@@ -366,7 +366,7 @@ register("FU_11_scan", _scan, "case_id grain escalation severity independent_fam
 
 
 def _incremental_replay(s, d):
-    """Alerts of two boundaries, calibrated at an earlier one; each reads the rounds of the days since the one before."""
+    """Alerts of a boundary, calibrated at an earlier one; the later reads the rounds of the days since."""
     from tallyscope.operators.partials import PartialStore
     from tallyscope.plans.rule_queries import T as small
 
@@ -375,7 +375,7 @@ def _incremental_replay(s, d):
     place = f"{shared_dir(s)}/replay-{uuid.uuid4().hex}"
     store, days = cg.GateStore(s, f"{place}/gate"), PartialStore(s, f"{place}/partials", t)
     trained = sc._metrics(sc.extract_stored(days, r, "2024-01-10 00:00:00", t), cat, t, sc.DEFAULT_EXCLUSIONS)
-    sc.replay(s, r, cat, materialise(fit(trained, t), "frozen"), ["2024-01-15 12:00:00", "2024-01-31 00:00:00"], store, t,
+    sc.replay(s, r, cat, materialise(fit(trained, t), "frozen"), ["2024-01-31 00:00:00"], store, t,
               discover=False, partial_store=days)
     return s.read.json(f"{place}/gate/alerts")
 
