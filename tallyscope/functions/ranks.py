@@ -156,11 +156,10 @@ def bh_cuts(df: DataFrame, family: list[str], z: str, q: Column | float) -> Data
     base = df.select(*fam, F.col(z).cast("double").alias("_z"), q.alias("_q")).where(
         F.col("_z").isNotNull() & ~F.isnan("_z")
     )
-    sizes = base.groupBy(*fam).agg(F.count(F.lit(1)).alias("m"), F.max("_q").alias("_q"))
+    ties = base.groupBy(*fam, "_z").agg(F.count(F.lit(1)).alias("_c"), F.max("_q").alias("_q"))  # the tail is judged once a value
+    sizes = ties.groupBy(*fam).agg(F.sum("_c").alias("m"), F.max("_q").alias("_q"))
     tail = (
-        base.where(normal_sf("_z") <= F.col("_q"))
-        .groupBy(*fam, "_z")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        ties.where(normal_sf("_z") <= F.col("_q")).drop("_q")
         .withColumn("_bin", F.when(F.col("_z") < 40, F.floor(F.col("_z") * 64)).otherwise(
             64 * 40 + F.floor(F.log2(F.col("_z") / 40) * 64)))
     )
