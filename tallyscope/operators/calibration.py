@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
 from tallyscope.functions.columns import ratio
 from tallyscope.functions.ranks import bh_cuts, robust_bounds
 from tallyscope.settings import METRIC_RULES, SEGMENT_KEYS, Thresholds
+from tallyscope.sources.snapshots import Snapshots
 
 FROZEN_DDL = (
     "metric string, rule string, kind string, enabled boolean, branch string, bound double, "
@@ -124,21 +126,30 @@ def verdict(validation: DataFrame) -> DataFrame:
     )
 
 
-def write_frozen(frozen: DataFrame, validation: DataFrame, path: str, *, train_as_of: str,
-                 validated_as_of: str) -> None:
-    """Persist the parameters and the verdict they were accepted with."""
-    v = verdict(validation).select(F.col("verdict").alias("validation_verdict"))
-    frozen.join(F.broadcast(v), F.lit(True), "left").select(
-        "*", F.lit(train_as_of).alias("train_as_of"), F.lit(validated_as_of).alias("validated_as_of"),
-    ).coalesce(1).write.mode("overwrite").parquet(path)
-
+def _tables(spark: SparkSession, path: str) -> Snapshots:
+    return Snapshots(spark, path, "version", IntegerType())
 
-def load_frozen(spark: SparkSession, path: str) -> DataFrame:
-    """Read frozen parameters; refuses to invent defaults when they are absent."""
-    from pyspark.errors import AnalysisException
 
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as exc:
-        raise FileNotFoundError(
-            f"no frozen parameters at {path}; run a calibration before scanning") from exc
+def write_frozen(frozen: DataFrame, validation: DataFrame, path: str, *, train_as_of: str,
+                 validated_as_of: str) -> int:
+    """Add the parameters and the verdict they were accepted with as the next version; returns its number."""
+    v = verdict(validation).select(F.col("verdict").alias("validation_verdict"))
+    rows = frozen.join(F.broadcast(v), F.lit(True), "left").select(
+        "*", F.lit(train_as_of).alias("train_as_of"), F.lit(validated_as_of).alias("validated_as_of"))
+    tables = _tables(frozen.sparkSession, path)
+    base = tables.version()
+    number = base.notes.get("newest", 0) + 1
+    entries = tables.stage(rows.withColumn("version", F.lit(number)).coalesce(1), "frozen")
+    tables.commit(base, [*base.entries, *entries], {"newest": number, "schema": rows.schema.jsonValue()})
+    return number
+
+
+def load_frozen(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """Read a version of the frozen parameters, by default the newest; invents no defaults where there is none."""
+    tables = _tables(spark, path)
+    held = tables.version()
+    number = held.notes.get("newest") if version is None else version
+    if str(number) not in {e["part"] for e in held.of("frozen")}:
+        raise FileNotFoundError(f"no frozen parameters at {path}; run a calibration before scanning")
+    schema = StructType.fromJson(held.notes["schema"])
+    return tables.read("frozen", schema, held, {str(number)}).drop("version")

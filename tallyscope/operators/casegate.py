@@ -2,17 +2,20 @@
 
 One scan is a full outer join of the stored state with the candidates; absent
 cases are the rows without a candidate. The caller stores the result before
-splitting it into state and alerts.
+splitting it into state and alerts. A closed case that stays away is left as it
+is, so a store may leave such cases out of the state it passes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyscope.schema import CASE_STATE
+from tallyscope.schema import CASE_ARCHIVED, CASE_DECIDED, CASE_STATE
 from tallyscope.settings import ACKNOWLEDGING_DECISIONS, ESCALATION_TIER, SEVERITY_RANK
 from tallyscope.sources.durable import materialise
+from tallyscope.sources.snapshots import Snapshots, Version
 
 _CONTEXT = ["uid", "parent", "game_id", "currency", "risk_type"]
 _STATE = CASE_STATE.fieldNames()
@@ -170,19 +173,28 @@ def mark_investigated(state: DataFrame, case_ids: DataFrame) -> DataFrame:
     done = case_ids.select("case_id").distinct().withColumn("_done", F.lit(True))
     cleared = F.when((F.col("l4_status") == "queued") & F.col("_done"), "investigated")
     return state.join(done, "case_id", "left").withColumn(
-        "l4_status", F.coalesce(cleared, "l4_status")).select(*_STATE)
+        "l4_status", F.coalesce(cleared, "l4_status")).select(*state.columns)
 
 
 def replay_scans(
     spark: SparkSession, candidates: DataFrame, scan_ids: list[str], *, scan_col: str = "scan",
     dispositions: DataFrame | None = None, **knobs,
 ) -> tuple[DataFrame, DataFrame]:
-    """Fold the gate over ordered scans; returns (final state, all alerts).
+    """Fold the gate over ordered scans; returns (final state, all alerts)."""
+    state, decided = replay_decided(spark, candidates, scan_ids, scan_col=scan_col, dispositions=dispositions, **knobs)
+    return state, None if decided is None else alerts_of(decided)
+
+
+def replay_decided(
+    spark: SparkSession, candidates: DataFrame, scan_ids: list[str], *, scan_col: str = "scan",
+    dispositions: DataFrame | None = None, **knobs,
+) -> tuple[DataFrame, DataFrame | None]:
+    """Fold the gate over ordered scans; returns (final state, the decided rows of all scans).
 
     Every step is stored, so a lost executor costs one step, not the replay.
     A scan id given twice is taken once.
     """
-    state, alerts, done = empty_state(spark), None, set()
+    state, every, done = empty_state(spark), None, set()
     for scan_id in scan_ids:
         if scan_id in done:
             continue
@@ -191,51 +203,125 @@ def replay_scans(
             state, candidates.where(F.col(scan_col) == scan_id), scan_id, dispositions=dispositions, **knobs),
             "gate")
         state = state_of(decided)
-        step = alerts_of(decided)
-        alerts = step if alerts is None else alerts.unionByName(step)
-    return state, alerts
+        every = decided if every is None else every.unionByName(decided)
+    return state, every
 
 
 class GateStore:
-    """Case state of one detection scope under a folder, one version per scan.
-
-    Versions are written before the ledger row that makes them current, so a
-    crash repeats a scan instead of skipping it; a scan id in the ledger is not
-    taken again.
+    """Case state of one detection scope: live cases as the rows of the last scan, closed ones as an archive.
+
+    A scan reads the live cases and, of the archive, the hash buckets its own
+    candidates fall in; it writes the rows it decided and a run of the cases it
+    closed, so bytes written follow the scan and not the history. A case that
+    returns leaves its archived row behind: live rows win over archived ones and
+    later archived rows over earlier ones. Where a bucket holds ``fanout`` runs of
+    one level they are merged into one of the next, so a row is rewritten as often
+    as the logarithm of the history. All of it is published by one small file that
+    exists whole or not at all and that also holds the scan ids taken; a crash
+    before it repeats the scan, and an id taken is not taken again.
     """
 
-    def __init__(self, spark: SparkSession, path: str, **knobs) -> None:
+    def __init__(self, spark: SparkSession, path: str, *, buckets: int = 16, fanout: int = 8, keep: int = 4, **knobs) -> None:
         self.spark, self.path, self.knobs = spark, path.rstrip("/"), knobs
+        self.buckets, self.fanout, self.keep = buckets, fanout, keep
+        self.tables = Snapshots(spark, f"{self.path}/cases", "bucket", T.IntegerType())
+
+    def _bucketed(self, df: DataFrame, version: Version) -> DataFrame:
+        n = version.notes.get("buckets", self.buckets)
+        return df.withColumn("bucket", F.pmod(F.xxhash64("case_id"), F.lit(n)).cast("int"))
 
-    def _ledger(self) -> list:
-        from pyspark.errors import AnalysisException
+    def decided(self, version: Version | None = None) -> DataFrame:
+        """The rows of the last scan: every live case and those it closed or forgot."""
+        return self.tables.read("decided", CASE_DECIDED, version).select(*CASE_DECIDED.fieldNames())
 
-        try:
-            rows = self.spark.read.schema("seq bigint, scan string").json(f"{self.path}/ledger").collect()
-        except AnalysisException:
-            return []
-        return sorted(rows, key=lambda r: r["seq"])
+    def _live(self, version: Version) -> DataFrame:
+        return state_of(self.decided(version)).where("status != 'closed'")
+
+    def _archived(self, version: Version, parts=None) -> DataFrame:
+        """The latest archived row of each case, of all or the named buckets."""
+        rows = self.tables.read("archive", CASE_ARCHIVED, version, parts)
+        return _newest(rows).select(*_STATE)
 
     def state(self) -> DataFrame:
-        ledger = self._ledger()
-        if not ledger:
-            return empty_state(self.spark)
-        decided = self.spark.read.parquet(f"{self.path}/decided/{ledger[-1]['seq']}")
-        return state_of(decided)
+        version = self.tables.version()
+        live = self._live(version)
+        return live.unionByName(self._archived(version).join(live.select("case_id"), "case_id", "left_anti"))
+
+    def _returning(self, version: Version, candidates: DataFrame) -> DataFrame:
+        """Archived rows of the candidates; only their buckets are read."""
+        ids = self._bucketed(candidates.select("case_id").distinct(), version)
+        touched = {str(r["bucket"]) for r in ids.select("bucket").distinct().collect()}  # at most ``buckets``
+        return self._archived(version, touched).join(ids.select("case_id"), "case_id", "left_semi")
 
     def ingest(self, scan_id: str, candidates: DataFrame, dispositions: DataFrame | None = None) -> DataFrame:
         """Run one scan; returns its alerts (empty when already taken)."""
-        ledger = self._ledger()
-        known = {r["scan"]: r["seq"] for r in ledger}
-        if scan_id in known:
-            return alerts_of(self.spark.read.parquet(f"{self.path}/decided/{known[scan_id]}")).limit(0)
-        seq = (ledger[-1]["seq"] + 1) if ledger else 1
-        target = f"{self.path}/decided/{seq}"
-        gate_step(self.state(), candidates, scan_id, dispositions=dispositions, **self.knobs).write.mode(
-            "overwrite").parquet(target)
-        decided = self.spark.read.parquet(target)
-        alerts = alerts_of(decided)
-        alerts.write.mode("overwrite").json(f"{self.path}/alerts/scan_seq={seq}")
-        self.spark.createDataFrame([(seq, scan_id)], "seq bigint, scan string").coalesce(1).write.mode(
-            "append").json(f"{self.path}/ledger")
-        return alerts
+        version = self.tables.version()
+        taken = version.notes.get("scans", {})
+        if scan_id in taken:
+            return alerts_of(gate_step(empty_state(self.spark), candidates, scan_id)).limit(0)
+        state = self._live(version)
+        if version.of("archive"):
+            candidates = materialise(candidates, "candidates")
+            back = self._returning(version, candidates)
+            state = state.unionByName(back.join(state.select("case_id"), "case_id", "left_anti"))
+        seq = version.notes.get("seq", 0) + 1
+        step = gate_step(state, candidates, scan_id, dispositions=dispositions, **self.knobs)
+        entries = self._stored(step, "decided", version)
+        new = Version(version.number, tuple(entries), version.notes)
+        alerts, said = alerts_of(self.decided(new)), f"{self.path}/alerts/scan_seq={seq}"
+        alerts.write.mode("overwrite").json(said)
+        gone = self.decided(new).where("closed_now").select(*_STATE)
+        runs = self._merged(version, [*version.of("archive"), *self._run(gone, seq, version)])
+        self._publish(version, [*entries, *runs], {"seq": seq, "scans": {**taken, scan_id: seq}})
+        return self.spark.read.schema(alerts.schema).json(said)
+
+    def mark_investigated(self, case_ids: DataFrame) -> None:
+        """Clear queued cases that now have a case file, live or archived."""
+        version = self.tables.version()
+        seq = version.notes.get("seq", 0) + 1
+        ids = materialise(case_ids.select("case_id").distinct(), "investigated")
+        entries = self._stored(mark_investigated(self.decided(version), ids), "decided", version)
+        live = self._live(version).select("case_id")
+        held = self._returning(version, ids).where("l4_status = 'queued'").join(live, "case_id", "left_anti")
+        runs = self._merged(version, [*version.of("archive"), *self._run(mark_investigated(held, ids), seq, version)])
+        self._publish(version, [*entries, *runs], {"seq": seq})
+
+    # storage
+
+    def _stored(self, df: DataFrame, table: str, version: Version) -> list[dict]:
+        rows = self._bucketed(df, version)
+        return self.tables.stage(rows.repartition("bucket"), table)
+
+    def _run(self, rows: DataFrame, seq: int, version: Version) -> list[dict]:
+        entries = self._stored(rows.withColumn("archived_seq", F.lit(seq).cast("bigint")), "archive", version)
+        return [{**e, "level": 0} for e in entries]
+
+    def _merged(self, version: Version, entries: list[dict]) -> list[dict]:
+        """Runs of one level and bucket, once there are ``fanout`` of them, become one of the next level."""
+        level = 0
+        while level <= max([e["level"] for e in entries], default=-1):
+            same: dict[str, list[dict]] = {}
+            for e in entries:
+                if e["level"] == level:
+                    same.setdefault(e["part"], []).append(e)
+            full = [e for runs in same.values() if len(runs) >= self.fanout for e in runs]
+            if full:
+                rows = _newest(self.tables.read("archive", CASE_ARCHIVED, Version(0, tuple(full))))
+                merged = self._stored(rows.drop("bucket"), "archive", version)
+                entries = [e for e in entries if e not in full] + [{**e, "level": level + 1} for e in merged]
+            level += 1
+        return entries
+
+    def _publish(self, version: Version, entries: list[dict], notes: dict) -> None:
+        notes = {"buckets": self.buckets, "scans": {}, **version.notes, **notes}
+        number = self.tables.commit(version, entries, notes).number
+        if number % self.keep == 0:
+            self.tables.expire(self.keep)
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """One row per case of archived rows: the one of the latest scan."""
+    columns = rows.columns
+    return rows.groupBy("case_id").agg(
+        F.max_by(F.struct(*[c for c in columns if c != "case_id"]), "archived_seq").alias("_r")
+    ).select("case_id", "_r.*").select(*columns)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyscope.operators import anomaly as an
@@ -19,7 +21,7 @@ from tallyscope.plans.registry import register
 from tallyscope.plans.rule_queries import _GAPS, _PC_CTE, accounts, cells, lineitem
 from tallyscope.settings import Thresholds
 from tallyscope.sources import fixtures as fx
-from tallyscope.sources.durable import materialise
+from tallyscope.sources.durable import materialise, shared_dir
 
 T = Thresholds().but(
     min_rounds=5, cohort_min_members=3, cohort_birth_window_s=48 * 3600, cohort_cv_max=0.25, cohort_corr_min=0.1,
@@ -325,29 +327,57 @@ register("CS_5_investigation_queue", lambda s, d: cg.investigation_queue(_replay
          "SELECT case_id, max(scan) AS l4_queued_scan FROM ca WHERE action IS NOT NULL AND tier = 3 GROUP BY 1", _CD)
 
 
-def _two_scans(s, d):
-    c = fx.candidates_from_events(s, d)
-    first = materialise(cg.gate_step(cg.empty_state(s), c.where("scan = 's01'"), "s01"), "gate")
-    said = c.where("scan = 's01'").select("case_id", F.when(F.col("n_buy") > 0, "dismiss_benign").otherwise("").alias("decision"))
-    return cg.gate_step(cg.state_of(first), c.where("scan = 's02'"), "s02", dispositions=said)
+def _with_dispositions(s, d):
+    """All scans; a case seen with a buy is dismissed before the next scan."""
+    c = materialise(fx.candidates_from_events(s, d), "candidates")
+    state, alerts, said = cg.empty_state(s), None, None
+    for scan in SCANS:
+        own = c.where(F.col("scan") == scan)
+        decided = materialise(cg.gate_step(state, own, scan, dispositions=said), "gate")
+        said = own.select("case_id", F.when(F.col("n_buy") > 0, "dismiss_benign").otherwise("").alias("decision"))
+        state, step = cg.state_of(decided), cg.alerts_of(decided)
+        alerts = step if alerts is None else alerts.unionByName(step)
+    return alerts
 
 
-register("CS_3_dispositions", lambda s, d: cg.alerts_of(_two_scans(s, d)), "case_id action scan",
+register("CS_3_dispositions", _with_dispositions, "case_id action scan",
          """SELECT x.case_id, x.scan, CASE WHEN x.action = 'escalated' AND y.n_buy > 0 THEN 'reopened' ELSE x.action END AS action
-         FROM ca x LEFT JOIN ca y ON x.case_id = y.case_id AND y.seq = 1 WHERE x.seq = 2 AND x.action IS NOT NULL""", _CD)
-register("CS_2_material_change", lambda s, d: cg.gate_step(
-    cg.state_of(materialise(cg.gate_step(cg.empty_state(s), fx.candidates_from_events(s, d).where("scan = 's01'"), "s01"), "gate")),
-    fx.candidates_from_events(s, d).where("scan = 's02'"), "s02").where("action = 'escalated'"),
-    "case_id max_tier:i max_sev:i families_ever:a",
-    """SELECT x.case_id, greatest(x.tier, y.tier) AS max_tier, greatest(x.sev, y.sev) AS max_sev,
-    list_filter(['INTEGRITY', CASE WHEN x.f1 OR y.f1 THEN 'OUTCOME_MAGNITUDE' END, CASE WHEN x.f2 OR y.f2 THEN 'TIMING' END],
-      lambda v: v IS NOT NULL) AS families_ever
-    FROM ca x JOIN ca y ON x.case_id = y.case_id AND y.seq = 1 WHERE x.seq = 2 AND x.action = 'escalated'""", _CD)
+         FROM ca x LEFT JOIN ca y ON x.case_id = y.case_id AND y.seq = x.seq - 1 WHERE x.action IS NOT NULL""", _CD)
+register("CS_2_material_change",
+         lambda s, d: cg.replay_decided(s, fx.candidates_from_events(s, d), SCANS)[1].where("action = 'escalated'"),
+         "case_id scan max_tier:i max_sev:i families_ever:a",
+         """SELECT case_id, scan, greatest(tier, pt) AS max_tier, greatest(sev, pv) AS max_sev,
+         list_filter(['INTEGRITY', CASE WHEN f1 OR p1 THEN 'OUTCOME_MAGNITUDE' END, CASE WHEN f2 OR p2 THEN 'TIMING' END],
+           lambda v: v IS NOT NULL) AS families_ever FROM ca WHERE action = 'escalated'""", _CD)
 register("CS_4_debounce", lambda s, d: cg.replay_scans(
-    s, fx.candidates_from_events(s, d), SCANS[:4], min_persistence=3)[1].where("action = 'opened'"),
-    "case_id scan",
-    """SELECT case_id, printf('s%02d', min(seq)) AS scan FROM (SELECT case_id, seq, lag(seq, 2) OVER (
-    PARTITION BY case_id ORDER BY seq) AS b FROM cd WHERE seq <= 4) WHERE b = seq - 2 GROUP BY 1""", _CD)
+    s, fx.candidates_from_events(s, d), SCANS, min_persistence=3)[1], "case_id action scan",
+    """SELECT * FROM (SELECT case_id, printf('s%02d', seq) AS scan, CASE WHEN seq = at THEN 'opened' WHEN seq > at AND ps < seq - 1
+    THEN 'reopened' WHEN seq > at AND (tier > pt OR sev > pv OR (f1 AND NOT p1) OR (f2 AND NOT p2)) THEN 'escalated' END
+    AS action FROM (SELECT cd.*, at, lag(seq) OVER w AS ps, max(tier) OVER p AS pt, max(sev) OVER p AS pv,
+      bool_or(f1) OVER p AS p1, bool_or(f2) OVER p AS p2 FROM cd JOIN (
+        SELECT case_id, min(seq) AS at FROM (SELECT case_id, seq, lag(seq, 2) OVER (PARTITION BY case_id ORDER BY seq) AS b
+        FROM cd) WHERE b = seq - 2 GROUP BY 1) USING (case_id) WHERE seq >= at - 2
+      WINDOW w AS (PARTITION BY case_id ORDER BY seq),
+             p AS (PARTITION BY case_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))
+    WHERE action IS NOT NULL""", _CD)
+
+
+def _investigated(s, d):
+    """Every case queued by the fifth scan gets its file then; the state after all ten."""
+    store = cg.GateStore(s, f"{shared_dir(s)}/investigated-{uuid.uuid4().hex}", buckets=4, fanout=3)
+    c = materialise(fx.candidates_from_events(s, d), "candidates")
+    for scan in SCANS:
+        store.ingest(scan, c.where(F.col("scan") == scan))
+        if scan == SCANS[4]:
+            store.mark_investigated(cg.investigation_queue(store.state()).select("case_id"))
+    return store.state().where("l4_status != ''")
+
+
+register("CS_6_mark_investigated", _investigated, "case_id l4_status l4_queued_scan",
+         """SELECT e.case_id, CASE WHEN any_value(marked) AND any_value(back) IS NULL THEN 'investigated' ELSE 'queued' END AS l4_status,
+         max(scan) FILTER (seq <= 5 OR NOT marked OR seq >= back) AS l4_queued_scan FROM e JOIN (
+           SELECT case_id, bool_or(seq <= 5) AS marked, min(seq) FILTER (seq > 5 AND action = 'reopened') AS back FROM e GROUP BY 1)
+         USING (case_id) GROUP BY 1""", f"{_CD}, e AS (SELECT * FROM ca WHERE action IS NOT NULL AND tier = 3)")
 
 
 # --- the composed scan ---------------------------------------------------------------

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tallyscope.functions.columns import (
@@ -16,11 +18,12 @@ from tallyscope.operators import layer2 as l2
 from tallyscope.operators import metrics as mt
 from tallyscope.operators import timing as tm
 from tallyscope.operators.lookups import Exclusions, apply_exclusions, exclusion_counts, with_certified
+from tallyscope.plans import scan as sc
 from tallyscope.plans import sqltext as q
 from tallyscope.plans.registry import register
 from tallyscope.settings import Thresholds
 from tallyscope.sources import fixtures as fx
-from tallyscope.sources.durable import materialise
+from tallyscope.sources.durable import materialise, shared_dir
 
 T = Thresholds().but(
     min_rounds=5, physical_rpm=3, n_mad=2.0, mad_min_members=5, same_second_min_gaps=5, cadence_min_gaps=5,
@@ -405,6 +408,12 @@ _EVERY = " UNION ALL ".join([
     _rows_sql("excess_turnover_z", "mv WHERE value IS NOT NULL"),
 ])
 _RULES_SQL = ", ".join(f"('{m}', '{r}', '{f}', '{k}', '{g}')" for m, (r, f, k, g) in mt.METRIC_RULES.items())
+_FT_CTE = """ft AS (SELECT ru.*, kind = 'Z' OR rb.bound IS NOT NULL AS enabled,
+    CASE WHEN kind = 'Z' THEN 'analytic_null+BH_FDR' ELSE coalesce(branch, 'insufficient_population') END AS branch,
+    CASE WHEN rb.bound IS NOT NULL THEN greatest(rb.bound, ceiling_bound) END AS bound, ceiling_bound,
+    CASE WHEN kind = 'Z' THEN 0.1 END AS fdr_q, CASE WHEN metric IN ('trigger_rate_z', 'hit_rate_z') THEN 1.0 END AS min_lift,
+    CASE WHEN metric = 'excess_turnover_z' THEN 1.0 END AS min_effect_rtp_points
+    FROM ru LEFT JOIN rb ON rb.g = ru.metric LEFT JOIN cl USING (metric))"""
 _EVERY_CTES = f"""{_MONEY_CTES}, {_CO_CTE}, {_BUY_SRC}, {_PT_CTE}, {_tertiles('bv', 'b')},
   tj AS (SELECT * FROM pt LEFT JOIN mg USING (parent, uid) LEFT JOIN mm USING (parent, uid)), {_tertiles('tv', 'tj')},
   p0 AS (SELECT * FROM pc WHERE play_type = 0 AND rounds >= 5), {_tertiles('pv', 'p0')},
@@ -414,12 +423,7 @@ _EVERY_CTES = f"""{_MONEY_CTES}, {_CO_CTE}, {_BUY_SRC}, {_PT_CTE}, {_tertiles('b
   ar AS (SELECT * FROM am WHERE kind = 'ROBUST'), az AS (SELECT * FROM am WHERE kind = 'Z'),
   {q.robust('rb', 'ar', 'metric', 'value', 2.0, 5)},
   cl AS (SELECT metric, quantile_cont(value, 0.95) AS ceiling_bound FROM ar GROUP BY 1),
-  ft AS (SELECT ru.*, kind = 'Z' OR rb.bound IS NOT NULL AS enabled,
-    CASE WHEN kind = 'Z' THEN 'analytic_null+BH_FDR' ELSE coalesce(branch, 'insufficient_population') END AS branch,
-    CASE WHEN rb.bound IS NOT NULL THEN greatest(rb.bound, ceiling_bound) END AS bound, ceiling_bound,
-    CASE WHEN kind = 'Z' THEN 0.1 END AS fdr_q, CASE WHEN metric IN ('trigger_rate_z', 'hit_rate_z') THEN 1.0 END AS min_lift,
-    CASE WHEN metric = 'excess_turnover_z' THEN 1.0 END AS min_effect_rtp_points
-    FROM ru LEFT JOIN rb ON rb.g = ru.metric LEFT JOIN cl USING (metric)),
+  {_FT_CTE},
   ev AS (SELECT a.*, ft.bound, ft.enabled, coalesce(ft.enabled AND (CASE WHEN a.kind = 'ROBUST' THEN a.value > ft.bound ELSE
     a.selected AND (min_lift IS NULL OR lift IS NULL OR lift >= min_lift)
     AND (min_effect_rtp_points IS NULL OR effect_rtp_points >= min_effect_rtp_points) END), FALSE) AS fired
@@ -435,6 +439,13 @@ _EVERY_CTES = f"""{_MONEY_CTES}, {_CO_CTE}, {_BUY_SRC}, {_PT_CTE}, {_tertiles('b
     AND rate > greatest({T.alert_ceiling * T.segment_factor}, 1.0 / eligible) THEN 'segment' END AS breach FROM sr)"""
 
 
+_FIT_SQL = """SELECT ft.*, coalesce(n, 0) AS train_eligible, coalesce(fired_share, 0) AS train_fire_rate FROM ft LEFT JOIN (
+         SELECT metric, count(*) AS n, avg(CASE WHEN fired THEN 1.0 ELSE 0 END) AS fired_share FROM ev GROUP BY 1)
+         USING (metric)"""
+_VERDICT_SQL = """SELECT CASE WHEN count(*) FILTER (breach = 'saturation') > 0 THEN 'FAIL' WHEN count(breach) > 0 THEN 'WARN'
+         ELSE 'PASS' END AS verdict, count(breach) AS breaches FROM vl"""
+
+
 def _every_evaluated(s, d):
     m = _every_metric(s, d)
     return cal.evaluate(m, cal.fit(m, T))
@@ -448,9 +459,7 @@ def _every_validation(s, d):
 register("ST_5_fit_every_metric", lambda s, d: cal.fit(_every_metric(s, d), T),
          "metric rule kind enabled branch bound:f ceiling_bound:f fdr_q:f min_lift:f min_effect_rtp_points:f "
          "train_eligible:i train_fire_rate:f",
-         """SELECT ft.*, coalesce(n, 0) AS train_eligible, coalesce(fired_share, 0) AS train_fire_rate FROM ft LEFT JOIN (
-         SELECT metric, count(*) AS n, avg(CASE WHEN fired THEN 1.0 ELSE 0 END) AS fired_share FROM ev GROUP BY 1)
-         USING (metric)""", _EVERY_CTES)
+         _FIT_SQL, _EVERY_CTES)
 register("ST_6_evaluate_every_metric", _every_evaluated,
          f"metric rule kind {PC_KEYS} rounds:i value:f lift:f effect_rtp_points:f fired", "SELECT * FROM ev", _EVERY_CTES)
 register("AGG_16_segment_rates_every_metric", lambda s, d: cal.segment_rates(_every_evaluated(s, d)),
@@ -458,8 +467,7 @@ register("AGG_16_segment_rates_every_metric", lambda s, d: cal.segment_rates(_ev
 register("ST_7_validate_every_metric", _every_validation,
          "metric segment_key segment_value eligible:i n_fired:i rate:f breach", "SELECT * FROM vl", _EVERY_CTES)
 register("ST_8_calibration_verdict_every_metric", lambda s, d: cal.verdict(_every_validation(s, d)), "verdict breaches:i",
-         """SELECT CASE WHEN count(*) FILTER (breach = 'saturation') > 0 THEN 'FAIL' WHEN count(breach) > 0 THEN 'WARN'
-         ELSE 'PASS' END AS verdict, count(breach) AS breaches FROM vl""", _EVERY_CTES)
+         _VERDICT_SQL, _EVERY_CTES)
 register("L1_1_calibrated_signals_every_metric",
          lambda s, d: (lambda m: l1.calibrated_signals(m, cal.fit(m, T), T))(_every_metric(s, d)),
          f"{_SIG} threshold:f effect:f effect_unit n:i p_value:f persistence",
@@ -470,6 +478,42 @@ register("L1_1_calibrated_signals_every_metric",
          THEN 'not_computable' ELSE 'not_evaluated' END AS persistence FROM ev WHERE fired""", _EVERY_CTES)
 
 
+TRAIN_END, VALIDATION_END = "1995-06-30 00:00:00", "1998-06-01 00:00:00"
+
+
+def _until(end: str) -> str:
+    return _EVERY_CTES.replace(
+        LI, f"{q.rounds_lineitem('every_r')}, r AS (SELECT * FROM every_r WHERE game_time <= TIMESTAMP '{end}')", 1)
+
+
+TWO_WINDOW_CTES = _until(VALIDATION_END).replace(
+    _FT_CTE, f"fz AS (WITH {_until(TRAIN_END)} {_FIT_SQL}), ft AS (SELECT * EXCLUDE (train_eligible, train_fire_rate) FROM fz)", 1)
+
+
+def _two_windows(s, d):
+    """Parameters fitted at one boundary, judged on the rounds of a later one."""
+    r, cat = lineitem(s, d), fx.catalog(s)
+    path = f"{shared_dir(s)}/frozen-{uuid.uuid4().hex}"
+    sc.calibrate(r, cat, TRAIN_END, VALIDATION_END, path, T)
+    return cal.load_frozen(s, path)
+
+
+def _later_validation(s, d):
+    r, cat = lineitem(s, d), fx.catalog(s)
+    trained, later = sc.extract(r, TRAIN_END, T), sc.extract(r, VALIDATION_END, T)
+    frozen = materialise(cal.fit(sc._metrics(trained, cat, T, sc.DEFAULT_EXCLUSIONS), T), "frozen")
+    return cal.validate(sc._metrics(later, cat, T, sc.DEFAULT_EXCLUSIONS, segments=True), frozen, T)
+
+
+register("SNK_6_frozen_parameters", _two_windows,
+         "metric rule kind enabled branch bound:f ceiling_bound:f fdr_q:f min_lift:f min_effect_rtp_points:f "
+         "train_eligible:i train_fire_rate:f validation_verdict train_as_of validated_as_of",
+         f"""SELECT fz.*, verdict AS validation_verdict, '{TRAIN_END}' AS train_as_of, '{VALIDATION_END}' AS validated_as_of
+         FROM fz, ({_VERDICT_SQL})""", TWO_WINDOW_CTES)
+register("ST_8_calibrate_two_windows", _later_validation,
+         "metric segment_key segment_value eligible:i n_fired:i rate:f breach", "SELECT * FROM vl", TWO_WINDOW_CTES)
+
+
 def _persist_every(s, d):
     r = lineitem(s, d)
     half = r.where("game_time <= timestamp_ntz'1998-06-01 00:00:00'")

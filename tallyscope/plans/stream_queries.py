@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tallyscope.operators import calibration as cal
 from tallyscope.operators import casegate as cg
 from tallyscope.operators import cohorts as co
 from tallyscope.operators import fastpath as fp
@@ -14,9 +13,8 @@ from tallyscope.operators import features as ft
 from tallyscope.operators import fusion as fu
 from tallyscope.operators import logs as lg
 from tallyscope.operators import redaction as rd
-from tallyscope.plans import rule_queries as rq
 from tallyscope.plans import sqltext as q
-from tallyscope.plans.case_queries import _CD, _FZ
+from tallyscope.plans.case_queries import _CD, _FZ, SCANS
 from tallyscope.plans.registry import register
 from tallyscope.plans.rule_queries import _PC_CTE, events
 from tallyscope.settings import Thresholds
@@ -258,18 +256,6 @@ register("SNK_5_write_proposals", _written_proposals, "parent members:i cohorts:
          regexp_replace(regexp_replace(uid, '[A-Za-z]', 'a', 'g'), '\d', '#', 'g') AS k, count(DISTINCT uid) AS n FROM r
          GROUP BY 1, 2) WHERE n >= 3 GROUP BY 1""", q.rounds_events(None))
 
-
-def _frozen_table(s, d):
-    m = rq._every_metric(s, d)
-    frozen = cal.fit(m, rq.T)
-    path = _place(s, "frozen")
-    cal.write_frozen(frozen, cal.validate(m, frozen, rq.T), path, train_as_of="1999-01-01", validated_as_of="2001-12-31")
-    return cal.load_frozen(s, path)
-
-
-register("SNK_6_frozen_parameters", _frozen_table,
-         "metric rule kind enabled branch fdr_q:f min_lift:f min_effect_rtp_points:f train_eligible:i validation_verdict train_as_of")
-
 # --- fast path ---------------------------------------------------------------------
 _FAST = T.but(serial_margin=100)
 
@@ -455,16 +441,17 @@ register("LG_12_fail_closed_gate",
 
 
 def _scan_gate(s, d):
-    """A scan given twice is taken once."""
+    """All scans through the store; a scan given twice is taken once."""
     store = cg.GateStore(s, _place(s, "scangate"))
-    c = fx.candidates_from_events(s, d)
-    first = store.ingest("s01", c.where("scan = 's01'"))
-    again = store.ingest("s01", c.where("scan = 's01'"))
-    second = store.ingest("s02", c.where("scan = 's02'"))
-    return first.unionByName(again).unionByName(second)
+    c = materialise(fx.candidates_from_events(s, d), "candidates")
+    out = None
+    for scan in SCANS + SCANS[::3]:
+        alerts = store.ingest(scan, c.where(F.col("scan") == scan))
+        out = alerts if out is None else out.unionByName(alerts)
+    return out
 
 
-register("CS_8_scan_gate", _scan_gate, "case_id action scan severity", "SELECT * FROM ca WHERE seq <= 2 AND action IS NOT NULL", _CD)
+register("CS_8_scan_gate", _scan_gate, "case_id action scan severity", "SELECT * FROM ca WHERE action IS NOT NULL", _CD)
 
 
 def _streamed(s, d):

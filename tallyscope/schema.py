@@ -54,6 +54,13 @@ CASE_STATE = _struct(
     "game_id string, currency string, risk_type string"
 )
 
+# What a scan decided: the new state of its cases and what became of them.
+CASE_DECIDED = T.StructType([*CASE_STATE.fields, *_struct(
+    "forgotten boolean, closed_now boolean, seen boolean, action string, note string, "
+    "l4_route boolean, scan string, escalation string, severity string, families array<string>"
+).fields])
+CASE_ARCHIVED = T.StructType([*CASE_STATE.fields, T.StructField("archived_seq", T.LongType())])
+
 LOG_ENTRY = _struct(
     "ts timestamp_ntz, container string, pod string, severity string, payload string"
 )

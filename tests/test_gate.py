@@ -123,3 +123,48 @@ def test_replay_equals_manual_fold(spark, min_persistence):
     for s in ("s1", "s2", "s3"):
         want += [(a["case_id"], a["scan"], a["action"]) for a in g(s, [r[1:] for r in rows if r[0] == s])]
     assert sorted((a["case_id"], a["scan"], a["action"]) for a in alerts.collect()) == sorted(want)
+
+
+SHAPE = "case_id string, escalation string, severity string, families array<string>"
+
+
+def test_store_equals_fold_over_merged_runs(spark, place):
+    """Cases come and go over many scans; runs are merged and old versions forgotten on the way."""
+    g, store = Gate(spark), cg.GateStore(spark, place, buckets=2, fanout=2, keep=2)
+    for i in range(7):
+        cases = [cand(x, *(("human_review", "High") if i % 3 == 2 else ())) for j, x in enumerate("ABCD") if (i + j) % (j + 2) == 0]
+        want = {(a["case_id"], a["action"], a["l4_route"]) for a in g(f"d{i}", cases)}
+        got = store.ingest(f"d{i}", spark.createDataFrame(cases, SHAPE))
+        assert {(a["case_id"], a["action"], a["l4_route"]) for a in got.collect()} == want
+    columns = g.state.columns
+    assert sorted(map(str, store.state().select(*columns).collect())) == sorted(map(str, g.state.select(*columns).collect()))
+    levels = [e["level"] for e in store.tables.version().of("archive")]
+    assert max(levels) >= 1 and len(levels) <= 2 * 2 * 3
+
+
+def test_store_writes_no_closed_case_that_stays_away(spark, place):
+    store = cg.GateStore(spark, place, buckets=2)
+    store.ingest("d1", spark.createDataFrame([cand(f"X{i}") for i in range(20)], SHAPE))
+    store.ingest("d2", spark.createDataFrame([cand("Y")], SHAPE))
+    store.ingest("d3", spark.createDataFrame([cand("Y"), cand("X7")], SHAPE))
+    assert sorted(r["case_id"] for r in store.decided().collect()) == ["X7", "Y"]
+    state = {r["case_id"]: r["status"] for r in store.state().collect()}
+    assert len(state) == 21 and state["X7"] == "monitoring" and state["X3"] == "closed"
+
+
+def test_a_scan_that_stopped_before_its_version_is_repeated(spark, place, monkeypatch):
+    store, c = cg.GateStore(spark, place), spark.createDataFrame([cand("X")], SHAPE)
+    with monkeypatch.context() as m:
+        m.setattr(store, "_publish", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            store.ingest("d1", c)
+    assert store.state().count() == 0
+    assert [a["action"] for a in store.ingest("d1", c).collect()] == ["opened"]
+
+
+def test_archived_cases_are_marked_investigated(spark, place):
+    store = cg.GateStore(spark, place)
+    store.ingest("d1", spark.createDataFrame([cand("X", "human_review", "High"), cand("Y", "human_review", "High")], SHAPE))
+    store.ingest("d2", spark.createDataFrame([cand("Y", "human_review", "High")], SHAPE))
+    store.mark_investigated(spark.createDataFrame([("X",), ("Y",), ("Z",)], "case_id string"))
+    assert {r["case_id"]: r["l4_status"] for r in store.state().collect()} == {"X": "investigated", "Y": "investigated"}
