@@ -160,7 +160,8 @@ def discover(
     player_cell: DataFrame, timing: DataFrame, rule_flagged: DataFrame, t: Thresholds = Thresholds(),
     contamination: float | None = None,
 ) -> tuple[DataFrame, str]:
-    """(signals, verdict). A failed segment gate or a tiny population emits nothing."""
+    """(signals, verdict). A failed segment gate emits nothing (FAIL), nor do fewer than
+    ``forest_min_players`` players, on whom the gate means nothing (NOT_EVALUATED)."""
     from tallyscope.schema import SIGNAL
     from tallyscope.sources.durable import materialise
 
@@ -169,7 +170,7 @@ def discover(
     z = materialise(normalised(player_features(player_cell, timing)), "features")
     n = z.count()
     if n < t.forest_min_players:
-        return spark.createDataFrame([], SIGNAL), "FAIL"
+        return spark.createDataFrame([], SIGNAL), "NOT_EVALUATED"
     flags = flagged(materialise(forest_scores(z, t, n), "scores"), rate)
     if segment_gate(flags, t, rate).where("concentrated").limit(1).count():
         return spark.createDataFrame([], SIGNAL), "FAIL"

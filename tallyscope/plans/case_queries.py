@@ -263,14 +263,6 @@ register("SET_2_signal_union",
 register("SET_3_family_difference", _cases, f"{_CASE} independent_families:i", "SELECT * FROM fz", _FZ)
 
 
-def _annotated(s, d):
-    sg = fx.signals_from_lineitem(s, d)
-    members = sg.where("uid LIKE '%7'").select("parent", "uid").distinct().withColumn("cohort_id", F.lit("cohort_x"))
-    return fu.fuse(sg, cohort_members=members)
-
-
-register("FU_9_cohort_annotation", _annotated, f"{_CASE} cohort_id escalation",
-         "SELECT *, CASE WHEN uid LIKE '%7' THEN 'cohort_x' END AS cohort_id FROM fz", _FZ)
 _TWO = T.but(cohort_min_members=2)
 
 
@@ -281,7 +273,7 @@ def _annotated_members(s, d):
     return fu.fuse(fx.signals_from_lineitem(s, d), cohort_members=co.membership(groups, cells(lineitem(s, d))))
 
 
-register("FU_9_cohort_annotation_members", _annotated_members, f"{_CASE} cohort_id escalation",
+register("FU_9_cohort_annotation", _annotated_members, f"{_CASE} cohort_id escalation",
          "SELECT fz.*, mb.cohort_id FROM fz LEFT JOIN mb ON fz.parent = mb.parent AND fz.uid = mb.uid",
          f"""{_FZ}, {q.rounds_lineitem()}, pl AS (SELECT DISTINCT parent, uid, {_SKEL} AS skeleton FROM r),
          mb AS (SELECT parent, uid, CASE WHEN count(*) OVER (PARTITION BY parent, skeleton) >= 2 THEN
@@ -351,12 +343,12 @@ register("CS_2_material_change",
            lambda v: v IS NOT NULL) AS families_ever FROM ca WHERE action = 'escalated'""", _CD)
 register("CS_4_debounce", lambda s, d: cg.replay_scans(
     s, fx.candidates_from_events(s, d), SCANS, min_persistence=3)[1], "case_id action scan",
-    """SELECT * FROM (SELECT case_id, printf('s%02d', seq) AS scan, CASE WHEN seq = at THEN 'opened' WHEN seq > at AND ps < seq - 1
-    THEN 'reopened' WHEN seq > at AND (tier > pt OR sev > pv OR (f1 AND NOT p1) OR (f2 AND NOT p2)) THEN 'escalated' END
-    AS action FROM (SELECT cd.*, at, lag(seq) OVER w AS ps, max(tier) OVER p AS pt, max(sev) OVER p AS pv,
+    """SELECT * FROM (SELECT case_id, printf('s%02d', seq) AS scan, CASE WHEN seq = since THEN 'opened' WHEN seq > since AND ps < seq - 1
+    THEN 'reopened' WHEN seq > since AND (tier > pt OR sev > pv OR (f1 AND NOT p1) OR (f2 AND NOT p2)) THEN 'escalated' END
+    AS action FROM (SELECT cd.*, since, lag(seq) OVER w AS ps, max(tier) OVER p AS pt, max(sev) OVER p AS pv,
       bool_or(f1) OVER p AS p1, bool_or(f2) OVER p AS p2 FROM cd JOIN (
-        SELECT case_id, min(seq) AS at FROM (SELECT case_id, seq, lag(seq, 2) OVER (PARTITION BY case_id ORDER BY seq) AS b
-        FROM cd) WHERE b = seq - 2 GROUP BY 1) USING (case_id) WHERE seq >= at - 2
+        SELECT case_id, min(seq) AS since FROM (SELECT case_id, seq, lag(seq, 2) OVER (PARTITION BY case_id ORDER BY seq) AS b
+        FROM cd) WHERE b = seq - 2 GROUP BY 1) USING (case_id) WHERE seq >= since - 2
       WINDOW w AS (PARTITION BY case_id ORDER BY seq),
              p AS (PARTITION BY case_id ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))
     WHERE action IS NOT NULL""", _CD)

@@ -163,11 +163,6 @@ def _all_metrics(s, d, r, t=T, segments=False):
         segments=segments)
 
 
-def _kept_metrics(s, d, names: str, segments=False):
-    """Chosen metrics, stored because fitting and evaluation read them repeatedly."""
-    return materialise(_all_metrics(s, d, lineitem(s, d), segments=segments).where(f"metric IN ({names})"), "metrics")
-
-
 _GAPS = """seq AS (SELECT *, date_diff('second', lag(game_time) OVER w, game_time) AS gap_s,
     game_id != lag(game_id) OVER w AS game_changed FROM r
     WINDOW w AS (PARTITION BY parent, uid ORDER BY game_time, serial))"""
@@ -229,77 +224,14 @@ register("JN_12_cell_sigma_join",
 # --- calibration ------------------------------------------------------------------
 
 
-def _li_fit(s, d):
-    return cal.fit(_kept_metrics(s, d, "'buy_share_turnover', 'excess_turnover_z'"), T)
-
-
-_BUY = f"{q.robust('rb', 'b', '', 'value', 2.0, 5)}"
 _BUY_SRC = """b AS (SELECT parent, uid, count(*) AS rounds,
     sum(CASE WHEN play_type IN (2, 3, 4) THEN valid_bet ELSE 0 END) / nullif(sum(valid_bet), 0) AS value
     FROM r JOIN (SELECT parent, uid, game_id, play_type, currency, sm_tag FROM pc WHERE rounds >= 5)
     USING (parent, uid, game_id, play_type, currency, sm_tag) GROUP BY 1, 2)"""
-_BOUND = "(SELECT greatest(bound, (SELECT quantile_cont(value, 0.95) FROM b)) FROM rb)"
-register("ST_5_fit", lambda s, d: _li_fit(s, d).where("metric = 'buy_share_turnover'"),
-         "metric rule kind enabled branch bound:f ceiling_bound:f train_eligible:i train_fire_rate:f",
-         f"""SELECT 'buy_share_turnover' AS metric, 'L1-FEATURE_ROUTING' AS rule, 'ROBUST' AS kind, TRUE AS enabled,
-         (SELECT branch FROM rb) AS branch, {_BOUND} AS bound, quantile_cont(value, 0.95) AS ceiling_bound,
-         count(*) AS train_eligible, avg(CASE WHEN value > {_BOUND} THEN 1.0 ELSE 0 END) AS train_fire_rate FROM b""",
-         f"{LI}, {_PC_CTE}, {_BUY_SRC}, {_BUY}")
-_MONEY_EVAL = f"""SELECT *, selected AND effect_rtp_points >= 1.0 AS fired
-    FROM {q.bh('mny', '', 'value', '0.1')}"""
-
-
-def _evaluated(s, d, segments=False):
-    m = _kept_metrics(s, d, "'buy_share_turnover', 'excess_turnover_z'", segments)
-    return cal.evaluate(m, cal.fit(m, T))
-
 
-register("ST_6_evaluate", lambda s, d: _evaluated(s, d).where("metric = 'excess_turnover_z'"),
-         f"{PC_KEYS} value:f fired", _MONEY_EVAL, f"{_MONEY_CTES}, mny AS ({_MONEY_SQL})")
-register("AGG_16_segment_rates",
-         lambda s, d: cal.segment_rates(_evaluated(s, d).where("metric = 'excess_turnover_z'")).where(
-             "segment_key != 'volume_group'"),
-         "metric segment_key segment_value eligible:i n_fired:i rate:f",
-         f"""SELECT 'excess_turnover_z' AS metric, k AS segment_key, v AS segment_value, count(*) AS eligible,
-         count(*) FILTER (fired) AS n_fired, count(*) FILTER (fired) / count(*) AS rate FROM (
-         SELECT fired, unnest(['overall', 'game_id', 'play_type', 'currency', 'sm_tag', 'parent']) AS k,
-         unnest(['all', game_id, CAST(play_type AS VARCHAR), currency, sm_tag, parent]) AS v
-         FROM ({_MONEY_EVAL})) GROUP BY 1, 2, 3""", f"{_MONEY_CTES}, mny AS ({_MONEY_SQL})")
-
-
-def _validation(s, d):
-    m = _kept_metrics(s, d, "'excess_turnover_z'", True)
-    return cal.validate(m, cal.fit(m, T), T)
-
-
-_VALID = f"""SELECT *, CASE WHEN k = 'overall' AND rate > 0.05 THEN 'saturation'
-         WHEN k = 'overall' AND rate > 0.05 THEN 'ceiling'
-         WHEN k != 'overall' AND eligible >= 20 AND rate > greatest(0.05 * 10.0, 1.0 / eligible) THEN 'segment' END AS breach
-         FROM (SELECT 'excess_turnover_z' AS metric, k, k AS segment_key, v AS segment_value, count(*) AS eligible,
-         count(*) FILTER (fired) AS n_fired, count(*) FILTER (fired) / count(*) AS rate FROM (
-         SELECT fired, unnest(['overall', 'game_id', 'play_type', 'currency', 'sm_tag', 'parent', 'volume_group']) AS k,
-         unnest(['all', game_id, CAST(play_type AS VARCHAR), currency, sm_tag, parent,
-           CASE WHEN rounds <= t1 THEN 'low' WHEN rounds <= t2 THEN 'mid' ELSE 'high' END]) AS v
-         FROM ({_MONEY_EVAL}) e, (SELECT quantile_cont(rounds, 1/3::DOUBLE) AS t1,
-           quantile_cont(rounds, 2/3::DOUBLE) AS t2 FROM mny)) GROUP BY 1, 2, 3, 4)"""
-register("ST_7_validate", _validation,
-         "metric segment_key segment_value eligible:i n_fired:i rate:f breach",
-         _VALID,
-         f"{_MONEY_CTES}, mny AS ({_MONEY_SQL})")
-register("ST_8_calibration_verdict", lambda s, d: cal.verdict(_validation(s, d)), "verdict breaches:i",
-         f"""SELECT CASE WHEN count(*) FILTER (breach = 'saturation') > 0 THEN 'FAIL' WHEN count(breach) > 0 THEN 'WARN'
-         ELSE 'PASS' END AS verdict, count(breach) AS breaches FROM ({_VALID})""", f"{_MONEY_CTES}, mny AS ({_MONEY_SQL})")
 
 # --- layer 1 ------------------------------------------------------------------------
 _SIG = "signal_id family layer:i grain parent uid game_id play_type:i currency sm_tag metric value:f"
-register("L1_1_calibrated_signals",
-         lambda s, d: (lambda m: l1.calibrated_signals(m, cal.fit(m, T), T))(
-             _kept_metrics(s, d, "'excess_turnover_z'")),
-         f"{_SIG} effect:f effect_unit n:i p_value:f persistence",
-         f"""SELECT 'L1-EXCESS_TURNOVER' AS signal_id, 'OUTCOME_MAGNITUDE' AS family, 1 AS layer, 'player_cell' AS grain,
-         {q.PC}, 'excess_turnover_z' AS metric, value, effect_rtp_points AS effect, 'rtp_points' AS effect_unit,
-         rounds AS n, {normal_sf_sql('value')} AS p_value, 'not_evaluated' AS persistence
-         FROM ({_MONEY_EVAL}) WHERE fired""", f"{_MONEY_CTES}, mny AS ({_MONEY_SQL})")
 _PRES_SRC = f"""pz0 AS (SELECT *, CAST(rounds AS DOUBLE) AS n, CAST(n_trigger AS DOUBLE) AS k FROM pc
     WHERE play_type = 0 AND rounds >= 5 AND n_trigger >= 2 AND bet_levels > 1),
   pz1 AS (SELECT *, (sumsq_bet / n - pow(sum_bet / n, 2)) / k * (n - k) / greatest(n - 1, 1) AS nv FROM pz0),
@@ -356,25 +288,6 @@ register("L1_8_beta_in_prod", lambda s, d: l1.beta_signals(ft.cell_constants(eve
          HAVING count(*) FILTER (sm_v = 'feature_beta') > 0""", EV)
 
 
-def _persist(s, d):
-    r = lineitem(s, d)
-    mid = cells(r.where("game_time <= timestamp_ntz'1998-06-01 00:00:00'"))
-    m = _all_metrics(s, d, r).where("metric = 'excess_turnover_z'")
-    fired = m.withColumn("bound", F.lit(None).cast("double"))
-    return l1.with_persistence(fired, T.but(half_window_z=0.2), player_cell=cells(r), half_player_cell=mid)
-
-
-register("L1_9_split_half_persistence", _persist, f"{PC_KEYS} value:f persistence",
-         f"""SELECT m.*, CASE WHEN h1.parent IS NULL THEN 'not_computable'
-         WHEN (h1.w - rtp_cert * h1.b) / (sigma_spin * sqrt(h1.q)) >= 0.2 AND h2.q > 0
-          AND (h2.w - rtp_cert * h2.b) / (sigma_spin * sqrt(h2.q)) >= 0.2 THEN 'held' ELSE 'failed' END AS persistence
-         FROM ({_MONEY_SQL}) m
-         LEFT JOIN h1 USING ({q.PC}) LEFT JOIN h2 USING ({q.PC})""",
-         _MONEY_CTES + "".join(
-             f", {n} AS (SELECT {q.PC}, sum(win) AS w, sum(valid_bet) AS b, sum(valid_bet * valid_bet) AS q FROM r "
-             f"WHERE game_time {op} TIMESTAMP '1998-06-01' GROUP BY {q.PC})"
-             for n, op in (("h1", "<="), ("h2", ">"))))
-
 # --- all eight metrics and all segments, where the queries above show one metric ---------
 
 
@@ -456,19 +369,19 @@ def _every_validation(s, d):
     return cal.validate(m, cal.fit(m, T), T)
 
 
-register("ST_5_fit_every_metric", lambda s, d: cal.fit(_every_metric(s, d), T),
+register("ST_5_fit", lambda s, d: cal.fit(_every_metric(s, d), T),
          "metric rule kind enabled branch bound:f ceiling_bound:f fdr_q:f min_lift:f min_effect_rtp_points:f "
          "train_eligible:i train_fire_rate:f",
          _FIT_SQL, _EVERY_CTES)
-register("ST_6_evaluate_every_metric", _every_evaluated,
+register("ST_6_evaluate", _every_evaluated,
          f"metric rule kind {PC_KEYS} rounds:i value:f lift:f effect_rtp_points:f fired", "SELECT * FROM ev", _EVERY_CTES)
-register("AGG_16_segment_rates_every_metric", lambda s, d: cal.segment_rates(_every_evaluated(s, d)),
+register("AGG_16_segment_rates", lambda s, d: cal.segment_rates(_every_evaluated(s, d)),
          "metric segment_key segment_value eligible:i n_fired:i rate:f", "SELECT * FROM sr", _EVERY_CTES)
-register("ST_7_validate_every_metric", _every_validation,
+register("ST_7_validate", _every_validation,
          "metric segment_key segment_value eligible:i n_fired:i rate:f breach", "SELECT * FROM vl", _EVERY_CTES)
-register("ST_8_calibration_verdict_every_metric", lambda s, d: cal.verdict(_every_validation(s, d)), "verdict breaches:i",
+register("ST_8_calibration_verdict", lambda s, d: cal.verdict(_every_validation(s, d)), "verdict breaches:i",
          _VERDICT_SQL, _EVERY_CTES)
-register("L1_1_calibrated_signals_every_metric",
+register("L1_1_calibrated_signals",
          lambda s, d: (lambda m: l1.calibrated_signals(m, cal.fit(m, T), T))(_every_metric(s, d)),
          f"{_SIG} threshold:f effect:f effect_unit n:i p_value:f persistence",
          f"""SELECT rule AS signal_id, family, 1 AS layer, grain, {q.PC}, metric, value, bound AS threshold,
@@ -539,7 +452,7 @@ _PERSIST_CTES = f"""{_EVERY_CTES}, hr AS (SELECT * FROM r WHERE game_time <= TIM
     GROUP BY 1, 2 HAVING count(*) >= 5),
   g2 AS (SELECT parent, uid, pt.n_gaps - coalesce(g1.n_gaps, 0) AS n_gaps, same_second_gaps - coalesce(g1.zero, 0) AS zero
     FROM pt LEFT JOIN g1 USING (parent, uid))"""
-register("L1_9_split_half_persistence_every_metric", _persist_every, f"metric {PC_KEYS} value:f persistence",
+register("L1_9_split_half_persistence", _persist_every, f"metric {PC_KEYS} value:f persistence",
          f"""SELECT ev.*, CASE WHEN kind = 'Z' THEN CASE WHEN h1.parent IS NULL THEN 'not_computable'
          WHEN {_half_z('h1')} >= 0.2 AND {_half_z('h2')} >= 0.2 THEN 'held' ELSE 'failed' END
          WHEN metric = 'same_second_share' THEN CASE WHEN g1.parent IS NULL THEN 'not_computable'

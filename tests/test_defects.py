@@ -103,7 +103,7 @@ def test_calibration_queries_hold_all_metrics_and_segments(spark):
     queries = entry_module.queries()
     frozen = queries["SNK_6_frozen_parameters"](spark, DATA).where("train_eligible > 0")
     assert {r["metric"] for r in frozen.collect()} == set(METRIC_RULES)
-    rates = queries["AGG_16_segment_rates_every_metric"](spark, DATA).collect()
+    rates = queries["AGG_16_segment_rates"](spark, DATA).collect()
     assert {r["segment_key"] for r in rates} == {"overall", *SEGMENT_KEYS}
 
 
