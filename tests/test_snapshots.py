@@ -138,3 +138,19 @@ def test_ticks_count_rounds_on_before_and_after_them(spark):
     got = ar.rounds_by_tick(r, "2024-01-01 00:00:00", "2024-01-01 06:00:00", Thresholds().but(replay_step_hours=2)).orderBy("as_of").collect()
     want = [sum(w <= t["as_of"] for w in times) for t in got]
     assert [g["rounds"] for g in got] == want == [2, 3, 4, 4]
+
+
+def test_frozen_parameters_are_versions(spark, place):
+    from tallyscope.operators import calibration as cal
+
+    rows = spark.createDataFrame([("m", 1.5)], "metric string, bound double")
+    checked = spark.createDataFrame([(None,)], "breach string")
+    with pytest.raises(FileNotFoundError):
+        cal.load_frozen(spark, f"{place}/f")
+    for bound, end in ((1.5, "a"), (2.5, "b")):
+        cal.write_frozen(rows.withColumn("bound", F.lit(bound)), checked, f"{place}/f", train_as_of=end, validated_as_of=end)
+    newest, first = cal.load_frozen(spark, f"{place}/f").first(), cal.load_frozen(spark, f"{place}/f", 1).first()
+    assert (newest["bound"], newest["train_as_of"], newest["validation_verdict"]) == (2.5, "b", "PASS")
+    assert (first["bound"], first["train_as_of"]) == (1.5, "a")
+    with pytest.raises(FileNotFoundError):
+        cal.load_frozen(spark, f"{place}/f", 3)
