@@ -10,13 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyscope.llm.rows import unused
+from tallyscope.llm.rows import texts_of, unused
 from tallyscope.sources.durable import materialise
 
 BUCKETS = 1 << 16
 SAMPLE_PER_LANGUAGE = 2000
 UNDETERMINED = "und"
-_STEP = 1 << 18  # characters looked at in one go
+_STEP = 1 << 16  # characters looked at in one go
+_ROWS = 512  # texts of a batch that are Python strings at a time
 
 ALPHA, BETA, L1, L2, EPOCHS, SCALE = 0.3, 1.0, 0.02, 0.05, 2, 30.0
 
@@ -88,9 +89,10 @@ def document_frequency(docs: DataFrame) -> np.ndarray:
     def count(batches):
         total = np.zeros(BUCKETS, dtype=np.int64)
         for batch in batches:
-            for part in _steps([t or "" for t in batch.column("text").to_pylist()]):
-                bucket, doc, _ = grams(part)
-                total += np.bincount(np.unique(doc * BUCKETS + bucket) % BUCKETS, minlength=BUCKETS)
+            for at in range(0, batch.num_rows, _ROWS):
+                for part in _steps(texts_of(batch.slice(at, _ROWS))):
+                    bucket, doc, _ = grams(part)
+                    total += np.bincount(np.unique(doc * BUCKETS + bucket) % BUCKETS, minlength=BUCKETS)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"bucket": pa.array(used, pa.int64()), "n": pa.array(total[used], pa.int64())})
 
@@ -188,8 +190,8 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | Non
                 {
                     "lang": batch.column("lang"),
                     "order_": pa.array([hash_of(t) for t in texts], pa.int64()),
-                    "at": pa.array([a for a, _ in got], pa.list_(pa.int64())),
-                    "n": pa.array([c for _, c in got], pa.list_(pa.int64())),
+                    "at": pa.array([a for a, _ in got], pa.list_(pa.int32())),
+                    "n": pa.array([c for _, c in got], pa.list_(pa.int32())),
                 }
             )
 
@@ -219,7 +221,7 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | Non
         )
 
     rows = (
-        sample.mapInArrow(features, "lang string, order_ long, at array<long>, n array<long>")
+        sample.mapInArrow(features, "lang string, order_ long, at array<int>, n array<int>")
         .repartition(1).mapInPandas(train, "lang string, weights binary, bias double, temperature double").collect()
     )
     if not rows:
@@ -258,8 +260,10 @@ def with_language(docs: DataFrame, model: Model | None) -> DataFrame:
         names = np.where(letters, np.array(m.languages, dtype=object)[best], UNDETERMINED)
         return pd.DataFrame({"lang": names, "score": np.where(letters, probs.max(axis=1), 0.0)})
 
+    # A filter on the result would be moved below it, and every text told twice, by two workers a task.
+    once = predict.asNondeterministic()
     told = unused(docs, "predicted_")
-    got = docs.withColumn(told, predict(F.col("text")))
+    got = docs.withColumn(told, once(F.col("text")))
     return got.withColumn("lang_pred", F.col(f"{told}.lang")).withColumn("score", F.col(f"{told}.score")).drop(told)
 
 

@@ -483,7 +483,8 @@ def _cut_column(text: Column, spans: Column) -> Column:
         rows = [_cut(t, s) for t, s in zip(texts, lists, strict=True)]
         return pd.DataFrame(rows, columns=[c.split()[0] for c in CUT.split(", ")])
 
-    return each(text, spans)
+    # A filter on the result would be moved below it, and every text cut twice, by two workers a task.
+    return each.asNondeterministic()(text, spans)
 
 
 def without_repeats(docs: DataFrame, **sizes) -> DataFrame:
