@@ -272,11 +272,11 @@ for _name, _fn, _spec, _sort, _sql in (
 TICKS = ("2024-01-10 12:30:00", "2024-01-21 23:00:00")
 
 
-def _from_partials(aggregate):
-    """An aggregate at each boundary; rounds of a day are read when it is over, or for the day that is open."""
+def _from_partials(aggregate, tables):
+    """An aggregate of these partial tables at each boundary; rounds of a day are read when it is over, or for the day that is open."""
     def build(s, d):
         rounds, out = fx.rounds_from_events(s, d), None
-        store = pt.PartialStore(s, f"{shared_dir(s)}/partials-{uuid.uuid4().hex}", T)
+        store = pt.PartialStore(s, f"{shared_dir(s)}/partials-{uuid.uuid4().hex}", T, tables)
         for tick in TICKS:
             store.advance(rounds, (date.fromisoformat(tick[:10]) - timedelta(days=1)).isoformat())
             found = aggregate(store.asof(rounds, tick)).withColumn("tick", F.lit(tick))
@@ -291,10 +291,10 @@ def _at_ticks(sql: str, ctes: str = EV) -> str:
     return " UNION ALL ".join(f"SELECT '{tick}' AS tick, * FROM (WITH {every.format(tick=tick)} {sql}) x" for tick in TICKS)
 
 
-register("AGG_12_incremental_player_cell", _from_partials(pt.player_cell), f"tick {_PC} {_SUMS} bet_levels:i active_days:i", _at_ticks(_PC_SQL))
-register("AGG_20_incremental_player_timing", _from_partials(lambda p: pt.player_timing(p, T)), f"tick {_TIMING}", _at_ticks(_TIMING_SQL, _SEQ))
-register("AGG_3_incremental_cell_constants", _from_partials(pt.cell_constants), f"tick {_CC}", _at_ticks(_CC_SQL))
-register("AGG_14_incremental_game_day", _from_partials(pt.game_day),
+register("AGG_12_incremental_player_cell", _from_partials(pt.player_cell, pt.OF_PLAYER_CELL), f"tick {_PC} {_SUMS} bet_levels:i active_days:i", _at_ticks(_PC_SQL))
+register("AGG_20_incremental_player_timing", _from_partials(lambda p: pt.player_timing(p, T), pt.OF_TIMING), f"tick {_TIMING}", _at_ticks(_TIMING_SQL, _SEQ))
+register("AGG_3_incremental_cell_constants", _from_partials(pt.cell_constants, pt.OF_CELLS), f"tick {_CC}", _at_ticks(_CC_SQL))
+register("AGG_14_incremental_game_day", _from_partials(pt.game_day, pt.OF_CELLS),
          f"tick {_CELL} event_date:d report_date_utc8:d n_players:i {_CS} beta_rounds:i max_round_win:f", _at_ticks(_GD_SQL))
-register("AGG_2_incremental_top_wins", _from_partials(lambda p: top_rounds(p.wins, PLAYER_CELL)), f"tick {_PC} top_win_seq_ids",
+register("AGG_2_incremental_top_wins", _from_partials(lambda p: top_rounds(p.wins, PLAYER_CELL), pt.OF_WINS), f"tick {_PC} top_win_seq_ids",
          _at_ticks(f"SELECT * FROM {q.evidence(q.PC)}"))
